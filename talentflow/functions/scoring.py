@@ -27,16 +27,24 @@ def _empty() -> Column:
     return F.array().cast("array<string>")
 
 
-def skill_sets(required: Column, cv: Column) -> tuple[Column, Column, Column]:
-    """(ratio, matched, missing).  ``required`` NULL counts as empty;
-    duplicates count once; an empty requirement is neutral (0.5, [], [])."""
-    req = F.array_distinct(F.coalesce(required, _empty()))
+def required_set(required: Column) -> Column:
+    """The posting's technologies as a set; NULL counts as empty."""
+    return F.array_distinct(F.coalesce(required, _empty()))
+
+
+def skill_sets(req: Column, cv: Column) -> tuple[Column, Column]:
+    """F12 (sets): matched and missing skills, sorted by code point, for a
+    requirement set ``req`` (see :func:`required_set`)."""
     cvs = F.coalesce(cv, _empty())
-    n = F.size(req)
-    matched = F.when(n == 0, _empty()).otherwise(F.array_sort(F.array_intersect(req, cvs)))
-    missing = F.when(n == 0, _empty()).otherwise(F.array_sort(F.array_except(req, cvs)))
-    ratio = F.when(n == 0, F.lit(NEUTRAL_SKILL_RATIO)).otherwise(F.size(matched) / n)
-    return ratio, matched, missing
+    matched = F.sort_array(F.array_intersect(req, cvs))
+    missing = F.sort_array(F.array_except(req, cvs))
+    return matched, missing
+
+
+def skill_ratio(matched: Column, missing: Column) -> Column:
+    """F12 (ratio): |matched| / |required|; an empty requirement is neutral."""
+    n = F.size(matched) + F.size(missing)
+    return F.when(n == 0, F.lit(NEUTRAL_SKILL_RATIO)).otherwise(F.size(matched) / n)
 
 
 def years_fit(required_years: Column, candidate_years: Column) -> tuple[Column, Column]:
@@ -52,9 +60,12 @@ def years_fit(required_years: Column, candidate_years: Column) -> tuple[Column,
 
 def keyword_bonus(cv_keywords: Column, posting_keywords: Column) -> tuple[Column, Column]:
     """(matched keywords sorted, bonus points capped)."""
-    matched = F.array_sort(F.array_intersect(F.coalesce(cv_keywords, _empty()), F.coalesce(posting_keywords, _empty())))
-    bonus = F.least(F.size(matched) * KEYWORD_BONUS_PER_MATCH, F.lit(MAX_KEYWORD_BONUS))
-    return matched, bonus
+    matched = F.sort_array(F.array_intersect(F.coalesce(cv_keywords, _empty()), F.coalesce(posting_keywords, _empty())))
+    return matched, bonus_points(matched)
+
+
+def bonus_points(matched_keywords: Column) -> Column:
+    return F.least(F.size(matched_keywords) * KEYWORD_BONUS_PER_MATCH, F.lit(MAX_KEYWORD_BONUS))
 
 
 def final_score(ratio: Column, years_score: Column, bonus: Column) -> Column:

@@ -61,15 +61,17 @@ def title_key(title: ColumnOrName) -> Column:
     return F.lower(F.trim(F.regexp_replace(_c(title), F.lit(r"\s+"), F.lit(" "))))
 
 
-# ISO-8601 shapes accepted by Python's datetime.fromisoformat that we support:
+# ISO-8601 shapes accepted (as by Python 3.13's datetime.fromisoformat):
 #   date      YYYY-MM-DD | YYYYMMDD
-#   time      HH | HH:MM | HH:MM:SS | HH:MM:SS.f+ | HHMM | HHMMSS | HHMMSS.f+
-#   separator any single character between date and time ('T', ' ', ...)
-#   offset    Z | +HH | +HH:MM | +HHMM   (also '-')
-_ISO_SHAPE = (
-    r"^(\d{4})-?(\d{2})-?(\d{2})"
-    r"(?:.(\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d{1,6})\d*)?)?)?"
-    r"(Z|[+-]\d{2}(?::?\d{2})?)?)?$"
+#   then optionally: one separator character of any kind, and a time
+#   time      HH[:MM[:SS[.f+]]] | HHMM[SS[.f+]]   ('.' or ',' before the fraction)
+#   offset    Z | +HH | +HHMM | +HH:MM            (or '-')
+# The date and time parts may use the basic and extended forms independently.
+# Not supported (NULL here): week dates (2024-W10-2) and offsets with seconds.
+_ISO_GUARD = (
+    r"^(?:\d{4}-\d{2}-\d{2}|\d{8})"
+    r"(?:.(?:\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?)?|\d{4}(?:\d{2}(?:[.,]\d+)?)?)"
+    r"(?:Z|[+-]\d{2}(?::?\d{2})?)?)?$"
 )
 
 
@@ -77,40 +79,31 @@ def parse_iso_timestamp(value: ColumnOrName) -> Column:
     """ISO-8601 text -> TIMESTAMP; NULL for NULL, '' or an invalid value.
 
     A shape guard runs first (Spark's own cast accepts values such as '2026'
-    that an ISO parser rejects); the recognised pieces are then re-assembled
-    into the canonical ``yyyy-MM-ddTHH:mm:ss.ffffff[+HH:MM]`` form and parsed
-    with ``try_to_timestamp``, which gives NULL for impossible dates.  Values
-    with an offset denote one instant; naive values use the session time zone.
-    Basic and extended forms must not be mixed (``2026-0114`` is rejected).
+    that an ISO parser rejects); the pieces are then re-assembled into the
+    canonical ``yyyy-MM-ddTHH:mm:ss.ffffff[+HH:MM]`` form and parsed with
+    ``try_to_timestamp``, which gives NULL for impossible dates.  Values with
+    an offset denote one instant; naive values use the session time zone.
     """
     v = _c(value)
-    ok = v.rlike(_ISO_SHAPE) & (
-        # extended date with extended/omitted time, or basic date with basic time
-        v.rlike(r"^\d{4}-\d{2}-\d{2}(?:$|.\d{2}(?:$|:\d{2}(?:$|:\d{2}(?:$|[.,Z+-]))|[Z+-]))")
-        | v.rlike(r"^\d{8}(?:$|.\d{2}(?:$|\d{2}(?:$|\d{2}(?:$|[.,Z+-]))|[Z+-]))")
-    )
-
-    def grp(i: int) -> Column:
-        return F.regexp_extract(v, _ISO_SHAPE, i)
-
-    hh = F.coalesce(F.nullif(grp(4), F.lit("")), F.lit("00"))
-    mi = F.coalesce(F.nullif(grp(5), F.lit("")), F.lit("00"))
-    ss = F.coalesce(F.nullif(grp(6), F.lit("")), F.lit("00"))
-    frac = F.rpad(grp(7), 6, "0")
-    off_raw = grp(8)
+    extended = F.substring(v, 5, 1) == "-"
+    month = F.when(extended, F.substring(v, 6, 2)).otherwise(F.substring(v, 5, 2))
+    day = F.when(extended, F.substring(v, 9, 2)).otherwise(F.substring(v, 7, 2))
+    rest = F.when(extended, F.substring(v, 12, 64)).otherwise(F.substring(v, 10, 64))  # after the separator
+    parts = r"^([0-9:]+)([.,][0-9]+)?(.*)$"
+    digits = F.replace(F.regexp_extract(rest, parts, 1), F.lit(":"), F.lit(""))
+    frac = F.rpad(F.substring(F.regexp_extract(rest, parts, 2), 2, 6), 6, "0")
+    off_raw = F.replace(F.regexp_extract(rest, parts, 3), F.lit(":"), F.lit(""))
+    hh = F.coalesce(F.nullif(F.substring(digits, 1, 2), F.lit("")), F.lit("00"))
+    mi = F.coalesce(F.nullif(F.substring(digits, 3, 2), F.lit("")), F.lit("00"))
+    ss = F.coalesce(F.nullif(F.substring(digits, 5, 2), F.lit("")), F.lit("00"))
     off = (
         F.when(off_raw == "", F.lit(""))
         .when(off_raw == "Z", F.lit("Z"))
-        .otherwise(
-            F.concat(
-                F.substring(off_raw, 1, 3),
-                F.lit(":"),
-                F.coalesce(F.nullif(F.regexp_extract(off_raw, r"^[+-]\d{2}:?(\d{2})$", 1), F.lit("")), F.lit("00")),
-            )
-        )
+        .otherwise(F.concat(F.substring(off_raw, 1, 3), F.lit(":"), F.rpad(F.substring(off_raw, 4, 2), 2, "0")))
     )
+    in_range = (hh.cast("int") <= 23) & (mi.cast("int") <= 59) & (ss.cast("int") <= 59)
     canonical = F.concat(
-        grp(1), F.lit("-"), grp(2), F.lit("-"), grp(3), F.lit("T"),
+        F.substring(v, 1, 4), F.lit("-"), month, F.lit("-"), day, F.lit("T"),
         hh, F.lit(":"), mi, F.lit(":"), ss, F.lit("."), frac, off,
     )
-    return F.when(ok, F.try_to_timestamp(canonical))
+    return F.when(v.rlike(_ISO_GUARD) & in_range, F.try_to_timestamp(canonical))

@@ -101,18 +101,37 @@ MATCH_COLUMNS = [
 ]
 
 
-def _score(p: Column, techs: Column, req_years: Column, posting_kws: Column) -> list[Column]:
-    ratio, matched, missing = scoring.skill_sets(techs, p["technologies"])
-    years_score, gap = scoring.years_fit(req_years, p["years_experience"])
-    kw_matched, bonus = scoring.keyword_bonus(p["keywords"], posting_kws)
-    return [
-        scoring.final_score(ratio, years_score, bonus).alias("match_score"),
-        matched.alias("matched_skills"),
-        missing.alias("missing_skills"),
-        kw_matched.alias("matched_keywords"),
-        req_years.alias("required_years"),
-        scoring.rationale(ratio, matched, missing, req_years, gap, kw_matched).alias("rationale"),
-    ]
+def _score_stages(src: DataFrame, p: Column, keys: list[Column | str]) -> DataFrame:
+    """Score in three projections so that every set is computed once
+    (Catalyst keeps non-cheap projections apart instead of inlining them)."""
+    sets = src.select(
+        *keys,
+        *MATCH_COLUMNS[:6],
+        F.col("_req_years").alias("required_years"),
+        *[c.alias(n) for c, n in zip(scoring.skill_sets(F.col("_req"), p["technologies"]), ["matched_skills", "missing_skills"])],
+        scoring.keyword_bonus(p["keywords"], F.col("_post_kws"))[0].alias("matched_keywords"),
+        p["years_experience"].alias("_cv_years"),
+    )
+    parts = sets.select(
+        "*",
+        scoring.skill_ratio(F.col("matched_skills"), F.col("missing_skills")).alias("_ratio"),
+        *[c.alias(n) for c, n in zip(scoring.years_fit(F.col("required_years"), F.col("_cv_years")), ["_ys", "_gap"])],
+        scoring.bonus_points(F.col("matched_keywords")).alias("_bonus"),
+    )
+    out_keys = [k if isinstance(k, str) else "profile_id" for k in keys]
+    return parts.select(
+        *out_keys,
+        *MATCH_COLUMNS[:6],
+        scoring.final_score(F.col("_ratio"), F.col("_ys"), F.col("_bonus")).alias("match_score"),
+        "matched_skills",
+        "missing_skills",
+        "matched_keywords",
+        "required_years",
+        scoring.rationale(
+            F.col("_ratio"), F.col("matched_skills"), F.col("missing_skills"),
+            F.col("required_years"), F.col("_gap"), F.col("matched_keywords"),
+        ).alias("rationale"),
+    )
 
 
 def match_scores(
@@ -145,34 +164,30 @@ def match_scores(
     # Only keywords some profile has can ever match, so only those are searched.
     wanted = set().union(*(p.keywords for p in plist))
     kw_catalog = {k: v for k, v in KEYWORD_CATALOG.items() if k in wanted}
-    base_cols = [c for c in MATCH_COLUMNS[:6]]
+    base_cols = list(MATCH_COLUMNS[:6])
     feats = postings.select(
         *base_cols,
-        F.col("technologies").alias("_techs"),
+        scoring.required_set(F.col("technologies")).alias("_req"),
         required_years(F.col("description")).alias("_req_years"),
         extract_terms(F.col("description"), kw_catalog).alias("_post_kws"),
     )
     if len(plist) == 1:
         p = plist[0].as_struct()
-        scored = feats.select(
-            *([] if single else [p["profile_id"].alias("profile_id")]),
-            *base_cols,
-            *_score(p, F.col("_techs"), F.col("_req_years"), F.col("_post_kws")),
-        )
+        keys: list[Column | str] = [] if single else [p["profile_id"].alias("profile_id")]
+        scored = _score_stages(feats, p, keys)
     else:
         fan = feats.select("*", F.explode(F.array(*[pr.as_struct() for pr in plist])).alias("_p"))
-        scored = fan.select(
-            F.col("_p.profile_id").alias("profile_id"),
-            *base_cols,
-            *_score(F.col("_p"), F.col("_techs"), F.col("_req_years"), F.col("_post_kws")),
-        )
+        scored = _score_stages(fan, F.col("_p"), [F.col("_p.profile_id").alias("profile_id")])
     keys = [] if single else ["profile_id"]
     if top_k is not None:
         from pyspark.sql.window import Window
 
-        w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-        w = w.orderBy(F.col("match_score").desc(), F.col("job_id"))
-        scored = scored.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= top_k).drop("_rn")
+        if keys:
+            w = Window.partitionBy(*keys).orderBy(F.col("match_score").desc(), F.col("job_id"))
+            scored = scored.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= top_k).drop("_rn")
+        else:
+            # per-partition top-k, then one merge of k rows per partition
+            return scored.orderBy(F.col("match_score").desc(), F.col("job_id")).limit(top_k)
     if ordered:
         scored = scored.orderBy(*keys, F.col("match_score").desc(), F.col("job_id"))
     return scored

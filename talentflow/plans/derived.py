@@ -96,3 +96,270 @@ def postings_from_part(part: DataFrame, with_technologies: bool = True) -> DataF
     if with_technologies:
         df = df.withColumn("technologies", extract_technologies("description"))
     return df
+
+
+# ---------------------------------------------------------------- payloads --
+# JSON payloads of the two provider shapes, one of each per ``customer`` row.
+# Field presence and type vary with the row key so that absent keys, JSON
+# nulls, empty strings, wrong types and broken documents all occur.
+
+def jstr(c: Column) -> Column:
+    """``c`` as a JSON string literal (escaped by Spark's JSON writer)."""
+    return F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", "")
+
+
+def kv(key: str, json_value: Column) -> Column:
+    """``"key":value`` or NULL (an absent key) when ``json_value`` is NULL."""
+    return F.concat(F.lit(f'"{key}":'), json_value)
+
+
+def obj(*pieces: Column) -> Column:
+    return F.concat(F.lit("{"), F.concat_ws(",", *pieces), F.lit("}"))
+
+
+def _pad2(c: Column) -> Column:
+    return F.lpad(c.cast("string"), 2, "0")
+
+
+def customers_with_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
+    # nation and region are fixed 25- and 5-row dimensions: broadcasting them
+    # never grows with the data.
+    return c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey).join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
+
+
+def board_a_payload(k: Column, name: Column, segment: Column, nation: Column, broken: bool = True) -> Column:
+    day, minute = _pad2(k % 28 + 1), _pad2(k % 60)
+    title = (
+        F.when(k % 11 == 0, F.lit(None).cast("string"))
+        .when(k % 11 == 1, kv("title", F.lit("null")))
+        .otherwise(kv("title", jstr(F.concat(name, F.lit(" "), segment))))
+    )
+    updated = (
+        F.when(k % 7 == 0, F.lit(None).cast("string"))
+        .when(k % 7 == 1, F.lit('""'))
+        .when(k % 7 == 2, F.lit('"not a date"'))
+        .when(k % 7 == 3, F.concat(F.lit('"2024-01-'), day, F.lit("T10:"), minute, F.lit(':00-05:00"')))
+        .when(k % 7 == 4, F.concat(F.lit('"2024-02-'), day, F.lit("T06:"), minute, F.lit(':07.123Z"')))
+        .when(k % 7 == 5, F.concat(F.lit('"2024-03-'), day, F.lit(" "), _pad2(k % 24), F.lit(':30:00+0130"')))
+        .otherwise(F.lit('"2024-02-30T10:00:00Z"'))
+    )
+    location = (
+        F.when(k % 10 == 0, F.lit(None).cast("string"))
+        .when(k % 10 == 1, F.lit("null"))
+        .when(k % 10 == 2, F.lit("{}"))
+        .when(k % 10 == 3, F.lit('"Rome"'))
+        .otherwise(obj(kv("name", jstr(nation))))
+    )
+    abs_url = (
+        F.when(k % 3 == 0, F.lit(None).cast("string"))
+        .when(k % 3 == 1, jstr(F.concat(F.lit("https://boards.example.com/"), k.cast("string"))))
+        .otherwise(F.lit('""'))
+    )
+    content = (
+        F.when(k % 4 == 0, F.lit(None).cast("string"))
+        .when(k % 4 == 1, jstr(F.concat(F.lit("<p>"), segment, F.lit(" <b>team</b> in "), nation, F.lit("</p>"))))
+        .when(k % 4 == 2, jstr(F.concat(F.lit("<div>Remote&nbsp;role</div>\n\t<ul><li>  "), name, F.lit(" </li></ul>"))))
+        .otherwise(jstr(F.lit("<br/>  ")))
+    )
+    doc = obj(
+        kv("id", k.cast("string")),
+        title,
+        kv("updated_at", updated),
+        kv("location", location),
+        kv("absolute_url", abs_url),
+        kv("content", content),
+    )
+    # every 23rd document is cut short: not valid JSON
+    return F.when(k % 23 == 5, F.substring(doc, 1, 20)).otherwise(doc) if broken else doc
+
+
+def board_b_payload(k: Column, name: Column, segment: Column, nation: Column, region: Column) -> Column:
+    day, minute = _pad2(k % 28 + 1), _pad2(k % 60)
+    title = F.when(k % 13 == 0, F.lit(None).cast("string")).otherwise(kv("name", jstr(name)))
+    location = (
+        F.when(k % 6 == 0, F.lit(None).cast("string"))
+        .when(
+            k % 6 == 1,
+            obj(kv("city", jstr(nation)), kv("region", jstr(region)), kv("country", jstr(F.lower(F.substring(nation, 1, 2)))), kv("remote", F.lit("true"))),
+        )
+        .when(k % 6 == 2, obj(kv("city", jstr(nation)), kv("region", F.lit('""')), kv("country", F.lit("null")), kv("remote", F.lit('"false"'))))
+        .when(k % 6 == 3, obj(kv("city", F.lit('""')), kv("remote", F.lit("0"))))
+        .when(k % 6 == 4, obj(kv("region", jstr(region)), kv("remote", F.lit("1.5"))))
+        .otherwise(F.lit("{}"))
+    )
+    released = (
+        F.when(k % 4 == 0, F.lit(None).cast("string"))
+        .when(k % 4 == 1, F.concat(F.lit('"2024-01-'), day, F.lit("T08:"), minute, F.lit(':00.000Z"')))
+        .when(k % 4 == 2, F.concat(F.lit('"2024-03-'), day, F.lit(' 09:15:00+01:00"')))
+        .otherwise(F.lit('"garbage"'))
+    )
+    apply_url = F.when(k % 2 == 0, jstr(F.concat(F.lit("https://jobs.example.com/"), k.cast("string"))))
+    ad_url = F.when((k % 2 == 1) & (k % 3 == 0), jstr(F.concat(F.lit("https://ads.example.com/"), k.cast("string"))))
+
+    def ad(text: Column) -> Column:
+        return obj(kv("sections", obj(kv("jobDescription", obj(kv("text", text))))))
+
+    job_ad = (
+        F.when(k % 19 == 7, obj(kv("sections", F.lit("null"))))
+        .when(k % 5 == 0, F.lit(None).cast("string"))
+        .when(k % 5 == 1, ad(jstr(F.concat(F.lit("<p>Build "), segment, F.lit(" platforms</p>")))))
+        .when(k % 5 == 2, obj(kv("sections", F.lit("{}"))))
+        .when(k % 5 == 3, ad(F.lit('""')))
+        .otherwise(ad(jstr(F.concat(F.lit("Smart working possible in "), nation))))
+    )
+    return obj(
+        kv("id", jstr(k.cast("string"))),
+        title,
+        kv("location", location),
+        kv("releasedDate", released),
+        kv("applyUrl", apply_url),
+        kv("jobAdUrl", ad_url),
+        kv("jobAd", job_ad),
+    )
+
+
+def payloads(spark: SparkSession, sf_dir: str, broken: bool = True, revision: int = 0) -> DataFrame:
+    """``source, source_job_id, company_identifier, raw_payload, url`` — two
+    payloads (one per provider shape) for every customer.  ``broken`` cuts
+    every 23rd board-A document short (invalid JSON).  ``revision`` 1 renames
+    every second posting (a later fetch of the same postings)."""
+    cg = customers_with_geo(spark, sf_dir)
+    k = F.col("c_custkey")
+    if revision:
+        cg = cg.withColumn("c_name", F.when(k % 2 == 0, F.concat(F.col("c_name"), F.lit(" v2"))).otherwise(F.col("c_name")))
+    a = cg.select(
+        F.lit("greenhouse").alias("source"),
+        k.cast("string").alias("source_job_id"),
+        F.col("n_name").alias("company_identifier"),
+        board_a_payload(k, F.col("c_name"), F.col("c_mktsegment"), F.col("n_name"), broken).alias("raw_payload"),
+        F.when(k % 3 == 1, F.concat(F.lit("https://boards.example.com/"), k.cast("string"))).otherwise(F.lit("")).alias("url"),
+        F.col("c_nationkey").alias("nationkey"),
+    )
+    b = cg.select(
+        F.lit("smartrecruiters").alias("source"),
+        k.cast("string").alias("source_job_id"),
+        F.col("n_name").alias("company_identifier"),
+        board_b_payload(k, F.col("c_name"), F.col("c_mktsegment"), F.col("n_name"), F.col("r_name")).alias("raw_payload"),
+        F.when(k % 2 == 0, F.concat(F.lit("https://jobs.example.com/"), k.cast("string")))
+        .when(k % 3 == 0, F.concat(F.lit("https://ads.example.com/"), k.cast("string")))
+        .otherwise(F.lit(""))
+        .alias("url"),
+        F.col("c_nationkey").alias("nationkey"),
+    )
+    return a.unionByName(b)
+
+
+def bronze_from_payloads(spark: SparkSession, sf_dir: str, ingestion_date, revision: int = 0, fetched_at: str = "2024-05-01 12:00:00") -> DataFrame:
+    p = payloads(spark, sf_dir, revision=revision)
+    return p.select(
+        "source",
+        "source_job_id",
+        "company_identifier",
+        F.to_timestamp(F.lit(fetched_at)).alias("fetched_at"),
+        "url",
+        "raw_payload",
+        F.lit(ingestion_date).cast("date").alias("ingestion_date"),
+    )
+
+
+PAGE_SIZE = 50
+
+
+def responses_from_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Provider responses: pages of at most ``PAGE_SIZE`` postings per
+    (source, company).  Source B alternates between its two array keys."""
+    p = payloads(spark, sf_dir, broken=False)
+    page = F.floor(F.col("source_job_id").cast("bigint") / PAGE_SIZE)
+    grouped = p.groupBy("source", "company_identifier", page.alias("page")).agg(
+        F.array_join(F.sort_array(F.collect_list(F.col("raw_payload"))), ",").alias("items")
+    )
+    key = F.when(F.col("source") == "greenhouse", F.lit("jobs")).when(F.col("page") % 2 == 0, F.lit("content")).otherwise(F.lit("postings"))
+    return grouped.select(
+        "source",
+        "company_identifier",
+        "page",
+        F.to_timestamp(F.lit("2024-05-01 12:00:00")).alias("fetched_at"),
+        F.concat(F.lit('{"'), key, F.lit('":['), F.col("items"), F.lit("]}")).alias("body"),
+    )
+
+
+def targets_from_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One target per (source, nation); risk tier cycles with the nation key."""
+    n = table(spark, sf_dir, "nation")
+    tiers = F.array(*[F.lit(t) for t in ("none", "low", "medium", "excluded")])
+    a = n.select(F.lit("greenhouse").alias("source"), F.col("n_name").alias("company_identifier"),
+                 F.element_at(tiers, (F.col("n_nationkey") % 4 + 1).cast("int")).alias("risk_tier"))
+    b = n.select(F.lit("smartrecruiters").alias("source"), F.col("n_name").alias("company_identifier"),
+                 F.element_at(tiers, ((F.col("n_nationkey") + 1) % 4 + 1).cast("int")).alias("risk_tier"))
+    return a.unionByName(b)
+
+
+# ------------------------------------------------------------------ events --
+
+def bronze_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze rows from ``events``: source = event type, id = user, payload =
+    props, fetched at ``ts``, batch = the day of ``ts``."""
+    e = table(spark, sf_dir, "events")
+    return e.select(
+        F.col("event_type").alias("source"),
+        F.col("user_id").cast("string").alias("source_job_id"),
+        F.col("event_type").alias("company_identifier"),
+        F.col("ts").cast("timestamp").alias("fetched_at"),
+        F.concat(F.lit("https://events.example.com/e/"), F.col("event_id").cast("string")).alias("url"),
+        F.col("props").alias("raw_payload"),
+        F.to_date(F.col("ts")).alias("ingestion_date"),
+        F.col("event_id"),
+        F.col("value"),
+    )
+
+
+# --------------------------------------------------------------- documents --
+
+def silver_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver-shaped rows from ``documents``: company = language, title = the
+    whole text, source = the document's source."""
+    d = table(spark, sf_dir, "documents")
+    return d.select(
+        F.concat(F.lit("doc:"), F.col("doc_id").cast("string")).alias("job_id"),
+        F.col("lang").alias("company"),
+        F.col("text").alias("title"),
+        F.col("source"),
+        F.concat(F.lit("https://docs.example.com/"), F.col("doc_id").cast("string")).alias("link"),
+        F.col("text").alias("description"),
+    )
+
+
+# --- Fixed values: a vocabulary that occurs in the ``documents`` prose (used
+# to exercise catalog extraction on long multilingual texts).
+DOCUMENT_CATALOG: dict[str, list[str]] = {
+    "Apache License": ["apache license"],
+    "MIT License": ["mit license"],
+    "License": ["license", "licensed"],
+    "Token": ["token"],
+    "English": ["the", "and"],
+    "German": ["und", "der", "für"],
+    "French": ["les", "avec", "être"],
+    "Spanish": ["el", "los", "está"],
+}
+
+
+def cv_texts_from_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``profile_id, cv_text, years_experience``: each conversation turn's whole
+    text followed by three catalog terms chosen by the turn's keys."""
+    c = table(spark, sf_dir, "conversations")
+    k, t = F.col("conv_id"), F.col("turn")
+    text = F.concat_ws(
+        " ",
+        F.col("text"),
+        _pick(DESCRIPTION_TERMS, k * 3 + t),
+        _pick(DESCRIPTION_KEYWORDS, k + t * 5),
+        _pick(DESCRIPTION_TERMS, k * 11 + t * 7),
+    )
+    return c.select(
+        F.concat(k.cast("string"), F.lit(":"), t.cast("string")).alias("profile_id"),
+        text.alias("cv_text"),
+        (t % 12 + F.lit(0.5) * (k % 2)).cast("double").alias("years_experience"),
+    )

@@ -1,17 +1,29 @@
 """Registered queries: one per operator family, each reading the supplied
-tables at ``sf_dir``.  Arrays are rendered with ``array_join(x, '|')`` so that
-results compare as plain values with the SQL oracles."""
+tables at ``sf_dir`` in full.  Arrays are rendered with ``array_join(x, '|')``
+and timestamps as epoch microseconds, so results compare as plain values with
+the SQL oracles in :mod:`talentflow.plans.oracles`."""
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.matching import Profile, match_scores
-from . import oracles
+from ..schemas import BRONZE_COLUMNS
+from ..functions.terms import extract_terms, required_years
+from ..functions.text import strip_html
+from ..operators import views
+from ..operators.latest import latest_per_key, upsert_rows
+from ..operators.matching import Profile, match_scores, profiles_from_text
+from ..operators.normalize import normalize
+from ..session import scratch_path
+from ..sources import landing, tables
+from . import derived, oracles
 from .derived import postings_from_part, table
+from .silver import enrich_with_technologies, silver_batch, transform
 
 # Three literal candidate profiles for the flagship query.
 FLAGSHIP_PROFILES = [
@@ -30,11 +42,21 @@ FLAGSHIP_PROFILES = [
     Profile(frozenset({"Python", "SQL"}), frozenset(), 2.5, "junior"),
 ]
 
+# Batch dates used by the Bronze-history queries (events span 2024-01-01..30).
+PREVIOUS_DAY = dt.date(2024, 1, 14)
+CURRENT_DAY = dt.date(2024, 1, 15)
+TARGET_DAYS = (dt.date(2024, 1, 1), dt.date(2024, 1, 10))
+BATCH_DAYS = (dt.date(2024, 1, 11), dt.date(2024, 1, 20))
+FIRST_BATCH = dt.date(2024, 5, 1)
+SECOND_BATCH = dt.date(2024, 5, 2)
+
 
 def _flat(df: DataFrame, *array_cols: str) -> DataFrame:
     return df.select(*[F.array_join(c, "|").alias(c) if c in array_cols else F.col(c) for c in df.columns])
 
 
+# ------------------------------------------------------------- matching --
+
 def q_match_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P4 (+F9-F16, P1, O2): part-built postings x three literal profiles."""
     postings = postings_from_part(table(spark, sf_dir, "part"))
@@ -42,10 +64,221 @@ def q_match_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(scored, "matched_skills", "missing_skills", "matched_keywords")
 
 
+def q_profiles_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A profile from every conversation turn's text."""
+    p = profiles_from_text(derived.cv_texts_from_conversations(spark, sf_dir))
+    return _flat(p, "technologies", "keywords")
+
+
+# ----------------------------------------------------------- extraction --
+
+def q_tech_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 + P1 + F10: technology mentions over part-built postings."""
+    return views.tech_trends(postings_from_part(table(spark, sf_dir, "part")))
+
+
+def q_extract_terms_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F9 with a caller catalog over whole multilingual documents."""
+    d = table(spark, sf_dir, "documents")
+    return _flat(d.select("doc_id", extract_terms(F.col("text"), derived.DOCUMENT_CATALOG).alias("terms")), "terms")
+
+
+def q_term_trends_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 with a caller catalog: mentions per term over whole documents."""
+    s = derived.silver_from_documents(spark, sf_dir)
+    return views.tech_trends(enrich_with_technologies(s, derived.DOCUMENT_CATALOG))
+
+
+def q_required_years_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F11 over each whole document followed by a years sentence."""
+    d = table(spark, sf_dir, "documents")
+    text = F.concat_ws(" ", F.col("text"), derived.years_phrase((F.col("doc_id") % 50).cast("int")))
+    return d.select("doc_id", required_years(text).alias("required_years"))
+
+
+def q_strip_html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 over every raw page."""
+    p = table(spark, sf_dir, "pages")
+    return p.select("page_id", strip_html(F.col("html")).alias("text"))
+
+
+# -------------------------------------------------------- normalisation --
+
+def _normalized(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    bronze = derived.bronze_from_payloads(spark, sf_dir, FIRST_BATCH).filter(F.col("source") == source)
+    m = normalize(bronze)
+    ok = F.col("reject_reason").isNull()
+    keep = ["company", "title", "location", "remote", "description", "source", "link"]
+    return m.select(
+        "job_id",
+        *[F.when(ok, F.col(c)).alias(c) for c in keep],
+        F.when(ok, F.unix_micros("publication_date")).alias("publication_us"),
+        "reject_reason",
+    )
+
+
+def q_normalize_board_a(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Board-A payloads -> Silver or reject."""
+    return _normalized(spark, sf_dir, "greenhouse")
+
+
+def q_normalize_board_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Board-B payloads -> Silver or reject."""
+    return _normalized(spark, sf_dir, "smartrecruiters")
+
+
+def _silver_out(s: DataFrame) -> DataFrame:
+    return _flat(
+        s.select(
+            "job_id", "company", "title", "location", "remote", "description", "technologies", "source",
+            F.unix_micros("publication_date").alias("publication_us"), "link",
+        ),
+        "technologies",
+    )
+
+
+def q_silver_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 (N1-N10, W1, P1): two Bronze batches -> current Silver rows."""
+    bronze = derived.bronze_from_payloads(spark, sf_dir, FIRST_BATCH).unionByName(
+        derived.bronze_from_payloads(spark, sf_dir, SECOND_BATCH, revision=1)
+    )
+    silver, _rejects = silver_batch(bronze, on_error="quarantine")
+    return _silver_out(silver)
+
+
+# --------------------------------------------------------------- landing --
+
+def _postings_out(rows: DataFrame) -> DataFrame:
+    pv = F.try_parse_json(F.col("raw_payload"))
+    title = F.coalesce(F.try_variant_get(pv, "$.title", "string"), F.try_variant_get(pv, "$.name", "string"))
+    return rows.select("source", "source_job_id", "company_identifier", "url", title.alias("payload_title"))
+
+
+def q_explode_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paged provider responses -> one row per posting."""
+    rows, _rejects = landing.explode_responses(derived.responses_from_payloads(spark, sf_dir))
+    return _postings_out(rows)
+
+
+def q_target_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 (+S1, S2): only responses of non-excluded targets are exploded."""
+    # the target list has one row per (source, nation): a fixed 50-row dimension
+    gated = landing.gate_targets(
+        derived.responses_from_payloads(spark, sf_dir), derived.targets_from_nation(spark, sf_dir), broadcast_ok=True
+    )
+    rows, _rejects = landing.explode_responses(gated)
+    return _postings_out(rows)
+
+
+def q_bronze_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze rows in schema order (timestamps as text)."""
+    b = derived.bronze_from_events(spark, sf_dir).select(*BRONZE_COLUMNS)
+    return b.select(
+        F.concat_ws(":", "source", "source_job_id").alias("job_id"),
+        *[F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c) if c == "fetched_at" else F.col(c) for c in b.columns],
+    )
+
+
+# ---------------------------------------------------------------- history --
+
+def q_new_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys in the current batch but not the previous one."""
+    return views.new_postings(derived.bronze_from_events(spark, sf_dir), PREVIOUS_DAY, CURRENT_DAY)
+
+
+def q_removed_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys in the previous batch but not the current one."""
+    return views.removed_postings(derived.bronze_from_events(spark, sf_dir), PREVIOUS_DAY, CURRENT_DAY)
+
+
+def q_removed_postings_fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X2 option: only (source, company) pairs fetched in both batches."""
+    return views.removed_postings(derived.bronze_from_events(spark, sf_dir), PREVIOUS_DAY, CURRENT_DAY, only_fetched_targets=True)
+
+
+def _events_latest(spark: SparkSession, sf_dir: str, days=None) -> DataFrame:
+    b = derived.bronze_from_events(spark, sf_dir)
+    if days is not None:
+        b = b.filter(F.col("ingestion_date").between(F.lit(days[0]), F.lit(days[1])))
+    keyed = b.select(F.concat_ws(":", "source", "source_job_id").alias("job_id"), "event_id", "value", "fetched_at", "ingestion_date", "raw_payload")
+    order = [F.col("fetched_at").desc_nulls_last(), F.col("ingestion_date").desc(), F.xxhash64("raw_payload").desc()]
+    return latest_per_key(keyed, "job_id", order)
+
+
+def q_latest_per_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest row per key over the whole event history."""
+    return _events_latest(spark, sf_dir).select("job_id", "event_id", "value")
+
+
+def q_silver_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch (days 11-20) upserted into a target (days 1-10)."""
+    target = _events_latest(spark, sf_dir, TARGET_DAYS)
+    batch = _events_latest(spark, sf_dir, BATCH_DAYS)
+    return upsert_rows(target, batch, "job_id").select("job_id", "event_id", "ingestion_date")
+
+
+# ------------------------------------------------------------------- gold --
+
+def q_active_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1, O1: per company (= language) postings and distinct sources."""
+    return views.active_companies(derived.silver_from_documents(spark, sf_dir))
+
+
+def q_duplicate_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same company and normalised title (the whole text)."""
+    return views.duplicate_postings(derived.silver_from_documents(spark, sf_dir))
+
+
+def q_duplicate_postings_cross_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 option: duplicates that span at least two sources."""
+    return views.duplicate_postings(derived.silver_from_documents(spark, sf_dir), cross_source_only=True)
+
+
+def q_pipeline_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5-S9, A4, P2 end to end on files: two Bronze appends, two Silver
+    upserts, then the active-companies view written as a Gold snapshot and
+    read back.  Files go to the shared checkpoint folder."""
+    base = scratch_path(spark, "pipeline", uuid.uuid4().hex)
+    bronze_path, silver_path, gold_path = f"{base}/bronze", f"{base}/silver", f"{base}/gold"
+    for day, rev in ((FIRST_BATCH, 0), (SECOND_BATCH, 1)):
+        tables.append_bronze(derived.bronze_from_payloads(spark, sf_dir, day, revision=rev), bronze_path)
+        transform(spark, bronze_path, silver_path, on_error="quarantine", rejects_path=f"{base}/rejects")
+    silver = tables.read_silver(spark, silver_path)
+    tables.write_snapshot(views.active_companies(silver, ordered=False), gold_path)
+    return tables.read_snapshot(spark, gold_path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "match_scores": q_match_scores,
+    "profiles_from_text": q_profiles_from_text,
+    "tech_trends": q_tech_trends,
+    "extract_terms_documents": q_extract_terms_documents,
+    "term_trends_documents": q_term_trends_documents,
+    "required_years_documents": q_required_years_documents,
+    "strip_html_pages": q_strip_html_pages,
+    "normalize_board_a": q_normalize_board_a,
+    "normalize_board_b": q_normalize_board_b,
+    "silver_transform": q_silver_transform,
+    "explode_responses": q_explode_responses,
+    "target_gate": q_target_gate,
+    "bronze_from_events": q_bronze_from_events,
+    "new_postings": q_new_postings,
+    "removed_postings": q_removed_postings,
+    "removed_postings_fetched": q_removed_postings_fetched,
+    "latest_per_job": q_latest_per_job,
+    "silver_upsert": q_silver_upsert,
+    "active_companies": q_active_companies,
+    "duplicate_postings": q_duplicate_postings,
+    "duplicate_postings_cross_source": q_duplicate_postings_cross_source,
+    "pipeline_roundtrip": q_pipeline_roundtrip,
 }
 
-ORACLES: dict[str, str] = {
-    "match_scores": oracles.match_scores(FLAGSHIP_PROFILES),
-}
+ORACLES: dict[str, str] = oracles.build_all(
+    profiles=FLAGSHIP_PROFILES,
+    previous_day=PREVIOUS_DAY,
+    current_day=CURRENT_DAY,
+    target_days=TARGET_DAYS,
+    batch_days=BATCH_DAYS,
+    first_batch=FIRST_BATCH,
+    second_batch=SECOND_BATCH,
+)
