@@ -26,13 +26,13 @@ def as_string(x: Column) -> Column:
     return F.try_variant_get(x, "$", "string")
 
 
-def truthy(x: Column) -> Column:
+def truthy(x: Column, t: Column | None = None) -> Column:
     """Python truthiness of a JSON value; absent and null are false.
 
     boolean -> its value; number -> non-zero; string -> non-empty;
-    object / array -> non-empty.
+    object / array -> non-empty.  ``t`` may pass a precomputed type name.
     """
-    t = vtype(x)
+    t = vtype(x) if t is None else t
     return (
         F.when(x.isNull() | (t == "VOID"), F.lit(False))
         .when(t == "BOOLEAN", F.try_variant_get(x, "$", "boolean"))

@@ -1,10 +1,14 @@
 """Bronze -> Silver normalisation.
 
-Each source registers a *mapping*: a function from the parsed payload (a
-VARIANT) and the Bronze columns to the Silver columns, plus the conditions
-under which the upstream per-row mapper would have failed.  All mappings are
-applied in one projection, switched by ``source`` with CASE, so Bronze is
-scanned once whatever the number of sources.
+Each source registers a *mapping*: the JSON paths it reads, and a function
+from those fields (and the Bronze ``url``) to the Silver columns plus the
+conditions under which the upstream per-row mapper would have failed.
+
+The plan has three narrow projections: (1) parse the payload once and pull
+every registered path out as a VARIANT column, (2) derive each field's type
+name, string value and truthiness once, (3) evaluate the mappings, switched
+by ``source`` with CASE.  Bronze is scanned once, whatever the number of
+sources, and each projection stays small enough for whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -15,35 +19,66 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.json import as_string, field, is_present_null, truthy, vtype
+from ..functions.json import truthy, vtype
 from ..functions.text import falsy_fallback, format_location, looks_remote, parse_iso_timestamp, strip_html
 from ..schemas import SILVER_COLUMNS
 
 
 @dataclass(frozen=True)
 class Mapped:
-    """Silver column expressions for one source, and a reject reason
-    (NULL when the row maps cleanly)."""
+    """One source's raw Silver pieces and a reject reason (NULL when the row
+    maps cleanly).  Shared steps run once after the per-source switch:
+    ``publication_text`` is parsed as ISO-8601, and ``remote`` is
+    ``remote_flag OR looks_remote(location, title, description)``."""
 
     title: Column
     location: Column
-    remote: Column
     description: Column
-    publication_date: Column
+    publication_text: Column
     link: Column
+    remote_flag: Column
     reject: Column
 
 
-Mapping_ = Callable[[Column, Column], Mapped]
+class Fields:
+    """Access to the precomputed columns of one source's JSON fields."""
 
+    def __init__(self, prefix: str) -> None:
+        self.prefix = prefix
 
-def _is_object(x: Column) -> Column:
-    return vtype(x).startswith("OBJECT")
+    def col(self, name: str, part: str) -> Column:
+        return F.col(f"{self.prefix}{name}__{part}")
 
+    def v(self, n: str) -> Column:  # the VARIANT value (NULL when absent)
+        return self.col(n, "v")
 
-def _not_string(x: Column) -> Column:
-    """Present, not JSON null, and not a string."""
-    return x.isNotNull() & (vtype(x) != "VOID") & (vtype(x) != "STRING")
+    def t(self, n: str) -> Column:  # its type name ('VOID' for JSON null)
+        return self.col(n, "t")
+
+    def s(self, n: str) -> Column:  # its string value
+        return self.col(n, "s")
+
+    def truthy(self, n: str) -> Column:
+        return self.col(n, "b")
+
+    def present(self, n: str) -> Column:
+        return self.v(n).isNotNull()
+
+    def is_null(self, n: str) -> Column:
+        return self.present(n) & (self.t(n) == "VOID")
+
+    def is_object(self, n: str) -> Column:
+        return self.t(n).startswith("OBJECT")
+
+    def not_string(self, n: str) -> Column:
+        """Present, not JSON null, and not a string."""
+        return self.present(n) & (self.t(n) != "VOID") & (self.t(n) != "STRING")
+
+
+@dataclass(frozen=True)
+class SourceMapping:
+    fields: Mapping[str, str]  # field name -> JSON path
+    build: Callable[[Fields, Column], Mapped]
 
 
 def _first_reason(*pairs: tuple[Column, str]) -> Column:
@@ -53,93 +88,107 @@ def _first_reason(*pairs: tuple[Column, str]) -> Column:
     return out
 
 
-def _title(v: Column, key: str) -> tuple[Column, list[tuple[Column, str]]]:
-    t = field(v, f"$.{key}")
-    value = F.when(t.isNull(), F.lit("")).otherwise(as_string(t))
-    return value, [(is_present_null(t), "null_title"), (_not_string(t), "bad_type:title")]
+def _title(f: Fields, n: str) -> tuple[Column, list[tuple[Column, str]]]:
+    """Absent -> ''; JSON null and non-strings fail the row."""
+    value = F.when(~f.present(n), F.lit("")).otherwise(f.s(n))
+    return value, [(f.is_null(n), "null_title"), (f.not_string(n), "bad_type:title")]
+
+
+BOARD_A_FIELDS = {
+    "title": "$.title",
+    "location": "$.location",
+    "name": "$.location.name",
+    "content": "$.content",
+    "updated_at": "$.updated_at",
+    "absolute_url": "$.absolute_url",
+}
 
 
-def map_board_a(v: Column, url: Column) -> Mapped:
+def map_board_a(f: Fields, url: Column) -> Mapped:
     """``{id, title, updated_at, location{name}, absolute_url, content}``."""
-    title, title_checks = _title(v, "title")
-    loc = field(v, "$.location")
-    loc_ok = truthy(loc)
-    name = field(v, "$.location.name")
-    location = F.when(loc_ok, as_string(name))
-    content = field(v, "$.content")
-    description = strip_html(F.when(truthy(content), as_string(content)))
-    updated = field(v, "$.updated_at")
-    abs_url = field(v, "$.absolute_url")
+    title, title_checks = _title(f, "title")
+    loc_ok = f.truthy("location")
+    location = F.when(loc_ok, f.s("name"))
+    description = strip_html(F.when(f.truthy("content"), f.s("content")))
     reject = _first_reason(
         *title_checks,
-        (loc_ok & ~_is_object(loc), "bad_structure:location"),
-        (loc_ok & _not_string(name), "bad_type:location.name"),
-        (truthy(content) & _not_string(content), "bad_type:content"),
-        (truthy(updated) & _not_string(updated), "bad_type:updated_at"),
-        (F.nullif(url, F.lit("")).isNull() & _not_string(abs_url), "bad_type:absolute_url"),
+        (loc_ok & ~f.is_object("location"), "bad_structure:location"),
+        (loc_ok & f.not_string("name"), "bad_type:location.name"),
+        (f.truthy("content") & f.not_string("content"), "bad_type:content"),
+        (f.truthy("updated_at") & f.not_string("updated_at"), "bad_type:updated_at"),
+        (F.nullif(url, F.lit("")).isNull() & f.not_string("absolute_url"), "bad_type:absolute_url"),
     )
     return Mapped(
         title=title,
         location=location,
-        remote=looks_remote(location, title, description),
         description=description,
-        publication_date=parse_iso_timestamp(F.when(truthy(updated), as_string(updated))),
-        link=falsy_fallback(url, as_string(abs_url)),
+        publication_text=F.when(f.truthy("updated_at"), f.s("updated_at")),
+        link=falsy_fallback(url, f.s("absolute_url")),
+        remote_flag=F.lit(False),
         reject=reject,
     )
 
 
-def map_board_b(v: Column, url: Column) -> Mapped:
+BOARD_B_FIELDS = {
+    "name": "$.name",
+    "location": "$.location",
+    "city": "$.location.city",
+    "region": "$.location.region",
+    "country": "$.location.country",
+    "remote": "$.location.remote",
+    "jobAd": "$.jobAd",
+    "sections": "$.jobAd.sections",
+    "jobDescription": "$.jobAd.sections.jobDescription",
+    "text": "$.jobAd.sections.jobDescription.text",
+    "releasedDate": "$.releasedDate",
+    "applyUrl": "$.applyUrl",
+}
+
+
+def map_board_b(f: Fields, url: Column) -> Mapped:
     """``{id, name, location{city, region, country, remote}, releasedDate,
     applyUrl, jobAd{sections{jobDescription{text}}}}``; description HTML is kept."""
-    title, title_checks = _title(v, "name")
-    loc = field(v, "$.location")
-    loc_ok = truthy(loc)
-    city, region, country = (field(v, f"$.location.{k}") for k in ("city", "region", "country"))
-    location = F.when(loc_ok, format_location(*(F.when(truthy(p), as_string(p)) for p in (city, region, country))))
-    remote_flag = F.when(loc_ok, truthy(field(v, "$.location.remote"))).otherwise(F.lit(False))
-    job_ad = field(v, "$.jobAd")
-    ad_ok = truthy(job_ad)
-    sections = field(v, "$.jobAd.sections")
-    jd = field(v, "$.jobAd.sections.jobDescription")
-    text = field(v, "$.jobAd.sections.jobDescription.text")
-    description = F.when(ad_ok, as_string(text))
-    released = field(v, "$.releasedDate")
-    apply_url = field(v, "$.applyUrl")
+    title, title_checks = _title(f, "name")
+    loc_ok = f.truthy("location")
+    parts = ("city", "region", "country")
+    location = F.when(loc_ok, format_location(*(F.when(f.truthy(p), f.s(p)) for p in parts)))
+    remote_flag = loc_ok & f.truthy("remote")
+    ad_ok = f.truthy("jobAd")
+    description = F.when(ad_ok, f.s("text"))
     reject = _first_reason(
         *title_checks,
-        (loc_ok & ~_is_object(loc), "bad_structure:location"),
-        *[(loc_ok & truthy(p) & _not_string(p), f"bad_type:location.{k}") for p, k in zip((city, region, country), ("city", "region", "country"))],
-        (ad_ok & ~_is_object(job_ad), "bad_structure:jobAd"),
-        (ad_ok & sections.isNotNull() & ~_is_object(sections), "bad_structure:sections"),
-        (ad_ok & jd.isNotNull() & ~_is_object(jd), "bad_structure:jobDescription"),
-        (ad_ok & _not_string(text), "bad_type:text"),
-        (truthy(released) & _not_string(released), "bad_type:releasedDate"),
-        (F.nullif(url, F.lit("")).isNull() & _not_string(apply_url), "bad_type:applyUrl"),
+        (loc_ok & ~f.is_object("location"), "bad_structure:location"),
+        *[(loc_ok & f.truthy(p) & f.not_string(p), f"bad_type:location.{p}") for p in parts],
+        (ad_ok & ~f.is_object("jobAd"), "bad_structure:jobAd"),
+        (ad_ok & f.present("sections") & ~f.is_object("sections"), "bad_structure:sections"),
+        (ad_ok & f.present("jobDescription") & ~f.is_object("jobDescription"), "bad_structure:jobDescription"),
+        (ad_ok & f.not_string("text"), "bad_type:text"),
+        (f.truthy("releasedDate") & f.not_string("releasedDate"), "bad_type:releasedDate"),
+        (F.nullif(url, F.lit("")).isNull() & f.not_string("applyUrl"), "bad_type:applyUrl"),
     )
-    # Python's str.replace("Z", "+00:00") before fromisoformat
-    released_text = F.replace(as_string(released), F.lit("Z"), F.lit("+00:00"))
+    # upstream replaces every "Z" by "+00:00" before parsing
+    released = F.replace(f.s("releasedDate"), F.lit("Z"), F.lit("+00:00"))
     return Mapped(
         title=title,
         location=location,
-        remote=remote_flag | looks_remote(location, title, description),
         description=description,
-        publication_date=parse_iso_timestamp(F.when(truthy(released), released_text)),
-        link=falsy_fallback(url, as_string(apply_url)),
+        publication_text=F.when(f.truthy("releasedDate"), released),
+        link=falsy_fallback(url, f.s("applyUrl")),
+        remote_flag=remote_flag,
         reject=reject,
     )
 
 
 # Source name -> mapping.  Adding a source means adding one entry.
-MAPPINGS: dict[str, Mapping_] = {
-    "greenhouse": map_board_a,
-    "smartrecruiters": map_board_b,
+MAPPINGS: dict[str, SourceMapping] = {
+    "greenhouse": SourceMapping(BOARD_A_FIELDS, map_board_a),
+    "smartrecruiters": SourceMapping(BOARD_B_FIELDS, map_board_b),
 }
 
 CARRY = ["ingestion_date", "fetched_at", "raw_payload"]
 
 
-def normalize(bronze: DataFrame, mappings: Mapping[str, Mapping_] | None = None) -> DataFrame:
+def normalize(bronze: DataFrame, mappings: Mapping[str, SourceMapping] | None = None) -> DataFrame:
     """Map every Bronze row to Silver columns in one pass.
 
     Output: the Silver columns (``technologies`` NULL, filled later by P1),
@@ -149,37 +198,81 @@ def normalize(bronze: DataFrame, mappings: Mapping[str, Mapping_] | None = None)
     maps = dict(MAPPINGS if mappings is None else mappings)
     if not maps:
         raise ValueError("at least one source mapping is required")
+    base = ["source", "source_job_id", "company_identifier", "url", *CARRY]
+    prefixes = {name: f"_f{i}_" for i, name in enumerate(maps)}
+
+    # (1) parse once, extract every registered path
     v = F.try_parse_json(F.col("raw_payload"))
+    parsed = bronze.select(*base, v.alias("_v"))
+    extracted = parsed.select(
+        *base,
+        "_v",
+        *[
+            F.try_variant_get(F.col("_v"), path, "variant").alias(f"{prefixes[name]}{fname}__v")
+            for name, m in maps.items()
+            for fname, path in m.fields.items()
+        ],
+    )
+    # (2) type, string value and truthiness of every field, once
+    derived_cols = [vtype(F.col("_v")).alias("_vt")]
+    for name, m in maps.items():
+        for fname in m.fields:
+            c = F.col(f"{prefixes[name]}{fname}__v")
+            t = vtype(c)
+            derived_cols += [
+                c.alias(f"{prefixes[name]}{fname}__v"),
+                t.alias(f"{prefixes[name]}{fname}__t"),
+                F.try_variant_get(c, "$", "string").alias(f"{prefixes[name]}{fname}__s"),
+            ]
+    typed = extracted.select(*base, "_v", *derived_cols)
+    with_truth = typed.select(
+        "*",
+        *[
+            truthy(F.col(f"{prefixes[name]}{fname}__v"), F.col(f"{prefixes[name]}{fname}__t")).alias(f"{prefixes[name]}{fname}__b")
+            for name, m in maps.items()
+            for fname in m.fields
+        ],
+    )
+    # (3) the mappings
     url = F.col("url")
-    per_source = {name: fn(v, url) for name, fn in maps.items()}
+    per_source = {name: m.build(Fields(prefixes[name]), url) for name, m in maps.items()}
 
     def switch(attr: str) -> Column:
         out = None
-        for name, m in per_source.items():
-            expr = getattr(m, attr)
+        for name, mp in per_source.items():
+            expr = getattr(mp, attr)
             out = F.when(F.col("source") == name, expr) if out is None else out.when(F.col("source") == name, expr)
         return out
 
     reason = (
         F.when(~F.col("source").isin(*maps), F.concat(F.lit("unknown_source:"), F.col("source")))
-        .when(v.isNull(), F.lit("malformed_json"))
-        .when(~_is_object(v), F.lit("payload_not_object"))
+        .when(F.col("_v").isNull(), F.lit("malformed_json"))
+        .when(~F.col("_vt").startswith("OBJECT"), F.lit("payload_not_object"))
         .otherwise(switch("reject"))
     )
-    return bronze.select(
+    switched = with_truth.select(
         F.concat_ws(":", F.col("source"), F.col("source_job_id")).alias("job_id"),
         F.col("company_identifier").alias("company"),
-        switch("title").alias("title"),
-        switch("location").alias("location"),
-        switch("remote").alias("remote"),
+        "source",
+        *[switch(a).alias(a) for a in ("title", "location", "description", "publication_text", "link", "remote_flag")],
+        *CARRY,
+        reason.alias("reject_reason"),
+    )
+    # (4) steps shared by all sources, evaluated once
+    return switched.select(
+        "job_id",
+        "company",
+        "title",
+        "location",
+        (F.coalesce(F.col("remote_flag"), F.lit(False)) | looks_remote("location", "title", "description")).alias("remote"),
         F.lit(None).cast("string").alias("salary"),
-        switch("description").alias("description"),
+        "description",
         F.lit(None).cast("array<string>").alias("technologies"),
-        F.col("source"),
-        switch("publication_date").alias("publication_date"),
-        switch("link").alias("link"),
+        "source",
+        parse_iso_timestamp(F.col("publication_text")).alias("publication_date"),
+        "link",
         *CARRY,
-        reason.alias("reject_reason"),
+        "reject_reason",
     )
 
 

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import explode_rows
 from ..functions.text import title_key
 
 
@@ -29,7 +30,7 @@ def active_companies(silver: DataFrame, ordered: bool = True, removed: DataFrame
 def tech_trends(silver: DataFrame, ordered: bool = True) -> DataFrame:
     """A2: mentions per technology.  ``explode`` drops NULL and empty arrays."""
     out = (
-        silver.select(F.explode("technologies").alias("technology"))
+        explode_rows(silver, F.col("technologies"), "technology", keep=[])
         .groupBy("technology")
         .agg(F.count(F.lit(1)).alias("mentions_count"))
     )

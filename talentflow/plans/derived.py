@@ -33,8 +33,27 @@ DESCRIPTION_KEYWORDS: list[str] = [v for name in sorted(KEYWORD_CATALOG) for v i
 ]
 
 
+# Fixed dimensions: a few dozen rows whatever the scale; never spread.
+SMALL_DIMENSIONS = {"region", "nation"}
+
+
+def ensure_parallelism(df: DataFrame, factor: int = 4) -> DataFrame:
+    """Spread a scan over the cluster when it arrives in fewer partitions than
+    the cluster has cores (e.g. one large file with a single row group).
+
+    A no-op for ordinary large inputs, whose scan already has many more splits
+    than cores; otherwise one round-robin exchange, which is cheap next to the
+    per-row text work that follows.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores * factor)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return df if name in SMALL_DIMENSIONS else ensure_parallelism(df)
 
 
 def _pick(words: list[str], index: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..catalogs import TECHNOLOGY_CATALOG, Catalog
 from ..functions.terms import extract_terms
-from ..operators.latest import latest_postings
+from ..operators.latest import latest_per_key, latest_postings, silver_order
 from ..operators.normalize import normalize, silver_projection, split_rejects
 from ..sources.tables import read_bronze, upsert_snapshot
 
@@ -18,13 +18,25 @@ def enrich_with_technologies(silver: DataFrame, catalog: Catalog = TECHNOLOGY_CA
 
 
 def silver_batch(bronze: DataFrame, on_error: str = "fail") -> tuple[DataFrame, DataFrame]:
-    """Normalise, keep the latest row per posting, extract skills.
+    """Normalise, keep the latest good row per posting, extract skills.
 
     Returns (Silver rows in schema order, rejected Bronze rows).  Extraction
     runs after the de-duplication, on one row per posting.
+
+    With ``on_error='quarantine'`` rejected rows are ranked after every good
+    row of their key and dropped after the window, which equals dropping them
+    first; filtering first would make Catalyst push the reject test below the
+    normalising projections and evaluate it twice.
     """
-    good, rejects = split_rejects(normalize(bronze), on_error)
-    return silver_projection(enrich_with_technologies(latest_postings(good))), rejects
+    mapped = normalize(bronze)
+    if on_error == "quarantine":
+        latest = latest_per_key(mapped, "job_id", [F.col("reject_reason").isNull().desc(), *silver_order()])
+        good = latest.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+        rejects = mapped.filter(F.col("reject_reason").isNotNull())
+    else:
+        checked, rejects = split_rejects(mapped, on_error)
+        good = latest_postings(checked)
+    return silver_projection(enrich_with_technologies(good)), rejects
 
 
 def transform(spark: SparkSession, bronze_path: str, silver_path: str, on_error: str = "fail", rejects_path: str | None = None) -> int:

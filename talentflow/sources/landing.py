@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from ..functions.arrays import explode_rows
 from ..functions.json import field
 from ..schemas import BRONZE_COLUMNS, TARGETS
 
@@ -148,7 +149,7 @@ def explode_responses(responses: DataFrame, shapes: Mapping[str, ResponseShape]
     )
     staged = staged.withColumn("_reason", reason)
     good = staged.filter(F.col("_reason").isNull())
-    posts = good.select("source", "company_identifier", "fetched_at", F.explode("_elems").alias("raw_payload"))
+    posts = explode_rows(good, F.col("_elems"), "raw_payload", keep=["source", "company_identifier", "fetched_at"])
     pv = F.try_parse_json(F.col("raw_payload"))
 
     def url_of(s: ResponseShape) -> Column:
