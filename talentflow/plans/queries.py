@@ -248,6 +248,25 @@ def q_pipeline_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_snapshot(spark, gold_path)
 
 
+def q_landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1-S5 as Structured Streaming: derived responses are landed as JSON
+    Lines files, one stream run (availableNow) gates, explodes and appends
+    them to Bronze, and the Bronze table is read back."""
+    from ..streaming import start_landing_stream
+
+    base = scratch_path(spark, "stream", uuid.uuid4().hex)
+    landed = derived.responses_from_payloads(spark, sf_dir)
+    landed.select("source", "company_identifier", "body").write.partitionBy("source", "company_identifier").text(f"{base}/landing")
+    q = start_landing_stream(
+        spark, f"{base}/landing", f"{base}/bronze", f"{base}/rejects", f"{base}/checkpoint",
+        targets=derived.targets_from_nation(spark, sf_dir), ingestion_date=FIRST_BATCH, per_line=True,
+    )
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return _postings_out(tables.read_bronze(spark, f"{base}/bronze"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "match_scores": q_match_scores,
     "profiles_from_text": q_profiles_from_text,
@@ -271,6 +290,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "duplicate_postings": q_duplicate_postings,
     "duplicate_postings_cross_source": q_duplicate_postings_cross_source,
     "pipeline_roundtrip": q_pipeline_roundtrip,
+    "landing_stream": q_landing_stream,
 }
 
 ORACLES: dict[str, str] = oracles.build_all(
