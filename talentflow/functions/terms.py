@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..catalogs import KEYWORD_CATALOG, TECHNOLOGY_CATALOG, Catalog, validate
+from .memo import freeze, per_context
 from .patterns import PY_WHITESPACE_CLASS, UNICODE_CI, escape_literal
 
 ColumnOrName = Column | str
@@ -30,13 +31,23 @@ def extract_terms(text: ColumnOrName, catalog: Catalog) -> Column:
     and stays inside whole-stage codegen (no lambda).
     """
     cat = validate(catalog)
-    t = _c(text)
+    if isinstance(text, str):
+        return _extract_named(text, freeze(cat))
+    return _extract(text, cat)
+
+
+def _extract(t: Column, cat: dict) -> Column:
     hits = [F.when(t.rlike(term_pattern(cat[name])), F.lit(name)) for name in sorted(cat)]
     if not hits:
         return F.array().cast("array<string>")
     return F.array_except(F.array(*hits), F.array(F.lit(None).cast("string")))
 
 
+@per_context
+def _extract_named(name: str, frozen: tuple) -> Column:
+    return _extract(F.col(name), {k: list(v) for k, v in frozen})
+
+
 def extract_technologies(text: ColumnOrName) -> Column:
     """:func:`extract_terms` with the technology catalog."""
     return extract_terms(text, TECHNOLOGY_CATALOG)

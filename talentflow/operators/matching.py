@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..catalogs import KEYWORD_CATALOG, TECHNOLOGY_CATALOG, Catalog
 from ..functions import scoring
+from ..functions.memo import per_context
 from ..functions.terms import extract_terms, required_years
 
 MAX_LITERAL_PROFILES = 256
@@ -101,25 +102,46 @@ MATCH_COLUMNS = [
 ]
 
 
-def _score_stages(src: DataFrame, p: Column, keys: list[Column | str]) -> DataFrame:
+@per_context
+def _match_stages(plist: tuple, single: bool) -> list[list]:
+    """Projections of :func:`match_scores` (built once per session)."""
+    # Posting-side features are computed once per posting, before any fan-out.
+    # Only keywords some profile has can ever match, so only those are searched.
+    wanted = set().union(*(p.keywords for p in plist))
+    kw_catalog = {k: v for k, v in KEYWORD_CATALOG.items() if k in wanted}
+    feats = [
+        *MATCH_COLUMNS[:6],
+        scoring.required_set(F.col("technologies")).alias("_req"),
+        required_years(F.col("description")).alias("_req_years"),
+        extract_terms(F.col("description"), kw_catalog).alias("_post_kws"),
+    ]
+    if len(plist) == 1:
+        p = plist[0].as_struct()
+        keys: list = [] if single else [p["profile_id"].alias("profile_id")]
+        return [feats, *_score_stages(p, keys)]
+    fan = ["*", F.explode(F.array(*[pr.as_struct() for pr in plist])).alias("_p")]
+    return [feats, fan, *_score_stages(F.col("_p"), [F.col("_p.profile_id").alias("profile_id")])]
+
+
+def _score_stages(p: Column, keys: list) -> list[list]:
     """Score in three projections so that every set is computed once
     (Catalyst keeps non-cheap projections apart instead of inlining them)."""
-    sets = src.select(
+    sets = [
         *keys,
         *MATCH_COLUMNS[:6],
         F.col("_req_years").alias("required_years"),
         *[c.alias(n) for c, n in zip(scoring.skill_sets(F.col("_req"), p["technologies"]), ["matched_skills", "missing_skills"])],
         scoring.keyword_bonus(p["keywords"], F.col("_post_kws"))[0].alias("matched_keywords"),
         p["years_experience"].alias("_cv_years"),
-    )
-    parts = sets.select(
+    ]
+    parts = [
         "*",
         scoring.skill_ratio(F.col("matched_skills"), F.col("missing_skills")).alias("_ratio"),
         *[c.alias(n) for c, n in zip(scoring.years_fit(F.col("required_years"), F.col("_cv_years")), ["_ys", "_gap"])],
         scoring.bonus_points(F.col("matched_keywords")).alias("_bonus"),
-    )
-    out_keys = [k if isinstance(k, str) else "profile_id" for k in keys]
-    return parts.select(
+    ]
+    out_keys = ["profile_id"] if keys else []
+    final = [
         *out_keys,
         *MATCH_COLUMNS[:6],
         scoring.final_score(F.col("_ratio"), F.col("_ys"), F.col("_bonus")).alias("match_score"),
@@ -131,7 +153,8 @@ def _score_stages(src: DataFrame, p: Column, keys: list[Column | str]) -> DataFr
             F.col("_ratio"), F.col("matched_skills"), F.col("missing_skills"),
             F.col("required_years"), F.col("_gap"), F.col("matched_keywords"),
         ).alias("rationale"),
-    )
+    ]
+    return [sets, parts, final]
 
 
 def match_scores(
@@ -160,24 +183,9 @@ def match_scores(
     if len({p.profile_id for p in plist}) != len(plist):
         raise ValueError("profile ids must be unique")
 
-    # Posting-side features are computed once per posting, before any fan-out.
-    # Only keywords some profile has can ever match, so only those are searched.
-    wanted = set().union(*(p.keywords for p in plist))
-    kw_catalog = {k: v for k, v in KEYWORD_CATALOG.items() if k in wanted}
-    base_cols = list(MATCH_COLUMNS[:6])
-    feats = postings.select(
-        *base_cols,
-        scoring.required_set(F.col("technologies")).alias("_req"),
-        required_years(F.col("description")).alias("_req_years"),
-        extract_terms(F.col("description"), kw_catalog).alias("_post_kws"),
-    )
-    if len(plist) == 1:
-        p = plist[0].as_struct()
-        keys: list[Column | str] = [] if single else [p["profile_id"].alias("profile_id")]
-        scored = _score_stages(feats, p, keys)
-    else:
-        fan = feats.select("*", F.explode(F.array(*[pr.as_struct() for pr in plist])).alias("_p"))
-        scored = _score_stages(fan, F.col("_p"), [F.col("_p.profile_id").alias("profile_id")])
+    scored = postings
+    for stage in _match_stages(tuple(plist), single):
+        scored = scored.select(*stage)
     keys = [] if single else ["profile_id"]
     if top_k is not None:
         from pyspark.sql.window import Window

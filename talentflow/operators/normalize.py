@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.json import truthy, vtype
+from ..functions.memo import per_context
 from ..functions.text import falsy_fallback, format_location, looks_remote, parse_iso_timestamp, strip_html
 from ..schemas import SILVER_COLUMNS
 
@@ -75,7 +76,7 @@ class Fields:
         return self.present(n) & (self.t(n) != "VOID") & (self.t(n) != "STRING")
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class SourceMapping:
     fields: Mapping[str, str]  # field name -> JSON path
     build: Callable[[Fields, Column], Mapped]
@@ -198,42 +199,31 @@ def normalize(bronze: DataFrame, mappings: Mapping[str, SourceMapping] | None =
     maps = dict(MAPPINGS if mappings is None else mappings)
     if not maps:
         raise ValueError("at least one source mapping is required")
+    df = bronze
+    for stage in _stages(tuple(maps.items())):
+        df = df.select(*stage)
+    return df
+
+
+@per_context
+def _stages(maps_items: tuple) -> list[list[Column]]:
+    """The four projections of :func:`normalize` (built once per session)."""
+    maps = dict(maps_items)
     base = ["source", "source_job_id", "company_identifier", "url", *CARRY]
     prefixes = {name: f"_f{i}_" for i, name in enumerate(maps)}
+    fields = [(f"{prefixes[name]}{fname}", path) for name, m in maps.items() for fname, path in m.fields.items()]
 
     # (1) parse once, extract every registered path
-    v = F.try_parse_json(F.col("raw_payload"))
-    parsed = bronze.select(*base, v.alias("_v"))
-    extracted = parsed.select(
-        *base,
-        "_v",
-        *[
-            F.try_variant_get(F.col("_v"), path, "variant").alias(f"{prefixes[name]}{fname}__v")
-            for name, m in maps.items()
-            for fname, path in m.fields.items()
-        ],
-    )
-    # (2) type, string value and truthiness of every field, once
-    derived_cols = [vtype(F.col("_v")).alias("_vt")]
-    for name, m in maps.items():
-        for fname in m.fields:
-            c = F.col(f"{prefixes[name]}{fname}__v")
-            t = vtype(c)
-            derived_cols += [
-                c.alias(f"{prefixes[name]}{fname}__v"),
-                t.alias(f"{prefixes[name]}{fname}__t"),
-                F.try_variant_get(c, "$", "string").alias(f"{prefixes[name]}{fname}__s"),
-            ]
-    typed = extracted.select(*base, "_v", *derived_cols)
-    with_truth = typed.select(
-        "*",
-        *[
-            truthy(F.col(f"{prefixes[name]}{fname}__v"), F.col(f"{prefixes[name]}{fname}__t")).alias(f"{prefixes[name]}{fname}__b")
-            for name, m in maps.items()
-            for fname in m.fields
-        ],
-    )
-    # (3) the mappings
+    v = F.try_parse_json(F.col("raw_payload")).alias("_v")
+    extract = [*base, v]
+    pull = [*base, "_v", *[F.try_variant_get(F.col("_v"), path, "variant").alias(f"{n}__v") for n, path in fields]]
+    # (2) type and string value of every field, once; then truthiness
+    typed = [*base, "_v", vtype(F.col("_v")).alias("_vt")]
+    for n, _ in fields:
+        c = F.col(f"{n}__v")
+        typed += [c.alias(f"{n}__v"), vtype(c).alias(f"{n}__t"), F.try_variant_get(c, "$", "string").alias(f"{n}__s")]
+    truth = ["*", *[truthy(F.col(f"{n}__v"), F.col(f"{n}__t")).alias(f"{n}__b") for n, _ in fields]]
+    # (3) the mappings, switched by source
     url = F.col("url")
     per_source = {name: m.build(Fields(prefixes[name]), url) for name, m in maps.items()}
 
@@ -250,16 +240,16 @@ def normalize(bronze: DataFrame, mappings: Mapping[str, SourceMapping] | None =
         .when(~F.col("_vt").startswith("OBJECT"), F.lit("payload_not_object"))
         .otherwise(switch("reject"))
     )
-    switched = with_truth.select(
+    switched = [
         F.concat_ws(":", F.col("source"), F.col("source_job_id")).alias("job_id"),
         F.col("company_identifier").alias("company"),
         "source",
         *[switch(a).alias(a) for a in ("title", "location", "description", "publication_text", "link", "remote_flag")],
         *CARRY,
         reason.alias("reject_reason"),
-    )
+    ]
     # (4) steps shared by all sources, evaluated once
-    return switched.select(
+    final = [
         "job_id",
         "company",
         "title",
@@ -273,7 +263,8 @@ def normalize(bronze: DataFrame, mappings: Mapping[str, SourceMapping] | None =
         "link",
         *CARRY,
         "reject_reason",
-    )
+    ]
+    return [extract, pull, typed, truth, switched, final]
 
 
 def split_rejects(mapped: DataFrame, on_error: str = "quarantine") -> tuple[DataFrame, DataFrame]:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..catalogs import KEYWORD_CATALOG, TECHNOLOGY_CATALOG
 from ..functions.terms import extract_technologies
+from ..functions.memo import per_context
 from ..functions.text import looks_remote
 
 # Words used to assemble posting descriptions: every catalog variant plus a
@@ -51,8 +52,22 @@ def ensure_parallelism(df: DataFrame, factor: int = 4) -> DataFrame:
     return df.repartition(cores * factor)
 
 
+# Declared schemas of the supplied tables (no footer reads for inference).
+TABLE_SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "pages": "page_id BIGINT, url STRING, html STRING",
+    "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read.schema(TABLE_SCHEMAS[name]) if name in TABLE_SCHEMAS else spark.read
+    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df if name in SMALL_DIMENSIONS else ensure_parallelism(df)
 
 
@@ -101,20 +116,26 @@ def part_description(key: Column, size: Column, name: Column) -> Column:
 
 def postings_from_part(part: DataFrame, with_technologies: bool = True) -> DataFrame:
     """Silver-shaped postings, one per ``part`` row."""
+    base, extra = _part_columns(with_technologies)
+    return part.select(*base).select("*", *extra)
+
+
+@per_context
+def _part_columns(with_technologies: bool) -> tuple[list[Column], list[Column]]:
     key, size = F.col("p_partkey"), F.col("p_size")
-    desc = part_description(key, size, F.col("p_name"))
-    df = part.select(
+    base = [
         F.concat(F.lit("part:"), key.cast("string")).alias("job_id"),
         F.col("p_brand").alias("company"),
         F.col("p_name").alias("title"),
         F.col("p_type").alias("location"),
-        desc.alias("description"),
+        part_description(key, size, F.col("p_name")).alias("description"),
         F.lit("part").alias("source"),
         F.concat(F.lit("https://jobs.example.com/part/"), key.cast("string")).alias("link"),
-    ).withColumn("remote", looks_remote("location", "title", "description"))
+    ]
+    extra = [looks_remote("location", "title", "description").alias("remote")]
     if with_technologies:
-        df = df.withColumn("technologies", extract_technologies("description"))
-    return df
+        extra.append(extract_technologies("description").alias("technologies"))
+    return base, extra
 
 
 # ---------------------------------------------------------------- payloads --
@@ -123,8 +144,16 @@ def postings_from_part(part: DataFrame, with_technologies: bool = True) -> DataF
 # nulls, empty strings, wrong types and broken documents all occur.
 
 def jstr(c: Column) -> Column:
-    """``c`` as a JSON string literal (escaped by Spark's JSON writer)."""
-    return F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", "")
+    """``c`` as a JSON string literal.
+
+    Escapes backslash, double quote, newline, carriage return and tab, which
+    covers every character the derived texts can contain (table values are
+    printable text; other control characters would need \\u escapes).
+    """
+    esc = c
+    for raw, escaped in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        esc = F.replace(esc, F.lit(raw), F.lit(escaped))
+    return F.concat(F.lit('"'), esc, F.lit('"'))
 
 
 def kv(key: str, json_value: Column) -> Column:
@@ -246,29 +275,34 @@ def payloads(spark: SparkSession, sf_dir: str, broken: bool = True, revision: in
     every 23rd board-A document short (invalid JSON).  ``revision`` 1 renames
     every second posting (a later fetch of the same postings)."""
     cg = customers_with_geo(spark, sf_dir)
+    cols_a, cols_b = _payload_columns(broken, revision)
+    return cg.select(*cols_a).unionByName(cg.select(*cols_b))
+
+
+@per_context
+def _payload_columns(broken: bool, revision: int) -> tuple[list[Column], list[Column]]:
     k = F.col("c_custkey")
-    if revision:
-        cg = cg.withColumn("c_name", F.when(k % 2 == 0, F.concat(F.col("c_name"), F.lit(" v2"))).otherwise(F.col("c_name")))
-    a = cg.select(
+    name = F.when(k % 2 == 0, F.concat(F.col("c_name"), F.lit(" v2"))).otherwise(F.col("c_name")) if revision else F.col("c_name")
+    a = [
         F.lit("greenhouse").alias("source"),
         k.cast("string").alias("source_job_id"),
         F.col("n_name").alias("company_identifier"),
-        board_a_payload(k, F.col("c_name"), F.col("c_mktsegment"), F.col("n_name"), broken).alias("raw_payload"),
+        board_a_payload(k, name, F.col("c_mktsegment"), F.col("n_name"), broken).alias("raw_payload"),
         F.when(k % 3 == 1, F.concat(F.lit("https://boards.example.com/"), k.cast("string"))).otherwise(F.lit("")).alias("url"),
         F.col("c_nationkey").alias("nationkey"),
-    )
-    b = cg.select(
+    ]
+    b = [
         F.lit("smartrecruiters").alias("source"),
         k.cast("string").alias("source_job_id"),
         F.col("n_name").alias("company_identifier"),
-        board_b_payload(k, F.col("c_name"), F.col("c_mktsegment"), F.col("n_name"), F.col("r_name")).alias("raw_payload"),
+        board_b_payload(k, name, F.col("c_mktsegment"), F.col("n_name"), F.col("r_name")).alias("raw_payload"),
         F.when(k % 2 == 0, F.concat(F.lit("https://jobs.example.com/"), k.cast("string")))
         .when(k % 3 == 0, F.concat(F.lit("https://ads.example.com/"), k.cast("string")))
         .otherwise(F.lit(""))
         .alias("url"),
         F.col("c_nationkey").alias("nationkey"),
-    )
-    return a.unionByName(b)
+    ]
+    return a, b
 
 
 def bronze_from_payloads(spark: SparkSession, sf_dir: str, ingestion_date, revision: int = 0, fetched_at: str = "2024-05-01 12:00:00") -> DataFrame:

@@ -14,7 +14,7 @@ from ..sources.tables import read_bronze, upsert_snapshot
 
 def enrich_with_technologies(silver: DataFrame, catalog: Catalog = TECHNOLOGY_CATALOG) -> DataFrame:
     """(re)compute ``technologies`` from ``description``; never NULL."""
-    return silver.withColumn("technologies", extract_terms(F.col("description"), catalog))
+    return silver.withColumn("technologies", extract_terms("description", catalog))
 
 
 def silver_batch(bronze: DataFrame, on_error: str = "fail") -> tuple[DataFrame, DataFrame]:
