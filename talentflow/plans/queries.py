@@ -16,7 +16,7 @@ from ..schemas import BRONZE_COLUMNS
 from ..functions.terms import extract_terms, required_years
 from ..functions.text import strip_html
 from ..operators import views
-from ..operators.latest import latest_per_key, upsert_rows
+from ..operators.latest import latest_per_key, newer_than_current, upsert_rows
 from ..operators.matching import Profile, match_scores, profiles_from_text
 from ..operators.normalize import normalize
 from ..session import scratch_path
@@ -146,6 +146,14 @@ def q_silver_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _silver_out(silver)
 
 
+def q_silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 incremental (S8 with W1's order): Silver from the first batch, then
+    only the second batch read and merged; equals the full recompute."""
+    current, _ = silver_batch(derived.bronze_from_payloads(spark, sf_dir, FIRST_BATCH), on_error="quarantine")
+    new, _ = silver_batch(derived.bronze_from_payloads(spark, sf_dir, SECOND_BATCH, revision=1), on_error="quarantine")
+    return _silver_out(upsert_rows(current, newer_than_current(new, current), "job_id"))
+
+
 # --------------------------------------------------------------- landing --
 
 def _postings_out(rows: DataFrame) -> DataFrame:
@@ -278,6 +286,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalize_board_a": q_normalize_board_a,
     "normalize_board_b": q_normalize_board_b,
     "silver_transform": q_silver_transform,
+    "silver_incremental": q_silver_incremental,
     "explode_responses": q_explode_responses,
     "target_gate": q_target_gate,
     "bronze_from_events": q_bronze_from_events,

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..catalogs import TECHNOLOGY_CATALOG, Catalog
 from ..functions.terms import extract_terms
-from ..operators.latest import latest_per_key, latest_postings, silver_order
+from ..operators.latest import latest_per_key, latest_postings, newer_than_current, silver_order
 from ..operators.normalize import normalize, silver_projection, split_rejects
-from ..sources.tables import read_bronze, upsert_snapshot
+from ..sources.tables import read_bronze, read_silver, upsert_snapshot
 
 
 def enrich_with_technologies(silver: DataFrame, catalog: Catalog = TECHNOLOGY_CATALOG) -> DataFrame:
@@ -22,13 +24,18 @@ def silver_batch(bronze: DataFrame, on_error: str = "fail") -> tuple[DataFrame,
 
     Returns (Silver rows in schema order, rejected Bronze rows).  Extraction
     runs after the de-duplication, on one row per posting.
+    """
+    return latest_silver(normalize(bronze), on_error)
+
+
+def latest_silver(mapped: DataFrame, on_error: str = "fail") -> tuple[DataFrame, DataFrame]:
+    """W1 + P1 over normalised rows (see :func:`silver_batch`).
 
     With ``on_error='quarantine'`` rejected rows are ranked after every good
     row of their key and dropped after the window, which equals dropping them
     first; filtering first would make Catalyst push the reject test below the
-    normalising projections and evaluate it twice.
+    normalising projections and evaluate the mapping twice.
     """
-    mapped = normalize(bronze)
     if on_error == "quarantine":
         latest = latest_per_key(mapped, "job_id", [F.col("reject_reason").isNull().desc(), *silver_order()])
         good = latest.filter(F.col("reject_reason").isNull()).drop("reject_reason")
@@ -39,16 +46,42 @@ def silver_batch(bronze: DataFrame, on_error: str = "fail") -> tuple[DataFrame,
     return silver_projection(enrich_with_technologies(good)), rejects
 
 
-def transform(spark: SparkSession, bronze_path: str, silver_path: str, on_error: str = "fail", rejects_path: str | None = None) -> int:
-    """Rebuild the current state from all of Bronze and upsert it into the
-    Silver snapshot table.  Returns the batch size (0 writes nothing).
+def transform(
+    spark: SparkSession,
+    bronze_path: str,
+    silver_path: str,
+    on_error: str = "fail",
+    rejects_path: str | None = None,
+    since_date=None,
+) -> int:
+    """Compute the current state from Bronze and upsert it into the Silver
+    snapshot table.  Returns the batch size (0 writes nothing).
+
+    By default all of Bronze is re-read, as upstream.  With ``since_date``
+    only the batches ingested after that date are read (partition pruning) and
+    only their rows that beat the stored Silver row are upserted, which gives
+    the same table as a full recompute provided those batches are newer than
+    everything already merged.
 
     With ``on_error='quarantine'`` bad rows are written to ``rejects_path``
     (required then) instead of failing the job.
     """
-    batch, rejects = silver_batch(read_bronze(spark, bronze_path), on_error)
+    bronze = read_bronze(spark, bronze_path)
+    if since_date is not None:
+        bronze = bronze.filter(F.col("ingestion_date") > F.lit(since_date).cast("date"))
+    mapped = normalize(bronze)
     if on_error == "quarantine":
         if rejects_path is None:
             raise ValueError("rejects_path is required with on_error='quarantine'")
-        rejects.write.mode("append").parquet(rejects_path)
+        # Normalise once into a staging table next to Silver: the rejects are
+        # then a pushed-down Parquet filter and the batch reads the same files.
+        staged = f"{silver_path.rstrip('/')}/_normalized/run={uuid.uuid4().hex}"
+        mapped.write.parquet(staged)
+        mapped = spark.read.parquet(staged)
+        mapped.filter(F.col("reject_reason").isNotNull()).write.mode("append").parquet(rejects_path)
+    batch, _ = latest_silver(mapped, on_error)
+    if since_date is not None:
+        current = read_silver(spark, silver_path)
+        if current is not None:
+            batch = newer_than_current(batch, current, "job_id")
     return upsert_snapshot(batch, silver_path, "job_id")

@@ -74,3 +74,24 @@ def test_missing_table_reads_none(spark, tmp_dir):
     assert tables.read_snapshot(spark, os.path.join(tmp_dir, "none")) is None
     with pytest.raises(Exception):
         tables.read_bronze(spark, os.path.join(tmp_dir, "none")).count()
+
+
+def test_incremental_transform_equals_full_recompute(spark, tmp_dir):
+    def gh(job_id, title, updated):
+        return ("greenhouse", job_id, "acme", {"id": job_id, "title": title, "updated_at": updated}, "u")
+
+    d1, d2 = dt.date(2026, 8, 3), dt.date(2026, 8, 4)
+    first = [gh("1", "a1", "2026-01-10T00:00:00Z"), gh("2", "b1", "2026-01-10T00:00:00Z"), gh("3", "c1", None)]
+    second = [gh("1", "a2", "2026-01-10T00:00:00Z"),  # equal date: newer batch wins
+              gh("2", "b2", "2026-01-05T00:00:00Z"),  # older publication: stored row stays
+              gh("3", "c2", "2026-01-01T00:00:00Z"),  # stored row has no date: new one wins
+              gh("4", "d2", None)]
+    results = []
+    for mode in ("full", "incremental"):
+        b, s = os.path.join(tmp_dir, mode, "bronze"), os.path.join(tmp_dir, mode, "silver")
+        tables.append_bronze(batch(spark, first, d1), b)
+        transform(spark, b, s)
+        tables.append_bronze(batch(spark, second, d2), b)
+        transform(spark, b, s, since_date=d1 if mode == "incremental" else None)
+        results.append({r["job_id"]: r["title"] for r in tables.read_silver(spark, s).collect()})
+    assert results[0] == results[1] == {"greenhouse:1": "a2", "greenhouse:2": "b1", "greenhouse:3": "c2", "greenhouse:4": "d2"}
