@@ -64,6 +64,17 @@ def q_match_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(scored, "matched_skills", "missing_skills", "matched_keywords")
 
 
+TOP_K = 25
+
+
+def q_match_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P4 + O2 top-k: the best 25 postings per profile (per-profile
+    row_number, planned as a WindowGroupLimit before the shuffle)."""
+    postings = postings_from_part(table(spark, sf_dir, "part"))
+    scored = match_scores(postings, FLAGSHIP_PROFILES, ordered=True, top_k=TOP_K)
+    return _flat(scored, "matched_skills", "missing_skills", "matched_keywords")
+
+
 def q_profiles_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A profile from every conversation turn's text."""
     p = profiles_from_text(derived.cv_texts_from_conversations(spark, sf_dir))
@@ -242,6 +253,16 @@ def q_duplicate_postings_cross_source(spark: SparkSession, sf_dir: str) -> DataF
     return views.duplicate_postings(derived.silver_from_documents(spark, sf_dir), cross_source_only=True)
 
 
+def q_active_companies_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 option: current postings per company, without the postings that
+    disappeared between the last two batches (X2)."""
+    current = _events_latest(spark, sf_dir).select(
+        "job_id", F.split("job_id", ":").getItem(0).alias("company"), F.split("job_id", ":").getItem(0).alias("source")
+    )
+    removed = views.removed_postings(derived.bronze_from_events(spark, sf_dir), PREVIOUS_DAY, CURRENT_DAY)
+    return views.active_companies(current, removed=removed)
+
+
 def q_pipeline_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S5-S9, A4, P2 end to end on files: two Bronze appends, two Silver
     upserts, then the active-companies view written as a Gold snapshot and
@@ -277,6 +298,7 @@ def q_landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "match_scores": q_match_scores,
+    "match_top_k": q_match_top_k,
     "profiles_from_text": q_profiles_from_text,
     "tech_trends": q_tech_trends,
     "extract_terms_documents": q_extract_terms_documents,
@@ -296,6 +318,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_per_job": q_latest_per_job,
     "silver_upsert": q_silver_upsert,
     "active_companies": q_active_companies,
+    "active_companies_open": q_active_companies_open,
     "duplicate_postings": q_duplicate_postings,
     "duplicate_postings_cross_source": q_duplicate_postings_cross_source,
     "pipeline_roundtrip": q_pipeline_roundtrip,
@@ -303,6 +326,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = oracles.build_all(
+    top_k=TOP_K,
     profiles=FLAGSHIP_PROFILES,
     previous_day=PREVIOUS_DAY,
     current_day=CURRENT_DAY,
