@@ -21,21 +21,33 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[Colu
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
+def payload_hashes() -> list[Column]:
+    """Two independent hashes (64 + 32 bits) of the payload text: the last tie-breakers
+    of W1, so the window shuffle carries 16 bytes instead of the document."""
+    return [F.xxhash64("raw_payload").alias("_payload_h1"), F.hash("raw_payload").alias("_payload_h2")]
+
+
 def silver_order() -> list[Column]:
     """W1's total order: newest publication first (NULLs last), then the newest
-    batch, the newest fetch, and the payload hash so ties are deterministic."""
+    batch, the newest fetch, and the payload hashes so ties are deterministic.
+    Needs the columns of :func:`payload_hashes`."""
     return [
         F.col("publication_date").desc_nulls_last(),
         F.col("ingestion_date").desc_nulls_last(),
         F.col("fetched_at").desc_nulls_last(),
-        F.xxhash64("raw_payload").desc(),
-        F.col("raw_payload").desc(),
+        F.col("_payload_h1").desc(),
+        F.col("_payload_h2").desc(),
     ]
 
 
+def without_payload(mapped: DataFrame) -> DataFrame:
+    """Replace ``raw_payload`` by its hashes before a shuffle."""
+    return mapped.select(*[c for c in mapped.columns if c != "raw_payload"], *payload_hashes())
+
+
 def latest_postings(mapped: DataFrame) -> DataFrame:
     """W1 over normalised Bronze rows, keyed by ``job_id``."""
-    return latest_per_key(mapped, "job_id", silver_order())
+    return latest_per_key(without_payload(mapped), "job_id", silver_order()).drop("_payload_h1", "_payload_h2")
 
 
 def upsert_rows(current: DataFrame, batch: DataFrame, key: str = "job_id") -> DataFrame:

@@ -219,8 +219,11 @@ def _events_latest(spark: SparkSession, sf_dir: str, days=None) -> DataFrame:
     b = derived.bronze_from_events(spark, sf_dir)
     if days is not None:
         b = b.filter(F.col("ingestion_date").between(F.lit(days[0]), F.lit(days[1])))
-    keyed = b.select(F.concat_ws(":", "source", "source_job_id").alias("job_id"), "event_id", "value", "fetched_at", "ingestion_date", "raw_payload")
-    order = [F.col("fetched_at").desc_nulls_last(), F.col("ingestion_date").desc(), F.xxhash64("raw_payload").desc()]
+    keyed = b.select(
+        F.concat_ws(":", "source", "source_job_id").alias("job_id"), "event_id", "value", "fetched_at", "ingestion_date",
+        F.xxhash64("raw_payload").alias("_payload_h1"),
+    )
+    order = [F.col("fetched_at").desc_nulls_last(), F.col("ingestion_date").desc(), F.col("_payload_h1").desc()]
     return latest_per_key(keyed, "job_id", order)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..catalogs import TECHNOLOGY_CATALOG, Catalog
 from ..functions.terms import extract_terms
-from ..operators.latest import latest_per_key, latest_postings, newer_than_current, silver_order
+from ..operators.latest import latest_per_key, latest_postings, newer_than_current, silver_order, without_payload
 from ..operators.normalize import normalize, silver_projection, split_rejects
 from ..sources.tables import read_bronze, read_silver, upsert_snapshot
 
@@ -37,8 +37,8 @@ def latest_silver(mapped: DataFrame, on_error: str = "fail") -> tuple[DataFrame,
     normalising projections and evaluate the mapping twice.
     """
     if on_error == "quarantine":
-        latest = latest_per_key(mapped, "job_id", [F.col("reject_reason").isNull().desc(), *silver_order()])
-        good = latest.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+        latest = latest_per_key(without_payload(mapped), "job_id", [F.col("reject_reason").isNull().desc(), *silver_order()])
+        good = latest.filter(F.col("reject_reason").isNull()).drop("reject_reason", "_payload_h1", "_payload_h2")
         rejects = mapped.filter(F.col("reject_reason").isNotNull())
     else:
         checked, rejects = split_rejects(mapped, on_error)
