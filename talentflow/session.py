@@ -6,7 +6,6 @@ is for tests and ``bench.py`` only.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
