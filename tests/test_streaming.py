@@ -37,3 +37,18 @@ def test_stream_is_incremental_and_gated(spark, tmp_dir):
     df = tables.read_bronze(spark, bronze)
     assert sorted(r["source_job_id"] for r in df.collect()) == ["1", "2", "3"]
     assert df.filter("ingestion_date = DATE'2026-08-04'").count() == 3
+
+
+def test_replayed_batch_does_not_duplicate(spark, tmp_dir):
+    from talentflow.streaming.landing_stream import _batch_writer
+
+    bronze, rejects = os.path.join(tmp_dir, "bronze"), os.path.join(tmp_dir, "rejects")
+    batch = spark.createDataFrame(
+        [("greenhouse", "acme", dt.datetime(2026, 8, 4, 9), json.dumps({"jobs": [{"id": 1}, {"id": 2}]}))],
+        "source string, company_identifier string, fetched_at timestamp, body string",
+    )
+    write = _batch_writer(bronze, rejects, dt.date(2026, 8, 4))
+    write(batch, 7)
+    write(batch, 7)  # the same epoch again, as after a failure
+    write(batch.limit(0), 8)
+    assert tables.read_bronze(spark, bronze).count() == 2

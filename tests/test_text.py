@@ -35,10 +35,11 @@ def test_strip_html(spark):
             "<p>Tom &amp; Jerry</p>",
             "<script>var x = 1;</script>ok",
             "line1\n\n\tline2",
+            "a\u00a0\u00a0b\u2003c\u3000",
         ],
         strip_html("t"),
     )
-    assert got == ["Great remote opportunity", None, None, None, "a b c d e", "Tom &amp; Jerry", "var x = 1; ok", "line1 line2"]
+    assert got == ["Great remote opportunity", None, None, None, "a b c d e", "Tom &amp; Jerry", "var x = 1; ok", "line1 line2", "a b c"]
 
 
 def test_format_location(spark):
