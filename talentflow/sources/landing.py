@@ -43,8 +43,8 @@ SHAPES: dict[str, ResponseShape] = {
     "smartrecruiters": ResponseShape(("content", "postings"), ("applyUrl", "jobAdUrl")),
 }
 
-# Upper bound on a target list that is shipped to every task.
-MAX_BROADCAST_TARGETS = 1_000_000
+# Upper bound on a target list that is shipped to every task (~100 bytes a row).
+MAX_BROADCAST_TARGETS = 100_000
 
 
 def read_landed(spark: SparkSession, root: str) -> DataFrame:
@@ -74,11 +74,14 @@ def targets_frame(spark: SparkSession, targets: Iterable[tuple[str, str, str]])
 def gate_targets(responses: DataFrame, targets: DataFrame, broadcast_ok: bool | None = None) -> DataFrame:
     """S3: keep responses whose (source, company) target is not excluded.
 
-    The target list is a configuration dimension; it is broadcast when the
-    caller vouches for its size (``broadcast_ok``), otherwise AQE chooses from
-    the measured size at run time.
+    The target list is a configuration dimension.  ``broadcast_ok=True``: the
+    caller vouches for its size and it is broadcast; ``None`` (default): it is
+    counted and broadcast only when it has at most ``MAX_BROADCAST_TARGETS``
+    rows; ``False`` or a larger list: AQE chooses from measured sizes.
     """
     active = targets.filter(F.col("risk_tier") != "excluded").select("source", "company_identifier")
+    if broadcast_ok is None:
+        broadcast_ok = active.limit(MAX_BROADCAST_TARGETS + 1).count() <= MAX_BROADCAST_TARGETS
     if broadcast_ok:
         active = F.broadcast(active)
     return responses.join(active, ["source", "company_identifier"], "left_semi")
