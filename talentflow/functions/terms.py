@@ -37,10 +37,18 @@ def extract_terms(text: ColumnOrName, catalog: Catalog) -> Column:
 
 
 def _extract(t: Column, cat: dict) -> Column:
+    empty = F.array().cast("array<string>")
     hits = [F.when(t.rlike(term_pattern(cat[name])), F.lit(name)) for name in sorted(cat)]
     if not hits:
-        return F.array().cast("array<string>")
-    return F.array_except(F.array(*hits), F.array(F.lit(None).cast("string")))
+        return empty
+    found = F.array_except(F.array(*hits), F.array(F.lit(None).cast("string")))
+    if len(hits) == 1:
+        return found
+    # One pass with every variant decides whether any name can match (the
+    # engine backtracks through all alternatives at each position), so a text
+    # that mentions nothing is scanned once instead of once per name.
+    every = [v for name in sorted(cat) for v in cat[name]]
+    return F.when(t.rlike(term_pattern(every)), found).otherwise(empty)
 
 
 @per_context
