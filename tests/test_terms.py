@@ -97,3 +97,13 @@ def test_required_years_edge_cases(spark):
         0.0,
         10.0,
     ]
+
+
+def test_guarded_extraction_is_identical(spark):
+    texts = ["We use Databricks, PySpark and Azure Data Factory.", "nothing here", None, "", "SQL Server, t-sql", "GraphQL"]
+    df = one_col(spark, texts)
+    a = [r[0] for r in df.select(extract_technologies("t")).collect()]
+    from talentflow.catalogs import TECHNOLOGY_CATALOG
+
+    b = [r[0] for r in df.select(extract_terms("t", TECHNOLOGY_CATALOG, guard=True)).collect()]
+    assert a == b
