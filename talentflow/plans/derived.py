@@ -270,44 +270,57 @@ def board_b_payload(k: Column, name: Column, segment: Column, nation: Column, re
     )
 
 
-def payloads(spark: SparkSession, sf_dir: str, broken: bool = True, revision: int = 0) -> DataFrame:
-    """``source, source_job_id, company_identifier, raw_payload, url`` — two
-    payloads (one per provider shape) for every customer.  ``broken`` cuts
-    every 23rd board-A document short (invalid JSON).  ``revision`` 1 renames
-    every second posting (a later fetch of the same postings)."""
+SOURCES = ("greenhouse", "smartrecruiters")
+
+
+def payloads(spark: SparkSession, sf_dir: str, broken: bool = True, revisions: tuple[int, ...] = (0,)) -> DataFrame:
+    """``source, source_job_id, company_identifier, raw_payload, url,
+    revision`` — one payload per provider shape and revision for every
+    customer, all from a single scan (one ``explode`` of the literal variants,
+    then a ``CASE`` on the variant).  ``broken`` cuts every 23rd board-A
+    document short (invalid JSON).  Revision 1 renames every second posting
+    (a later fetch of the same postings)."""
     cg = customers_with_geo(spark, sf_dir)
-    cols_a, cols_b = _payload_columns(broken, revision)
-    return cg.select(*cols_a).unionByName(cg.select(*cols_b))
+    fan, cols = _payload_columns(broken, tuple(revisions))
+    return cg.select(*fan).select(*cols)
 
 
 @per_context
-def _payload_columns(broken: bool, revision: int) -> tuple[list[Column], list[Column]]:
+def _payload_columns(broken: bool, revisions: tuple[int, ...]) -> tuple[list[Column], list[Column]]:
+    variants = F.array(*[F.struct(F.lit(s).alias("source"), F.lit(r).alias("revision")) for r in revisions for s in SOURCES])
+    fan = ["c_custkey", "c_name", "c_mktsegment", "c_nationkey", "n_name", "r_name", F.explode(variants).alias("_var")]
     k = F.col("c_custkey")
-    name = F.when(k % 2 == 0, F.concat(F.col("c_name"), F.lit(" v2"))).otherwise(F.col("c_name")) if revision else F.col("c_name")
-    a = [
-        F.lit("greenhouse").alias("source"),
-        k.cast("string").alias("source_job_id"),
-        F.col("n_name").alias("company_identifier"),
-        board_a_payload(k, name, F.col("c_mktsegment"), F.col("n_name"), broken).alias("raw_payload"),
-        F.when(k % 3 == 1, F.concat(F.lit("https://boards.example.com/"), k.cast("string"))).otherwise(F.lit("")).alias("url"),
-        F.col("c_nationkey").alias("nationkey"),
-    ]
-    b = [
-        F.lit("smartrecruiters").alias("source"),
-        k.cast("string").alias("source_job_id"),
-        F.col("n_name").alias("company_identifier"),
-        board_b_payload(k, name, F.col("c_mktsegment"), F.col("n_name"), F.col("r_name")).alias("raw_payload"),
-        F.when(k % 2 == 0, F.concat(F.lit("https://jobs.example.com/"), k.cast("string")))
+    src, rev = F.col("_var.source"), F.col("_var.revision")
+    name = F.when((rev == 1) & (k % 2 == 0), F.concat(F.col("c_name"), F.lit(" v2"))).otherwise(F.col("c_name"))
+    payload = F.when(src == "greenhouse", board_a_payload(k, name, F.col("c_mktsegment"), F.col("n_name"), broken)).otherwise(
+        board_b_payload(k, name, F.col("c_mktsegment"), F.col("n_name"), F.col("r_name"))
+    )
+    url = (
+        F.when(src == "greenhouse", F.when(k % 3 == 1, F.concat(F.lit("https://boards.example.com/"), k.cast("string"))).otherwise(F.lit("")))
+        .when(k % 2 == 0, F.concat(F.lit("https://jobs.example.com/"), k.cast("string")))
         .when(k % 3 == 0, F.concat(F.lit("https://ads.example.com/"), k.cast("string")))
         .otherwise(F.lit(""))
-        .alias("url"),
+    )
+    cols = [
+        src.alias("source"),
+        k.cast("string").alias("source_job_id"),
+        F.col("n_name").alias("company_identifier"),
+        payload.alias("raw_payload"),
+        url.alias("url"),
         F.col("c_nationkey").alias("nationkey"),
+        rev.alias("revision"),
     ]
-    return a, b
+    return fan, cols
 
 
-def bronze_from_payloads(spark: SparkSession, sf_dir: str, ingestion_date, revision: int = 0, fetched_at: str = "2024-05-01 12:00:00") -> DataFrame:
-    p = payloads(spark, sf_dir, revision=revision)
+def bronze_batches(spark: SparkSession, sf_dir: str, batches, fetched_at: str = "2024-05-01 12:00:00") -> DataFrame:
+    """Bronze rows of several batches ``[(ingestion_date, revision), ...]``
+    (distinct revisions) from one scan of the customers."""
+    batches = list(batches)
+    day_of = F.lit(None).cast("date")
+    for day, rev in reversed(batches):
+        day_of = F.when(F.col("revision") == rev, F.lit(day).cast("date")).otherwise(day_of)
+    p = payloads(spark, sf_dir, revisions=tuple(rev for _, rev in batches))
     return p.select(
         "source",
         "source_job_id",
@@ -315,10 +328,14 @@ def bronze_from_payloads(spark: SparkSession, sf_dir: str, ingestion_date, revis
         F.to_timestamp(F.lit(fetched_at)).alias("fetched_at"),
         "url",
         "raw_payload",
-        F.lit(ingestion_date).cast("date").alias("ingestion_date"),
+        day_of.alias("ingestion_date"),
     )
 
 
+def bronze_from_payloads(spark: SparkSession, sf_dir: str, ingestion_date, revision: int = 0, fetched_at: str = "2024-05-01 12:00:00") -> DataFrame:
+    return bronze_batches(spark, sf_dir, [(ingestion_date, revision)], fetched_at)
+
+
 PAGE_SIZE = 50
 
 

@@ -150,9 +150,7 @@ def _silver_out(s: DataFrame) -> DataFrame:
 
 def q_silver_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P2 (N1-N10, W1, P1): two Bronze batches -> current Silver rows."""
-    bronze = derived.bronze_from_payloads(spark, sf_dir, FIRST_BATCH).unionByName(
-        derived.bronze_from_payloads(spark, sf_dir, SECOND_BATCH, revision=1)
-    )
+    bronze = derived.bronze_batches(spark, sf_dir, [(FIRST_BATCH, 0), (SECOND_BATCH, 1)])
     silver, _rejects = silver_batch(bronze, on_error="quarantine")
     return _silver_out(silver)
 
