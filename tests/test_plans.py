@@ -59,3 +59,28 @@ def test_scoring_has_no_join_or_shuffle(spark):
     plan = match_scores(df, [Profile({"Spark"}, set(), 5.0, "a"), Profile(set(), set(), 1.0, "b")], ordered=False) \
         ._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_checkpoint_dir_from_session_is_kept(spark):
+    from talentflow.session import ensure_checkpoint_dir, scratch_path
+
+    current = ensure_checkpoint_dir(spark)
+    assert ensure_checkpoint_dir(spark) == current
+    assert scratch_path(spark, "a", "b") == current.rstrip("/") + "/a/b"
+
+
+def test_target_gate_broadcasts_only_under_the_bound(spark, monkeypatch):
+    from talentflow.sources import landing
+
+    resp = spark.createDataFrame([("greenhouse", "a", None, '{"jobs": [{"id": 1}]}')],
+                                 "source string, company_identifier string, fetched_at timestamp, body string")
+    targets = landing.targets_frame(spark, [("greenhouse", "a", "none"), ("greenhouse", "b", "low"), ("greenhouse", "c", "excluded")])
+
+    def hinted(df):
+        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower() or \
+            "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+
+    assert hinted(landing.gate_targets(resp, targets))
+    monkeypatch.setattr(landing, "MAX_BROADCAST_TARGETS", 1)
+    assert not hinted(landing.gate_targets(resp, targets))
+    assert landing.gate_targets(resp, targets).count() == 1
