@@ -47,19 +47,24 @@ SHAPES: dict[str, ResponseShape] = {
 MAX_BROADCAST_TARGETS = 100_000
 
 
+LANDED_SCHEMA = "value string, source string, company_identifier string"
+
+
 def read_landed(spark: SparkSession, root: str) -> DataFrame:
     """Landed files laid out as ``root/source=<s>/company_identifier=<c>/*.json``.
 
     Returns ``source, company_identifier, fetched_at, body``; ``fetched_at`` is
-    the file's modification time.  One file is one response.
+    the file's modification time.  One file is one response.  The schema is
+    declared, so identifiers in directory names stay strings (``007``).
     """
     return (
         spark.read.format("text")
         .option("wholetext", True)
+        .schema(LANDED_SCHEMA)
         .load(root)
         .select(
-            F.col("source").cast("string"),
-            F.col("company_identifier").cast("string"),
+            "source",
+            "company_identifier",
             F.col("_metadata.file_modification_time").alias("fetched_at"),
             F.col("value").alias("body"),
         )

@@ -19,9 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.landing import explode_responses, gate_targets, to_bronze
-
-LANDED_SCHEMA = "value string, source string, company_identifier string"
+from ..sources.landing import LANDED_SCHEMA, explode_responses, gate_targets, to_bronze
 
 
 def landing_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None, per_line: bool = False) -> DataFrame:

@@ -75,9 +75,11 @@ def test_target_gate_and_bronze_rows(spark):
 def test_read_landed_files(spark, tmp_dir):
     import os
 
-    d = os.path.join(tmp_dir, "source=greenhouse", "company_identifier=acme")
-    os.makedirs(d)
-    with open(os.path.join(d, "page-1.json"), "w") as f:
-        f.write(json.dumps({"jobs": [{"id": 1}, {"id": 2}]}, indent=2))
+    for company in ("acme", "007"):
+        d = os.path.join(tmp_dir, "source=greenhouse", f"company_identifier={company}")
+        os.makedirs(d)
+        with open(os.path.join(d, "page-1.json"), "w") as f:
+            f.write(json.dumps({"jobs": [{"id": 1}, {"id": 2}]}, indent=2))
     rows, _ = landing.explode_responses(landing.read_landed(spark, tmp_dir))
-    assert sorted(r["source_job_id"] for r in rows.collect()) == ["1", "2"]
+    got = sorted((r["company_identifier"], r["source_job_id"]) for r in rows.collect())
+    assert got == [("007", "1"), ("007", "2"), ("acme", "1"), ("acme", "2")]
