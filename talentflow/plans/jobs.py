@@ -8,8 +8,10 @@ talentflow <job> ...`` runs them from the command line (spark-submit).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import views
 from ..operators.matching import build_profile, match_scores
@@ -21,14 +23,23 @@ GOLD_VIEWS = ("active_companies", "tech_trends", "duplicate_postings", "new_post
 
 def land_to_bronze(spark: SparkSession, landing_root: str, bronze_path: str, rejects_path: str,
                    targets: DataFrame | None = None, ingestion_date: dt.date | None = None) -> int:
-    """S1-S5 as one batch job over the landed files; returns rows appended."""
+    """S1-S5 as one batch job over the landed files; returns rows appended.
+
+    The landed files are parsed and exploded once into a staging folder next
+    to Bronze (hidden from readers by its leading underscore); postings and
+    rejects are then split from those files, so both outputs come from the
+    same read of the landing folder and the parse is not repeated.
+    """
     responses = landing.read_landed(spark, landing_root)
     if targets is not None:
-        responses = landing.gate_targets(responses, targets, broadcast_ok=True)
-    rows, rejects = landing.explode_responses(responses)
+        responses = landing.gate_targets(responses, targets)
+    staged = f"{bronze_path.rstrip('/')}/_landing/run={uuid.uuid4().hex}"
+    landing.explode_all(responses).write.parquet(staged)
+    out = spark.read.parquet(staged)
+    ok = F.col("reject_reason").isNull()
     day = ingestion_date or dt.datetime.now(dt.timezone.utc).date()
-    rejects.write.mode("append").parquet(rejects_path)
-    return tables.append_bronze(landing.to_bronze(rows, day), bronze_path)
+    out.filter(~ok).select(*landing.REJECT_COLUMNS).write.mode("append").parquet(rejects_path)
+    return tables.append_bronze(landing.to_bronze(out.filter(ok).drop("reject_reason"), day), bronze_path)
 
 
 def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str, since_date: dt.date | None = None,

@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-from ..functions.arrays import explode_rows
 from ..functions.json import field
 from ..schemas import BRONZE_COLUMNS, TARGETS
 
@@ -111,8 +110,22 @@ def explode_responses(responses: DataFrame, shapes: Mapping[str, ResponseShape]
     Postings: ``source, source_job_id, company_identifier, fetched_at, url,
     raw_payload``.  A response is rejected (with a reason) when its source has
     no shape, its text is not JSON, the chosen array key holds null or
-    something other than an array of objects, or a posting has no id.
+    something other than an array, or a posting has no id.  Both outputs come
+    from :func:`explode_all`; a job that writes both should materialise that
+    once (see ``plans.jobs.land_to_bronze``).
     """
+    out = explode_all(responses, shapes)
+    ok = F.col("reject_reason").isNull()
+    return out.filter(ok).drop("reject_reason"), out.filter(~ok).select(*REJECT_COLUMNS)
+
+
+REJECT_COLUMNS = ["source", "company_identifier", "fetched_at", "reject_reason"]
+
+
+def explode_all(responses: DataFrame, shapes: Mapping[str, ResponseShape] | None = None) -> DataFrame:
+    """Postings and rejects in one frame: ``source, source_job_id,
+    company_identifier, fetched_at, url, raw_payload, reject_reason`` (NULL for
+    a good posting; a rejected response gives one row with its reason)."""
     shp = dict(SHAPES if shapes is None else shapes)
     v = F.try_parse_json(F.col("body"))
     src = F.col("source")
@@ -156,8 +169,12 @@ def explode_responses(responses: DataFrame, shapes: Mapping[str, ResponseShape]
         .when(F.col("_elems").isNull(), F.lit("bad_postings_list"))
     )
     staged = staged.withColumn("_reason", reason)
-    good = staged.filter(F.col("_reason").isNull())
-    posts = explode_rows(good, F.col("_elems"), "raw_payload", keep=["source", "company_identifier", "fetched_at"])
+    # outer explode: a rejected response keeps one row (for its reason); an
+    # accepted response with no postings yields none (its position is NULL)
+    posts = staged.select(
+        "source", "company_identifier", "fetched_at", "_reason",
+        F.posexplode_outer(F.when(F.col("_reason").isNull(), F.col("_elems"))).alias("_pos", "raw_payload"),
+    ).filter(F.col("_reason").isNotNull() | F.col("_pos").isNotNull())
     pv = F.try_parse_json(F.col("raw_payload"))
 
     def url_of(s: ResponseShape) -> Column:
@@ -170,21 +187,21 @@ def explode_responses(responses: DataFrame, shapes: Mapping[str, ResponseShape]
     def id_of(s: ResponseShape) -> Column:
         return F.try_variant_get(pv, f"$.{s.id_key}", "string")
 
-    rows = posts.select(
+    with_ids = posts.select(
         "source",
         by_source(id_of).alias("source_job_id"),
         "company_identifier",
         "fetched_at",
         by_source(url_of).alias("url"),
         "raw_payload",
+        "_reason",
     )
-    rejected = staged.filter(F.col("_reason").isNotNull()).select(
-        "source", "company_identifier", "fetched_at", F.col("_reason").alias("reject_reason")
-    )
-    missing_id = rows.filter(F.col("source_job_id").isNull()).select(
-        "source", "company_identifier", "fetched_at", F.lit("posting_without_id").alias("reject_reason")
+    reject = F.coalesce(F.col("_reason"), F.when(F.col("source_job_id").isNull(), F.lit("posting_without_id")))
+    return with_ids.select(
+        *[F.when(reject.isNull(), F.col(c)).alias(c) if c in ("source_job_id", "url", "raw_payload") else F.col(c)
+          for c in ("source", "source_job_id", "company_identifier", "fetched_at", "url", "raw_payload")],
+        reject.alias("reject_reason"),
     )
-    return rows.filter(F.col("source_job_id").isNotNull()), rejected.unionByName(missing_id)
 
 
 def to_bronze(postings: DataFrame, ingestion_date: dt.date | None = None) -> DataFrame:
