@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.landing import LANDED_SCHEMA, explode_responses, gate_targets, to_bronze
+from ..sources.landing import LANDED_SCHEMA, REJECT_COLUMNS, explode_all, gate_targets, to_bronze
 
 
 def landing_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None, per_line: bool = False) -> DataFrame:
@@ -41,9 +41,11 @@ def landing_stream(spark: SparkSession, root: str, max_files_per_trigger: int |
 def _batch_writer(bronze_path: str, rejects_path: str, ingestion_date: dt.date | None):
     def write(batch: DataFrame, batch_id: int) -> None:
         day = ingestion_date or dt.datetime.now(dt.timezone.utc).date()
-        batch.persist()
+        # parse and explode the micro-batch once; both writes read the result
+        out = explode_all(batch).persist()
         try:
-            rows, rejects = explode_responses(batch)
+            ok = F.col("reject_reason").isNull()
+            rows, rejects = out.filter(ok).drop("reject_reason"), out.filter(~ok).select(*REJECT_COLUMNS)
             (
                 to_bronze(rows, day)
                 .withColumn("batch_id", F.lit(batch_id))
@@ -61,7 +63,7 @@ def _batch_writer(bronze_path: str, rejects_path: str, ingestion_date: dt.date |
                 .parquet(rejects_path)
             )
         finally:
-            batch.unpersist()
+            out.unpersist()
 
     return write
 
