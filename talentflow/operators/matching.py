@@ -86,6 +86,22 @@ def build_profile(spark: SparkSession, cv_text: str, years_experience: float, pr
     return Profile(frozenset(row["t"]), frozenset(row["k"]), years_experience, profile_id)
 
 
+def profiles_from_frame(profiles: DataFrame, limit: int = MAX_LITERAL_PROFILES) -> list[Profile]:
+    """Profiles held in a DataFrame (as produced by :func:`profiles_from_text`)
+    as literal :class:`Profile` values for :func:`match_scores`.
+
+    The rows are counted first (at most ``limit + 1`` are read) and only then
+    brought to the driver, so an unexpectedly large table fails fast instead of
+    flooding the driver; score larger candidate sets in slices of ``limit``.
+    """
+    if profiles.limit(limit + 1).count() > limit:
+        raise ValueError(f"more than {limit} profiles; score them in slices")
+    return [
+        Profile(frozenset(r["technologies"] or ()), frozenset(r["keywords"] or ()), r["years_experience"] or 0.0, r["profile_id"])
+        for r in profiles.select("profile_id", "technologies", "keywords", "years_experience").collect()
+    ]
+
+
 MATCH_COLUMNS = [
     "job_id",
     "company",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from talentflow.operators.matching import Profile, build_profile, match_scores
 
 
@@ -115,3 +117,22 @@ def test_several_profiles_and_top_k(spark):
     assert [(r["profile_id"], r["job_id"], r["match_score"]) for r in rows] == [("k", "b", 100), ("s", "a", 100)]
     single = match_scores(df, ps[0], top_k=2).collect()
     assert [r["job_id"] for r in single] == ["a", "c"]
+
+
+def test_profiles_from_text_frame_feed_the_scorer(spark):
+    from talentflow.operators.matching import profiles_from_frame, profiles_from_text
+
+    cvs = spark.createDataFrame(
+        [("a", "Spark and Kafka, agile teams", 6.0), ("b", "Python only", 1.0)],
+        "profile_id string, cv_text string, years_experience double",
+    )
+    profs = profiles_from_frame(profiles_from_text(cvs))
+    assert {p.profile_id: (p.technologies, p.keywords) for p in profs} == {
+        "a": (frozenset({"Kafka", "Spark"}), frozenset({"Agile"})),
+        "b": (frozenset({"Python"}), frozenset()),
+    }
+    rows = match_scores(postings(spark, [("j", ["Spark"], "Agile, 5 years")]), profs, ordered=True).collect()
+    # b: no required skill, years 1 - 4/5 = 0.2 -> (0*0.7 + 0.2*0.3)*100 = 6
+    assert [(r["profile_id"], r["match_score"]) for r in rows] == [("a", 100), ("b", 6)]
+    with pytest.raises(ValueError):
+        profiles_from_frame(profiles_from_text(cvs), limit=1)
