@@ -39,7 +39,9 @@ def land_to_bronze(spark: SparkSession, landing_root: str, bronze_path: str, rej
     ok = F.col("reject_reason").isNull()
     day = ingestion_date or dt.datetime.now(dt.timezone.utc).date()
     out.filter(~ok).select(*landing.REJECT_COLUMNS).write.mode("append").parquet(rejects_path)
-    return tables.append_bronze(landing.to_bronze(out.filter(ok).drop("reject_reason"), day), bronze_path)
+    rows = tables.append_bronze(landing.to_bronze(out.filter(ok).drop("reject_reason"), day), bronze_path)
+    tables.delete_path(spark, staged)
+    return rows
 
 
 def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str, since_date: dt.date | None = None,

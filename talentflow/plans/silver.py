@@ -11,7 +11,7 @@ from ..catalogs import TECHNOLOGY_CATALOG, Catalog
 from ..functions.terms import extract_terms
 from ..operators.latest import latest_per_key, latest_postings, newer_than_current, silver_order, without_payload
 from ..operators.normalize import normalize, silver_projection, split_rejects
-from ..sources.tables import read_bronze, read_silver, upsert_snapshot
+from ..sources.tables import delete_path, read_bronze, read_silver, upsert_snapshot
 
 
 def enrich_with_technologies(silver: DataFrame, catalog: Catalog = TECHNOLOGY_CATALOG) -> DataFrame:
@@ -84,4 +84,7 @@ def transform(
         current = read_silver(spark, silver_path)
         if current is not None:
             batch = newer_than_current(batch, current, "job_id")
-    return upsert_snapshot(batch, silver_path, "job_id")
+    written = upsert_snapshot(batch, silver_path, "job_id")
+    if on_error == "quarantine":
+        delete_path(spark, staged)  # the new version and the rejects are written
+    return written

@@ -130,4 +130,34 @@ def upsert_snapshot(batch: DataFrame, path: str, key: str = "job_id") -> int:
     current = read_snapshot(spark, path, batch.schema)
     merged = staged if current is None else upsert_rows(current, staged, key)
     merged.write.mode("error").parquet(f"{path.rstrip('/')}/v={n}")
+    delete_path(spark, staged_path)  # version n is committed; the staging copy is garbage
     return rows
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Recursively delete ``path`` (a staging folder this library wrote)."""
+    fs, p, _ = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+def vacuum(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Delete all but the newest ``keep`` committed versions of a snapshot
+    table, versions left behind by interrupted writes, and leftover staging
+    folders.  Run it between jobs (one writer at a time); returns what was
+    deleted.  Readers of the newest version are never affected."""
+    if keep < 1:
+        raise ValueError("keep must be at least 1")
+    fs, p, jvm = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    committed = versions(spark, path)
+    survivors = set(committed[-keep:])
+    deleted = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        m = _VERSION.match(name)
+        if (m and int(m.group(1)) not in survivors and (not committed or int(m.group(1)) < committed[-1])) or name in ("_batches", "_normalized"):
+            fs.delete(st.getPath(), True)
+            deleted.append(name)
+    return sorted(deleted)

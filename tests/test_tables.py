@@ -95,3 +95,16 @@ def test_incremental_transform_equals_full_recompute(spark, tmp_dir):
         transform(spark, b, s, since_date=d1 if mode == "incremental" else None)
         results.append({r["job_id"]: r["title"] for r in tables.read_silver(spark, s).collect()})
     assert results[0] == results[1] == {"greenhouse:1": "a2", "greenhouse:2": "b1", "greenhouse:3": "c2", "greenhouse:4": "d2"}
+
+
+def test_staging_is_removed_and_vacuum_keeps_newest(spark, tmp_dir):
+    s = os.path.join(tmp_dir, "snap")
+    for i in range(4):
+        tables.upsert_snapshot(spark.createDataFrame([(f"k{i}", i)], "job_id string, v int"), s)
+    assert tables.versions(spark, s) == [0, 1, 2, 3]
+    assert os.listdir(os.path.join(s, "_batches")) == []  # each run removed its staging copy
+    os.makedirs(os.path.join(s, "v=4"))  # an interrupted write
+    deleted = tables.vacuum(spark, s, keep=2)
+    assert deleted == ["_batches", "v=0", "v=1"]
+    assert tables.versions(spark, s) == [2, 3] and os.path.isdir(os.path.join(s, "v=4"))
+    assert sorted(r["job_id"] for r in tables.read_snapshot(spark, s).collect()) == ["k0", "k1", "k2", "k3"]
