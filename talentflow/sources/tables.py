@@ -157,7 +157,10 @@ def vacuum(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
     for st in fs.listStatus(p):
         name = st.getPath().getName()
         m = _VERSION.match(name)
-        if (m and int(m.group(1)) not in survivors and (not committed or int(m.group(1)) < committed[-1])) or name in ("_batches", "_normalized"):
+        # only versions older than the newest committed one: anything newer may
+        # be a write in flight
+        stale = bool(m) and bool(committed) and int(m.group(1)) < committed[-1] and int(m.group(1)) not in survivors
+        if stale or name in ("_batches", "_normalized"):
             fs.delete(st.getPath(), True)
             deleted.append(name)
     return sorted(deleted)

@@ -108,3 +108,6 @@ def test_staging_is_removed_and_vacuum_keeps_newest(spark, tmp_dir):
     assert deleted == ["_batches", "v=0", "v=1"]
     assert tables.versions(spark, s) == [2, 3] and os.path.isdir(os.path.join(s, "v=4"))
     assert sorted(r["job_id"] for r in tables.read_snapshot(spark, s).collect()) == ["k0", "k1", "k2", "k3"]
+    fresh = os.path.join(tmp_dir, "fresh")
+    os.makedirs(os.path.join(fresh, "v=0"))  # a first write still in flight
+    assert tables.vacuum(spark, fresh) == [] and os.path.isdir(os.path.join(fresh, "v=0"))
