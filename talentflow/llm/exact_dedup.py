@@ -50,14 +50,16 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     )
     # A group of (length, prefix) lies within one length group, so a single
     # partial aggregate settles both levels.
-    alive = keys.groupBy("n_bytes", "head").count().filter("count > 1").select("n_bytes", "head")
+    # Group tables are stored before the join back: both of its sides are then
+    # plain exchanges, which adaptive execution splits at a hot group.
+    alive = shared(keys.groupBy("n_bytes", "head").count().filter("count > 1").select("n_bytes", "head"))
     survivors = keys.join(alive, ["n_bytes", "head"], "left_semi").select("doc_id").distinct()
     full = shared(
         base.join(survivors, "doc_id", "left_semi").select(
             "doc_id", F.char_length("text").alias("n_chars"), F.sha2(normalised(F.col("text")), 256).alias("text_sha256")
         )
     )
-    groups = (
+    groups = shared(
         full.groupBy("text_sha256")
         .agg(F.count("*").alias("group_size"), F.min(F.struct((-F.col("n_chars")).alias("n"), "doc_id")).alias("first"))
         .filter("group_size > 1")

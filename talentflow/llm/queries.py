@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup
+from . import bpe, exact_dedup, ngram_join, secrets
 from .common import read_table
 
 
@@ -15,15 +15,26 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_report(read_table(spark, sf_dir, "documents"))
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(read_table(spark, sf_dir, "documents"))
+
+
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(read_table(spark, sf_dir, "documents"), ids=False)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op8_secrets": op8_secrets,
+    "op9_ngram_join": op9_ngram_join,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.ORACLE,
+    "op8_secrets": secrets.oracle(),
 }
