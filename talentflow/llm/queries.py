@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, countmin, exact_dedup, ngram_join, secrets
+from . import bpe, countmin, exact_dedup, ngram_join, secrets, suffix_array
 from .common import read_table
 
 
@@ -15,6 +15,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_report(read_table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array.remove_repeats(read_table(spark, sf_dir, "documents"), texts=False)
+
+
 def op7_countmin_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return countmin.remove_repeats(read_table(spark, sf_dir, "documents"), texts=False)
 
@@ -33,6 +37,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_suffix_array": op3_suffix_array,
     "op7_countmin_substrings": op7_countmin_substrings,
     "op8_secrets": op8_secrets,
     "op9_ngram_join": op9_ngram_join,
