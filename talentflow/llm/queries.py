@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, countmin, exact_dedup, ngram_join, secrets, suffix_array
+from . import bpe, countmin, decontaminate, exact_dedup, ngram_join, secrets, suffix_array
 from .common import read_table
 
 
@@ -15,6 +15,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_report(read_table(spark, sf_dir, "documents"))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaked_pairs(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_array.remove_repeats(read_table(spark, sf_dir, "documents"), texts=False)
 
@@ -37,6 +41,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_decontaminate": op2_decontaminate,
     "op3_suffix_array": op3_suffix_array,
     "op7_countmin_substrings": op7_countmin_substrings,
     "op8_secrets": op8_secrets,
