@@ -50,7 +50,7 @@ def sketch_bits(total_bytes: int, max_cells: int = MAX_CELLS) -> int:
 
 
 def _cells(keys: np.ndarray, bits: int, depth: int) -> np.ndarray:
-    return mix(keys + U64((depth + 1) * 0x632BE59BD9B4E019)) >> U64(64 - bits)
+    return mix(keys + U64((depth + 1) * 0x632BE59BD9B4E019 % (1 << 64))) >> U64(64 - bits)
 
 
 def _pack(cells: np.ndarray) -> bytes:

@@ -22,40 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .chars import chunks, normalised, q_grams
 from .common import text_of
-from .tokens import U64, Powers, mix, range_hashes
+from .tokens import U64
 
 GRAM, EDIT_RATE = 8, 0.1
 BLOCK_CHARS = 4_000_000
-CHUNK_CHARS = 1 << 19
 FILTER_BITS = 22
-CHAR_POWERS = Powers(0xA0761D6478BD642F)
 START_BITS = 32
 DENSE_PAIRS = 1 << 22
-# Lower case of the characters that have a one-character lower case.
-LOWER = np.arange(0x110000, dtype=np.uint32)
-for _c in range(0x20000):
-    _l = chr(_c).lower() if not 0xD800 <= _c < 0xE000 else ""
-    if len(_l) == 1:
-        LOWER[_c] = ord(_l)
-SPACES = np.array([c for c in range(0x3001) if chr(c).isspace()], np.uint32)
-MAY_SPACE = np.zeros(0x3002, bool)
-MAY_SPACE[SPACES] = True
-
-
-def normalised(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(characters, place of each in the joined input, row bounds) of the texts
-    in lower case with every run of white space as one space."""
-    raw = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
-    bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-    space = MAY_SPACE[np.minimum(raw, 0x3001)]
-    again = np.zeros(len(raw), bool)
-    again[1:] = space[1:] & space[:-1]
-    inner = bounds[:-1][bounds[:-1] < len(raw)]
-    again[inner] = False  # a row's first character never continues a run
-    place = np.flatnonzero(~again)
-    chars = np.where(space[place], np.uint32(0x20), LOWER[raw[place]])
-    return chars, place, np.searchsorted(place, bounds)
 
 
 def edit_budget(m: int, rate: float, q: int) -> int:
@@ -135,20 +110,6 @@ def _distinct(band: np.ndarray, gram: np.ndarray) -> np.ndarray:
     return band[new]
 
 
-def q_grams(chars: np.ndarray, bounds: np.ndarray, q: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, position) of every q-gram that stays within its row."""
-    n = len(chars) - q + 1
-    if n <= 0:
-        return np.zeros(0, U64), np.zeros(0, np.int64)
-    ok = np.ones(n, bool)
-    for k in range(1, q):  # a q-gram that starts k before a row's end crosses it
-        cross = bounds[1:] - k
-        ok[cross[(cross >= 0) & (cross < n)]] = False
-    at = np.flatnonzero(ok)
-    values = mix(chars.astype(U64) + U64(1))
-    return range_hashes(values, at, at + q, CHAR_POWERS), at
-
-
 def align(items: ItemIndex, item: np.ndarray, diagonal: np.ndarray, row: np.ndarray, chars: np.ndarray, bounds: np.ndarray):
     """(distance, start, end) of the best alignment of each item within its
     band of 2(e+1) diagonals; many bands at once, one item character a step."""
@@ -256,13 +217,8 @@ def find_leaks(
             item_ids = pa.array(items.ids)
             for batch in batches:
                 texts = batch.column(1).to_pylist()
-                at = 0
-                while at < len(texts):
-                    end, size = at + 1, len(texts[at])
-                    while end < len(texts) and size + len(texts[end]) <= CHUNK_CHARS:
-                        size += len(texts[end])
-                        end += 1
-                    found = matches(items, texts[at:end])
+                for at, part in chunks(texts):
+                    found = matches(items, part)
                     if found:
                         row, item, lo, hi, dist = (list(c) for c in zip(*found))
                         yield pa.RecordBatch.from_arrays(
@@ -275,7 +231,6 @@ def find_leaks(
                             ],
                             names=["doc_id", "item_id", "start", "end", "distance"],
                         )
-                    at = end
 
         return src.mapInArrow(run, schema)
 

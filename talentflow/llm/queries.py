@@ -6,9 +6,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, countmin, decontaminate, exact_dedup, ngram_join, secrets, suffix_array
-from .common import read_table
+from . import bpe, countmin, decontaminate, exact_dedup, language, ngram_join, quality, secrets, suffix_array, toxicity
+from .common import crc_mod, read_table, text_of
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +24,33 @@ def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_array.remove_repeats(read_table(spark, sf_dir, "documents"), texts=False)
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from documents whose crc32(doc_id) mod 3 is not 1."""
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = crc_mod("doc_id", 3) == 1
+    model = language.fit(docs.filter(~held_out & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang"))
+    return language.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def training_rows(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
+    """doc_id, text, label of the labelled documents outside the held-out fold."""
+    labels = read_table(spark, sf_dir, "labels").filter((crc_mod("doc_id", 5) != 0) & F.col(label).isNotNull())
+    labels = labels.groupBy("doc_id").agg(F.max(label).alias("label"))
+    return text_of(read_table(spark, sf_dir, "documents"), "doc_id", "text").join(labels, "doc_id")
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = quality.fit(training_rows(spark, sf_dir, "quality"))
+    scored = quality.predict(read_table(spark, sf_dir, "documents"), model)
+    return scored.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = toxicity.fit(training_rows(spark, sf_dir, "toxic"))
+    scored = toxicity.predict(read_table(spark, sf_dir, "documents"), model)
+    return scored.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op7_countmin_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return countmin.remove_repeats(read_table(spark, sf_dir, "documents"), texts=False)
 
@@ -43,6 +71,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_decontaminate": op2_decontaminate,
     "op3_suffix_array": op3_suffix_array,
+    "op4_language": op4_language,
+    "op5_quality": op5_quality,
+    "op6_toxicity": op6_toxicity,
     "op7_countmin_substrings": op7_countmin_substrings,
     "op8_secrets": op8_secrets,
     "op9_ngram_join": op9_ngram_join,

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import text_of
+from .common import shared, text_of
 
 # The base patterns.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -132,6 +132,7 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .filter("part.value <> ''")
         .select("doc_id", "row", "kind", "n", "part.gap", F.col("part.value").alias("value"))
     )
+    rows = shared(rows)  # read by the base and the entropy branch: one scan of the texts
     order = Window.partitionBy("doc_id", "row", "kind").orderBy("n")
     located = rows.withColumn("end", F.sum(F.col("gap") + F.char_length("value")).over(order)).withColumn(
         "start", F.col("end") - F.char_length("value")
