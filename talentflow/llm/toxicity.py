@@ -30,7 +30,7 @@ from .tokens import U64, Powers, mix, range_hashes
 SAMPLE = 12000
 WORD_VOTERS, PATTERN_VOTERS, TERMS = 64, 64, 1024
 GRAM = 6
-MIN_DOCS, MIN_LIFT = 4, 4.0
+MIN_DOCS, MIN_LIFT = 4, 16.0
 THRESHOLD = 0.5
 TERM_POWERS = Powers(0xE7037ED1A0B428DB)
 FILTER_BITS = 22
@@ -80,20 +80,30 @@ def label_model(votes: np.ndarray, prior: float, rounds: int = 30) -> tuple[np.n
     A vote of voter j weighs log(hit[1, j] / hit[0, j]), its hit rates under the
     two classes; no vote is no evidence.  That ratio is divided by the voter's
     repeated evidence: one plus the squared correlations with other voters that
-    are left given the class.  The intercept keeps the mean posterior at the
-    class prior, which ties the classes down while the rates are estimated.
+    are left given the class.  Rows without any vote keep a small part of the
+    prior; the intercept gives the rows with votes the rest of the class (at
+    most 95 % of them), which ties the classes down while rates are estimated.
     """
     n, v = votes.shape
     prior = min(max(prior, 1e-3), 1 - 1e-3)
     if not n or not v:
         return np.full(n, prior), {"hit": np.zeros((2, v)), "weight": np.ones(v)}
     x = votes.astype(np.float64)
-    post = _tied(np.log1p(x.sum(axis=1)), prior)
+    voted = x.any(axis=1)
+    share = min(0.95, prior * n / max(voted.sum(), 1))
+
+    def posterior(evidence: np.ndarray) -> np.ndarray:
+        out = np.full(n, prior * 0.05)
+        if voted.any():
+            out[voted] = _tied(evidence[voted], share)
+        return out
+
+    post = posterior(np.log1p(x.sum(axis=1)))
     for _ in range(rounds):
         mass = np.array([(1 - post).sum(), post.sum()])
         hit = (np.stack([(1 - post) @ x, post @ x]) + np.array([[0.5], [0.5]]) * x.mean(axis=0)) / (mass[:, None] + 0.5)
         weight = 1 / (1 + _repeated_evidence(x, post, hit))
-        post = _tied(x @ (weight * np.maximum(np.log(hit[1]) - np.log(hit[0]), 0)), prior)
+        post = posterior(x @ (weight * np.maximum(np.log(hit[1]) - np.log(hit[0]), 0)))
     return post, {"hit": hit, "weight": weight}
 
 
