@@ -48,6 +48,8 @@ class Filter:
         self.false_rate = np.array(fill) ** HASHES
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        if not self.languages:  # nothing was learned
+            return [UNKNOWN] * len(texts), np.zeros(len(texts))
         chars, bounds = letters(texts)
         grams, at = q_grams(chars, bounds, GRAM)
         mask = np.full(len(grams), np.iinfo(self.table.dtype).max, self.table.dtype)
@@ -63,8 +65,8 @@ class Filter:
         some = np.diff(np.concatenate([[0], np.cumsum(IS_LETTER[chars])])[bounds]) > 0
         total = true.sum(axis=1)
         best = true.argmax(axis=1)
-        score = np.where(total > 0, true[np.arange(len(texts)), best] / np.where(total > 0, total, 1), 1 / max(1, len(self.languages)))
-        names = [self.languages[b] if s and self.languages else UNKNOWN for b, s in zip(best, some)]
+        score = np.where(total > 0, true[np.arange(len(texts)), best] / np.where(total > 0, total, 1), 1 / len(self.languages))
+        names = [self.languages[b] if s else UNKNOWN for b, s in zip(best, some)]
         return names, np.where(some, score, 0.0)
 
 
@@ -84,7 +86,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                         [pa.array([name] * len(g)), pa.array(g.view(np.int64)), pa.array(n, pa.int64())], names=["lang", "gram", "n"]
                     )
 
-    return docs.select("text", "lang").mapInArrow(count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return docs.select(F.coalesce("text", F.lit("")), "lang").mapInArrow(count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE_PER_LANGUAGE) -> Filter:
@@ -118,7 +120,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE_PER_LANGUAGE) -> Filter:
 
 def predict(docs: DataFrame, model: Filter, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, lang_pred, score.  A text that is null or
-    has no letter is ``und`` with score 0; a text none of whose n-grams is known
+    has no letter, and any text when no language was learned, is ``und`` with score 0; a text none of whose n-grams is known
     takes the first language, with an even score.  Repeated rows are scored
     each; other columns are ignored."""
     src = text_of(docs, id_col, text_col)

@@ -195,7 +195,9 @@ def _association(sample: DataFrame, prior_docs: tuple[int, int]) -> DataFrame:
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> LinearModel:
     """``labelled``: doc_id, text, label (0/1, no nulls).  Only per-term totals
     of the chosen terms and the sample's occurrences of them reach the driver."""
-    rows = sample_by_hash(labelled.select("doc_id", "text", F.col("label").cast("int").alias("label")), "doc_id", sample)
+    rows = sample_by_hash(
+        labelled.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("label").cast("int").alias("label")), "doc_id", sample
+    )
     n = rows.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count("*")).first()
     n_toxic, n_clean = int(n[0]), int(n[1] - n[0])
     if not n_toxic or not n_clean:
