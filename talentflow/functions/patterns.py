@@ -18,9 +18,19 @@ PY_WHITESPACE_CLASS = (
 )
 
 # Unicode-aware, case-insensitive flags: (?i) case folding, (?U) Unicode
-# character classes and word boundaries (as Python's re on str).
+# character classes.  Java's own \\b and \\w are not used: they count combining
+# marks and joiners as word characters, Python's do not.
 UNICODE_CI = "(?iU)"
 
+# The word characters of Python's re on str: letters, numbers, underscore.
+WORD_CLASS = r"[\p{L}\p{N}_]"
+AFTER_NON_WORD, AFTER_WORD = f"(?<!{WORD_CLASS})", f"(?<={WORD_CLASS})"
+BEFORE_NON_WORD, BEFORE_WORD = f"(?!{WORD_CLASS})", f"(?={WORD_CLASS})"
+
+
+def is_word(ch: str) -> bool:
+    return ch == "_" or ch.isalnum()
+
 _PLAIN = set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789 _")
 
 

@@ -48,16 +48,26 @@ def skill_ratio(matched: Column, missing: Column) -> Column:
 
 
 def years_fit(required_years: Column, candidate_years: Column) -> tuple[Column, Column]:
-    """(years_score, gap).  Unknown requirement -> (1.0, NULL)."""
+    """(years_score, gap).  Unknown requirement -> (1.0, NULL).
+
+    An infinite requirement scores 0.  (Spark orders NaN above every number,
+    so it is tested for before any comparison.)
+    """
     gap = candidate_years.cast("double") - required_years
+    share = F.lit(1.0) + gap / F.greatest(required_years, F.lit(1.0))
     score = (
         F.when(required_years.isNull(), F.lit(NEUTRAL_YEARS_SCORE))
-        .when(gap >= 0, F.lit(1.0))
-        .otherwise(F.greatest(F.lit(0.0), F.lit(1.0) + gap / F.greatest(required_years, F.lit(1.0))))
+        .when(gap_met(gap), F.lit(1.0))
+        .when(F.isnan(share), F.lit(0.0))
+        .otherwise(F.greatest(F.lit(0.0), share))
     )
     return score, gap
 
 
+def gap_met(gap: Column) -> Column:
+    return (gap >= 0) & ~F.isnan(gap)
+
+
 def keyword_bonus(cv_keywords: Column, posting_keywords: Column) -> tuple[Column, Column]:
     """(matched keywords sorted, bonus points capped)."""
     matched = F.sort_array(F.array_intersect(F.coalesce(cv_keywords, _empty()), F.coalesce(posting_keywords, _empty())))
@@ -76,8 +86,15 @@ def final_score(ratio: Column, years_score: Column, bonus: Column) -> Column:
 
 
 def _int_text(x: Column) -> Column:
-    """A double rounded half-even and printed without decimals."""
-    return F.rint(x).cast("decimal(38,0)").cast("string")
+    """A double rounded half-even and printed without decimals, whatever its
+    size: ``inf`` and ``nan`` by name; from 2**63 on, digits past the 17th may
+    differ from the exact binary value."""
+    return (
+        F.when(F.isnan(x), F.lit("nan"))
+        .when(F.abs(x) == F.lit(float("inf")), F.when(x > 0, F.lit("inf")).otherwise(F.lit("-inf")))
+        .when(F.abs(x) < F.lit(2.0**63), F.rint(x).cast("bigint").cast("string"))
+        .otherwise(F.format_string("%.0f", x))
+    )
 
 
 def _fill(template: str, **parts: Column) -> Column:
@@ -114,7 +131,7 @@ def rationale(
     ).otherwise(F.lit(TXT_NO_TECH))
     years = (
         F.when(required_years.isNull(), F.lit(TXT_NO_YEARS))
-        .when(gap >= 0, _fill(TXT_YEARS_OK, y=_int_text(required_years), gap=_int_text(gap)))
+        .when(gap_met(gap), _fill(TXT_YEARS_OK, y=_int_text(required_years), gap=_int_text(gap)))
         .otherwise(_fill(TXT_YEARS_GAP, y=_int_text(required_years), gap=_int_text(F.abs(gap))))
     )
     kw = F.when(F.size(matched_keywords) > 0, _fill(TXT_KEYWORDS, kw=F.array_join(matched_keywords, ", ")))

@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..catalogs import KEYWORD_CATALOG, TECHNOLOGY_CATALOG, Catalog, validate
 from .memo import freeze, per_context
-from .patterns import PY_WHITESPACE_CLASS, UNICODE_CI, escape_literal
+from .patterns import (
+    AFTER_NON_WORD,
+    AFTER_WORD,
+    BEFORE_NON_WORD,
+    BEFORE_WORD,
+    PY_WHITESPACE_CLASS,
+    UNICODE_CI,
+    escape_literal,
+    is_word,
+)
 
 ColumnOrName = Column | str
 
@@ -17,9 +28,21 @@ def _c(x: ColumnOrName) -> Column:
 
 
 def term_pattern(variants) -> str:
-    """Java regex matching any variant as a whole word, case-insensitively."""
-    alts = "|".join(escape_literal(v) for v in variants)
-    return UNICODE_CI + r"\b(?:" + alts + r")\b"
+    """Java regex matching any variant as a whole word, case-insensitively.
+
+    A word boundary at an edge depends on the variant's own character there: a
+    variant that starts with a word character needs none before it, one that
+    starts with another character needs one (likewise at the end).  Variants
+    are grouped by their two edges.
+    """
+    by_edges: dict[tuple[str, str], list[str]] = {}
+    for v in variants:
+        edges = (
+            AFTER_NON_WORD if is_word(v[0]) else AFTER_WORD,
+            BEFORE_NON_WORD if is_word(v[-1]) else BEFORE_WORD,
+        )
+        by_edges.setdefault(edges, []).append(escape_literal(v))
+    return UNICODE_CI + "|".join(f"{a}(?:{'|'.join(vs)}){b}" for (a, b), vs in by_edges.items())
 
 
 def extract_terms(text: ColumnOrName, catalog: Catalog, guard: bool = False) -> Column:
@@ -71,17 +94,26 @@ def extract_keywords(text: ColumnOrName) -> Column:
 _WS = PY_WHITESPACE_CLASS
 # --- Fixed value: the required-years phrase ("5+ years", "3-5 years",
 # "4 anni"); group 1 is the first number, i.e. the lower bound of a range.
+# A number is tried once, at its first digit, and every run of white space is
+# possessive: no two adjacent runs can trade characters, so a search is linear.
 YEARS_PATTERN = (
     UNICODE_CI
-    + r"(\d+)" + _WS + r"*(?:\+)?" + _WS + r"*(?:-" + _WS + r"*\d+" + _WS + r"*)?"
-    + _WS + r"*(?:years?|anni)\b"
+    + r"(?<!\d)(\d++)" + _WS + r"*+(?:\+" + _WS + r"*+)?(?:-" + _WS + r"*+\d++" + _WS + r"*+)?"
+    + r"(?:years?|anni)" + BEFORE_NON_WORD
 )
 
+# Decimal digits of other scripts, and the ASCII digit of each.
+_OTHER_DIGITS = [chr(c) for c in range(0x80, 0x110000) if unicodedata.decimal(chr(c), None) is not None]
+_OTHER_DIGITS_FROM = "".join(_OTHER_DIGITS)
+_OTHER_DIGITS_TO = "".join(str(unicodedata.decimal(c)) for c in _OTHER_DIGITS)
+
 
 def required_years(text: ColumnOrName) -> Column:
     """first required-years number in ``text`` as DOUBLE, else NULL.
 
-    Deviation: digits outside ASCII match the pattern but give NULL here.
+    Digits of any script count; a number beyond the range of a double is
+    infinity.
     """
     raw = F.regexp_extract(_c(text), YEARS_PATTERN, 1)
-    return F.nullif(raw, F.lit("")).try_cast("double")
+    ascii_digits = F.when(raw.rlike("^[0-9]*$"), raw).otherwise(F.translate(raw, _OTHER_DIGITS_FROM, _OTHER_DIGITS_TO))
+    return F.nullif(ascii_digits, F.lit("")).try_cast("double")

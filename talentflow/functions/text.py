@@ -65,13 +65,13 @@ def title_key(title: ColumnOrName) -> Column:
 #   date      YYYY-MM-DD | YYYYMMDD
 #   then optionally: one separator character of any kind, and a time
 #   time      HH[:MM[:SS[.f+]]] | HHMM[SS[.f+]]   ('.' or ',' before the fraction)
-#   offset    Z | +HH | +HHMM | +HH:MM            (or '-')
+#   offset    Z | +HH[:MM[:SS]] | +HHMM[SS]       (or '-'), below 24 hours
 # The date and time parts may use the basic and extended forms independently.
-# Not supported (NULL here): week dates (2024-W10-2) and offsets with seconds.
+# Not supported (NULL here): week dates (2024-W10-2) and fractions in offsets.
 _ISO_GUARD = (
     r"^(?:\d{4}-\d{2}-\d{2}|\d{8})"
-    r"(?:.(?:\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?)?|\d{4}(?:\d{2}(?:[.,]\d+)?)?)"
-    r"(?:Z|[+-]\d{2}(?::?\d{2})?)?)?$"
+    r"(?:[\s\S](?:\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?)?|\d{4}(?:\d{2}(?:[.,]\d+)?)?)"
+    r"(?:Z|[+-]\d{2}(?::?\d{2}(?::?\d{2})?)?)?)?$"
 )
 
 
@@ -88,7 +88,8 @@ def parse_iso_timestamp(value: ColumnOrName) -> Column:
     extended = F.substring(v, 5, 1) == "-"
     month = F.when(extended, F.substring(v, 6, 2)).otherwise(F.substring(v, 5, 2))
     day = F.when(extended, F.substring(v, 9, 2)).otherwise(F.substring(v, 7, 2))
-    rest = F.when(extended, F.substring(v, 12, 64)).otherwise(F.substring(v, 10, 64))  # after the separator
+    # after the separator, to the end however long
+    rest = v.substr(F.when(extended, F.lit(12)).otherwise(F.lit(10)), F.char_length(v))
     parts = r"^([0-9:]+)([.,][0-9]+)?(.*)$"
     digits = F.replace(F.regexp_extract(rest, parts, 1), F.lit(":"), F.lit(""))
     frac = F.rpad(F.substring(F.regexp_extract(rest, parts, 2), 2, 6), 6, "0")
@@ -96,14 +97,18 @@ def parse_iso_timestamp(value: ColumnOrName) -> Column:
     hh = F.coalesce(F.nullif(F.substring(digits, 1, 2), F.lit("")), F.lit("00"))
     mi = F.coalesce(F.nullif(F.substring(digits, 3, 2), F.lit("")), F.lit("00"))
     ss = F.coalesce(F.nullif(F.substring(digits, 5, 2), F.lit("")), F.lit("00"))
-    off = (
-        F.when(off_raw == "", F.lit(""))
-        .when(off_raw == "Z", F.lit("Z"))
-        .otherwise(F.concat(F.substring(off_raw, 1, 3), F.lit(":"), F.rpad(F.substring(off_raw, 4, 2), 2, "0")))
-    )
+    # the offset is applied by arithmetic: a zone text may not exceed 18 hours
+    part = lambda at: F.coalesce(F.nullif(F.substring(off_raw, at, 2), F.lit("")), F.lit("0")).try_cast("int")
+    shifted = off_raw.rlike("^[+-]")
+    sign = F.when(off_raw.startswith("-"), F.lit(-1)).otherwise(F.lit(1))
+    offset = sign * (part(2) * 3600 + part(4) * 60 + part(6)).cast("bigint")
+    off = F.when(off_raw == "", F.lit("")).otherwise(F.lit("Z"))
     in_range = (hh.cast("int") <= 23) & (mi.cast("int") <= 59) & (ss.cast("int") <= 59)
+    in_range = in_range & (~shifted | ((part(2) <= 23) & (part(4) <= 59) & (part(6) <= 59)))
     canonical = F.concat(
         F.substring(v, 1, 4), F.lit("-"), month, F.lit("-"), day, F.lit("T"),
         hh, F.lit(":"), mi, F.lit(":"), ss, F.lit("."), frac, off,
     )
-    return F.when(v.rlike(_ISO_GUARD) & in_range, F.try_to_timestamp(canonical))
+    stamp = F.try_to_timestamp(canonical)
+    moved = F.when(shifted, F.timestamp_micros(F.unix_micros(stamp) - offset * 1_000_000)).otherwise(stamp)
+    return F.when(v.rlike(_ISO_GUARD) & in_range, moved)

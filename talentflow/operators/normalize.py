@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.json import truthy, vtype
+from ..functions.json import is_object_text, read_object, truthy, vtype
 from ..functions.memo import per_context
 from ..functions.text import falsy_fallback, format_location, looks_remote, parse_iso_timestamp, strip_html
 from ..schemas import SILVER_COLUMNS
@@ -213,12 +213,23 @@ def _stages(maps_items: tuple) -> list[list[Column]]:
     prefixes = {name: f"_f{i}_" for i, name in enumerate(maps)}
     fields = [(f"{prefixes[name]}{fname}", path) for name, m in maps.items() for fname, path in m.fields.items()]
 
-    # (1) parse once, extract every registered path
-    v = F.try_parse_json(F.col("raw_payload")).alias("_v")
-    extract = [*base, v]
-    pull = [*base, "_v", *[F.try_variant_get(F.col("_v"), path, "variant").alias(f"{n}__v") for n, path in fields]]
+    # (1) parse once: the top-level keys of the registered paths as VARIANT
+    keys = {path.split(".")[1] for _, path in fields}
+    raw = F.col("raw_payload")
+    extract = [
+        *base,
+        read_object(raw, {k: "variant" for k in sorted(keys)}).alias("_p"),
+        (~is_object_text(raw) & F.try_parse_json(raw).isNotNull()).alias("_other"),
+    ]
+
+    def at(path: str) -> Column:
+        key, *inner = path.split(".")[1:]
+        top = F.col(f"_p.{key}")
+        return F.try_variant_get(top, ".".join(["$", *inner]), "variant") if inner else top
+
+    pull = [*base, F.col("_p").isNotNull().alias("_object"), "_other", *[at(path).alias(f"{n}__v") for n, path in fields]]
     # (2) type and string value of every field, once; then truthiness
-    typed = [*base, "_v", vtype(F.col("_v")).alias("_vt")]
+    typed = [*base, "_object", "_other"]
     for n, _ in fields:
         c = F.col(f"{n}__v")
         typed += [c.alias(f"{n}__v"), vtype(c).alias(f"{n}__t"), F.try_variant_get(c, "$", "string").alias(f"{n}__s")]
@@ -236,8 +247,8 @@ def _stages(maps_items: tuple) -> list[list[Column]]:
 
     reason = (
         F.when(~F.col("source").isin(*maps), F.concat(F.lit("unknown_source:"), F.col("source")))
-        .when(F.col("_v").isNull(), F.lit("malformed_json"))
-        .when(~F.col("_vt").startswith("OBJECT"), F.lit("payload_not_object"))
+        .when(F.col("_other"), F.lit("payload_not_object"))
+        .when(~F.col("_object"), F.lit("malformed_json"))
         .otherwise(switch("reject"))
     )
     switched = [

@@ -32,11 +32,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Taken from ``spark.checkpoint.dir`` when the cluster names one; only when
-    it is unset (local tests) a fresh scratch folder is created and set.
+    Taken from ``spark.checkpoint.dir`` when the cluster names one.  When it is
+    unset a fresh scratch folder is made, on a local master only: executors of a
+    cluster would each write to their own disk.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="talentflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

@@ -15,9 +15,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-from ..functions.json import field
+from ..functions.json import is_object_text, python_str, read_object
 from ..schemas import BRONZE_COLUMNS, TARGETS
 
 
@@ -91,17 +90,19 @@ def gate_targets(responses: DataFrame, targets: DataFrame, broadcast_ok: bool |
     return responses.join(active, ["source", "company_identifier"], "left_semi")
 
 
-def _first_present(v: Column, keys: Sequence[str]) -> Column:
-    """Index (0-based) of the first key present in object ``v``; NULL if none."""
+def _first(flags: Sequence[Column]) -> Column:
+    """Index (0-based) of the first true flag; NULL if none."""
     out = F.lit(None).cast("int")
-    for i, k in reversed(list(enumerate(keys))):
-        out = F.when(field(v, f"$.{k}").isNotNull(), F.lit(i)).otherwise(out)
+    for i, flag in reversed(list(enumerate(flags))):
+        out = F.when(flag, F.lit(i)).otherwise(out)
     return out
 
 
-def _array_text(body: Column, key: str) -> Column:
-    schema = StructType([StructField(key, ArrayType(StringType()))])
-    return F.from_json(body, schema)[key]
+def _pick(index: Column, values: Sequence[Column], otherwise: Column) -> Column:
+    out = otherwise
+    for i, value in enumerate(values):
+        out = F.when(index == i, value).otherwise(out)
+    return out
 
 
 def explode_responses(responses: DataFrame, shapes: Mapping[str, ResponseShape] | None = None) -> tuple[DataFrame, DataFrame]:
@@ -109,8 +110,9 @@ def explode_responses(responses: DataFrame, shapes: Mapping[str, ResponseShape]
 
     Postings: ``source, source_job_id, company_identifier, fetched_at, url,
     raw_payload``.  A response is rejected (with a reason) when its source has
-    no shape, its text is not JSON, the chosen array key holds null or
-    something other than an array, or a posting has no id.  Both outputs come
+    no shape, its text is not one JSON object, or the chosen array key holds null
+    or something other than an array; a posting is rejected, alone, when it is
+    not an object or has no id.  An id is spelled as Python's ``str`` spells it.  Both outputs come
     from :func:`explode_all`; a job that writes both should materialise that
     once (see ``plans.jobs.land_to_bronze``).
     """
@@ -127,8 +129,7 @@ def explode_all(responses: DataFrame, shapes: Mapping[str, ResponseShape] | None
     company_identifier, fetched_at, url, raw_payload, reject_reason`` (NULL for
     a good posting; a rejected response gives one row with its reason)."""
     shp = dict(SHAPES if shapes is None else shapes)
-    v = F.try_parse_json(F.col("body"))
-    src = F.col("source")
+    src, body = F.col("source"), F.col("body")
 
     def by_source(fn) -> Column:
         out = None
@@ -137,34 +138,32 @@ def explode_all(responses: DataFrame, shapes: Mapping[str, ResponseShape] | None
             out = F.when(src == name, e) if out is None else out.when(src == name, e)
         return out
 
-    def chosen_key(s: ResponseShape) -> Column:
-        return _first_present(v, s.list_keys)
-
-    def elements(s: ResponseShape) -> Column:
-        idx = chosen_key(s)
-        out = F.lit(None).cast("array<string>")
-        for i, k in reversed(list(enumerate(s.list_keys))):
-            out = F.when(idx == i, _array_text(F.col("body"), k)).otherwise(out)
-        return F.when(idx.isNull(), F.array().cast("array<string>")).otherwise(out)
-
-    def chosen_is_null(s: ResponseShape) -> Column:
-        idx = chosen_key(s)
-        out = F.lit(False)
-        for i, k in enumerate(s.list_keys):
-            out = F.when(idx == i, F.schema_of_variant(field(v, f"$.{k}")) == "VOID").otherwise(out)
-        return out
-
-    staged = responses.select(
+    # A page is read by key, never as one VARIANT value, so its size is free:
+    # once as text (to tell null from a value), once as array of element texts.
+    list_keys = sorted({k for s in shp.values() for k in s.list_keys})
+    pages = responses.select(
         "source",
         "company_identifier",
         "fetched_at",
-        v.alias("_v"),
-        by_source(elements).alias("_elems"),
-        by_source(chosen_is_null).alias("_null_list"),
+        "body",
+        read_object(body, {k: "string" for k in list_keys}).alias("_text"),
+        read_object(body, {k: "array<string>" for k in list_keys}).alias("_list"),
+        F.json_object_keys(body).alias("_keys"),
+    )
+
+    def chosen(s: ResponseShape) -> Column:
+        return _first([F.array_contains("_keys", k) for k in s.list_keys])
+
+    staged = pages.select(
+        *[c for c in pages.columns if c not in ("_text", "_list", "_keys", "body")],
+        F.col("_text").isNotNull().alias("_object"),
+        (~is_object_text(body) & F.try_parse_json(body).isNotNull()).alias("_other"),
+        by_source(lambda s: _pick(chosen(s), [F.col(f"_list.{k}") for k in s.list_keys], F.array().cast("array<string>"))).alias("_elems"),
+        by_source(lambda s: _pick(chosen(s), [F.col(f"_text.{k}").isNull() for k in s.list_keys], F.lit(False))).alias("_null_list"),
     )
     reason = (
         F.when(~src.isin(*shp), F.lit("unknown_source"))
-        .when(F.col("_v").isNull(), F.lit("malformed_json"))
+        .when(~F.col("_object"), F.when(F.col("_other"), F.lit("response_not_object")).otherwise(F.lit("malformed_json")))
         .when(F.col("_null_list"), F.lit("null_postings_list"))
         .when(F.col("_elems").isNull(), F.lit("bad_postings_list"))
     )
@@ -175,21 +174,17 @@ def explode_all(responses: DataFrame, shapes: Mapping[str, ResponseShape] | None
         "source", "company_identifier", "fetched_at", "_reason",
         F.posexplode_outer(F.when(F.col("_reason").isNull(), F.col("_elems"))).alias("_pos", "raw_payload"),
     ).filter(F.col("_reason").isNotNull() | F.col("_pos").isNotNull())
-    pv = F.try_parse_json(F.col("raw_payload"))
+    scalars = sorted({k for s in shp.values() for k in (s.id_key, *s.url_keys)})
+    posts = posts.withColumn("_p", read_object(F.col("raw_payload"), {k: "variant" for k in scalars}))
 
     def url_of(s: ResponseShape) -> Column:
-        idx = _first_present(pv, s.url_keys)
-        out = F.lit("")
-        for i, k in reversed(list(enumerate(s.url_keys))):
-            out = F.when(idx == i, F.try_variant_get(pv, f"$.{k}", "string")).otherwise(out)
-        return out
-
-    def id_of(s: ResponseShape) -> Column:
-        return F.try_variant_get(pv, f"$.{s.id_key}", "string")
+        values = [F.col(f"_p.{k}") for k in s.url_keys]
+        texts = [F.try_variant_get(v, "$", "string") for v in values]
+        return _pick(_first([v.isNotNull() for v in values]), texts, F.lit(""))
 
     with_ids = posts.select(
         "source",
-        by_source(id_of).alias("source_job_id"),
+        by_source(lambda s: python_str(F.col(f"_p.{s.id_key}"))).alias("source_job_id"),
         "company_identifier",
         "fetched_at",
         by_source(url_of).alias("url"),
