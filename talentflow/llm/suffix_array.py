@@ -4,9 +4,9 @@ Documents are cut into super-windows (see :mod:`superwindows`): all equal
 windows of ``window`` bytes have the same minimiser key, so a shard that holds
 every super-window of a key can decide them without other shards.
 
-1. One scan emits a narrow row per super-window.  Equal super-windows
-   collapse to one class (map-side first); a class of two or more is repeated
-   throughout, and a key with one class of one occurrence is settled.
+1. One scan emits a narrow row per super-window.  A key that occurs once is
+   settled.  Of the others, equal super-windows collapse to one class (map-side
+   first); a class of two or more is repeated throughout.
 2. Of the other keys one representative text per class goes to a shard.
    Shards are bounded: their number follows from the bytes to sort, and a key
    with more than ``hot_bytes`` is dealt over several shards.
@@ -287,7 +287,10 @@ def repeated_spans(
 ) -> DataFrame:
     """(doc_id, start, n): runs of windows that start anywhere else as well."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    rows = shared(super_windows(docs, window, gram))
+    every = shared(super_windows(docs, window, gram))
+    # Keys that occur once are settled; only the others go on.
+    repeated = shared(every.groupBy("key").count().filter("count > 1").select("key"))
+    rows = shared(every.join(repeated, "key", "left_semi"))
     classes = shared(
         rows.groupBy("key", "class").agg(
             F.count("*").alias("copies"), F.min(F.struct("doc_id", "start", "n")).alias("place")
