@@ -1,17 +1,19 @@
 """Substring dedup over word windows with a count-min prefilter.
 
-Pass 1: every partition of documents keeps a count-min sketch of the minimiser
-keys of its super-windows (see :mod:`superwindows`): ``DEPTH`` rows of cells
-that saturate at two.  A window's minimiser occurs at least as often as the
-window, so the sketch overestimates window counts.  Partition sketches are cut
-into slices, merged slice by slice in two steps, and only the "two or more"
-bits are kept.  Their size is bounded by ``MAX_CELLS`` whatever the input: a
-corpus beyond it makes the filter less selective, never wrong.
-
-Pass 2: only super-windows estimated as repeated leave the scan, with the
-hashes of their windows.  They are grouped exactly: equal super-windows first
-(a hot passage collapses in the map-side aggregate), then the single windows
-of those minimisers that have several different surroundings.
+Sketches.  Every partition of documents keeps a count-min sketch (``DEPTH``
+rows of cells that saturate at two).  Partition sketches are cut into slices,
+merged slice by slice in two steps, and only the "two or more" bits are kept.
+Their size is bounded by ``MAX_CELLS`` whatever the input: a corpus beyond it
+makes the filter less selective, never wrong.  Two are built: a coarse one of
+the minimiser keys of super-windows (see :mod:`superwindows`; a window occurs
+at most as often as its minimiser), then, among the windows that pass it, one
+of the windows themselves.
+
+Exact pass.  Only runs of windows estimated as repeated leave the scan, one
+narrow row per run.  They are grouped exactly: equal runs first (a hot passage
+collapses in the map-side aggregate), then the single windows of those
+minimisers that have several different runs.  Runs are computed again from the
+texts where they are needed twice, which is cheaper than storing them.
 
 The words of removed windows then go back to their documents.
 """
@@ -21,7 +23,7 @@ from __future__ import annotations
 import hashlib
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,15 +40,15 @@ DEPTH = 2
 SLICE_BITS = 20
 MAX_CELLS = 1 << 28
 # Bytes of text per super-window (about 6 a word, a new minimiser every 7
-# words), and cells kept per super-window.
+# words) and per word, and cells kept per super-window and per word.
 BYTES_PER_KEY, CELLS_PER_KEY = 42, 4
+BYTES_PER_WORD, CELLS_PER_WORD = 6, 2
 FLUSH = 1 << 20
 
 
-def sketch_bits(total_bytes: int, max_cells: int = MAX_CELLS) -> int:
-    """log2 of the cells of one row of the sketch, from the size of the corpus."""
-    want = max(1 << SLICE_BITS, CELLS_PER_KEY * total_bytes // BYTES_PER_KEY)
-    return min(int(math.log2(max_cells)), math.ceil(math.log2(want)))
+def sketch_bits(cells: int, max_cells: int = MAX_CELLS) -> int:
+    """log2 of the cells of one row of a sketch, from the number wanted."""
+    return min(int(math.log2(max_cells)), math.ceil(math.log2(max(1 << SLICE_BITS, cells))))
 
 
 def _cells(keys: np.ndarray, bits: int, depth: int) -> np.ndarray:
@@ -92,8 +94,8 @@ def _merge(table: pa.Table) -> pa.Table:
 SKETCH = "slice int, part int, once binary, more binary"
 
 
-def window_sketch(docs: DataFrame, window: int, gram: int, bits: int) -> DataFrame:
-    """The merged sketch, one row per slice that has a cell of two or more."""
+def merged_sketch(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int) -> DataFrame:
+    """The merged sketch of the keys of all batches of ``df``, one row per slice."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, held, size = TaskContext.get().partitionId(), [], 0
@@ -104,9 +106,7 @@ def window_sketch(docs: DataFrame, window: int, gram: int, bits: int) -> DataFra
             return pa.RecordBatch.from_arrays(cols, names=["slice", "part", "once", "more"])
 
         for batch in batches:
-            for _, data, offsets in text_blocks(batch.column(0)):
-                w = Words(data, offsets)
-                keys = SuperWindows(w.hashes, w.bounds, window, gram, WORD_POWERS).key
+            for keys in keys_of(batch):
                 held.append(keys)
                 size += len(keys)
                 if size >= FLUSH:
@@ -115,7 +115,7 @@ def window_sketch(docs: DataFrame, window: int, gram: int, bits: int) -> DataFra
         if size:
             yield out()
 
-    slices = docs.select("text").mapInArrow(build, SKETCH)
+    slices = df.mapInArrow(build, SKETCH)
     by_part = slices.groupBy("slice", F.pmod("part", F.lit(64))).applyInArrow(lambda key, t: _merge(t), SKETCH)
     return by_part.groupBy("slice").applyInArrow(_merge, SKETCH).select("slice", "more")
 
@@ -139,66 +139,120 @@ def estimated_repeated(keys: np.ndarray, sketch: np.ndarray, bits: int) -> np.nd
     return keep
 
 
+class Filter:
+    """A merged sketch, broadcast: may a key occur twice?"""
+
+    def __init__(self, df: DataFrame, keys_of: Callable, bits: int):
+        self.bits = bits
+        sketch = merged_sketch(df, keys_of, bits)
+        self.sketch = df.sparkSession.sparkContext.broadcast(repeated_bits(sketch, bits))
+
+    def passes(self, keys: np.ndarray) -> np.ndarray:
+        return estimated_repeated(keys, self.sketch.value, self.bits)
+
+
+class Runs:
+    """Runs of windows of one block that the filters pass, and their hashes."""
+
+    def __init__(self, w: Words, window: int, gram: int, coarse: Filter, fine: Filter | None = None):
+        s = SuperWindows(w.hashes, w.bounds, window, gram, WORD_POWERS)
+        s.take(coarse.passes(s.key))
+        at = np.repeat(s.first - np.cumsum(s.count) + s.count, s.count) + np.arange(s.count.sum())
+        self.hashes = range_hashes(w.hashes, at, at + window, WORD_POWERS)
+        if fine is not None and len(at):
+            owner = np.repeat(np.arange(len(s.first)), s.count)
+            keep = np.flatnonzero(fine.passes(self.hashes))
+            at, owner, self.hashes = at[keep], owner[keep], self.hashes[keep]
+            cut = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (at[1:] != at[:-1] + 1)])[: len(at)])
+            place = (s.first + s.offset)[owner[cut]]
+            s.take(owner[cut])
+            s.first, s.count = at[cut], np.diff(np.concatenate([cut, [len(at)]]))
+            s.offset = place - s.first
+        self.runs = s
+
+
 def repeated_windows(docs: DataFrame, window: int, gram: int, max_cells: int = MAX_CELLS) -> DataFrame:
     """(doc_id, start, n): runs of windows whose words also start earlier."""
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    bits = sketch_bits(total, max_cells)
-    sketch = docs.sparkSession.sparkContext.broadcast(repeated_bits(window_sketch(docs, window, gram, bits), bits))
+    text = docs.select("text")
+
+    def minimisers(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for _, data, offsets in text_blocks(batch.column(0)):
+            w = Words(data, offsets)
+            yield SuperWindows(w.hashes, w.bounds, window, gram, WORD_POWERS).key
+
+    coarse = Filter(text, minimisers, sketch_bits(CELLS_PER_KEY * total // BYTES_PER_KEY, max_cells))
+
+    def windows(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for _, data, offsets in text_blocks(batch.column(0)):
+            yield Runs(Words(data, offsets), window, gram, coarse).hashes
+
+    fine = Filter(text, windows, sketch_bits(CELLS_PER_WORD * total // BYTES_PER_WORD, max_cells))
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row, data, offsets in text_blocks(batch.column(1)):
-                w = Words(data, offsets)
-                s = SuperWindows(w.hashes, w.bounds, window, gram, WORD_POWERS)
-                s.take(estimated_repeated(s.key, sketch.value, bits))
-                at = np.repeat(s.first - np.cumsum(s.count) + s.count, s.count) + np.arange(s.count.sum())
-                hashes = range_hashes(w.hashes, at, at + window, WORD_POWERS)
-                ends = np.concatenate([[0], np.cumsum(s.count)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
+    def runs(only: Filter | None = None) -> DataFrame:
+        """One row per run; with ``only`` just those of its keys, and hashes."""
+
+        def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row, data, offsets in text_blocks(batch.column(1)):
+                    w = Words(data, offsets)
+                    found = Runs(w, window, gram, coarse, fine)
+                    s, hashes = found.runs, found.hashes
+                    if only is not None and len(s.key):
+                        keep = only.passes(s.key)
+                        hashes = hashes[np.repeat(keep, s.count)]
+                        s.take(keep)
+                    cols = [
                         batch.column(0).slice(row).take(pa.array(s.row)),
-                        pa.array(s.first - w.bounds[s.row]),
+                        pa.array(s.first - w.bounds[s.row], pa.int64()),
+                        pa.array(s.count, pa.int32()),
                         pa.array(s.key.view(np.int64)),
                         pa.array(s.classes(w.hashes).view(np.int64)),
                         pa.array(s.offset, pa.int32()),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes.view(np.int64))),
-                    ],
-                    names=["doc_id", "start", "key", "class", "offset", "hashes"],
-                )
-
-    rows = shared(
-        docs.select("doc_id", "text").mapInArrow(
-            emit, f"doc_id {id_type}, start bigint, key bigint, class bigint, offset int, hashes array<bigint>"
-        )
-    )
+                    ]
+                    names = ["doc_id", "start", "n", "key", "class", "offset"]
+                    if only is not None:
+                        ends = np.concatenate([[0], np.cumsum(s.count)]).astype(np.int32)
+                        cols.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes.view(np.int64))))
+                        names.append("hashes")
+                    yield pa.RecordBatch.from_arrays(cols, names=names)
+
+        schema = f"doc_id {id_type}, start bigint, n int, key bigint, class bigint, offset int"
+        return docs.select("doc_id", "text").mapInArrow(emit, schema + ", hashes array<bigint>" * (only is not None))
+
     classes = shared(
-        rows.groupBy("key", "class").agg(
-            F.min(F.struct("doc_id", "start")).alias("place"),
-            F.count("*").alias("n"),
-            F.first("offset").alias("offset"),
-            F.first("hashes").alias("hashes"),
-        )
+        runs().groupBy("key", "class").agg(F.min(F.struct("doc_id", "start")).alias("place"), F.count("*").alias("copies"))
     )
-    # later occurrences of equal super-windows: all their windows start earlier
+    # later occurrences of equal runs: all their windows start earlier
     later = (
-        rows.select("doc_id", "start", "key", "class", F.size("hashes").alias("n"))
-        .join(shared(classes.filter("n > 1").select("key", "class", "place")), ["key", "class"])
+        runs()
+        .select("doc_id", "start", "n", "key", "class")
+        .join(classes.filter("copies > 1"), ["key", "class"])
         .filter(F.struct("doc_id", "start") > F.col("place"))
         .select("doc_id", "start", F.col("n").cast("long").alias("n"))
     )
     # first occurrences: window by window, where a minimiser has several classes
     mixed = shared(classes.groupBy("key").count().filter("count > 1").select("key"))
+    size = mixed.count()
+
+    def twice(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        keys = np.asarray(batch.column(0)).view(U64)
+        yield np.concatenate([keys, keys])
+
+    some = runs(Filter(mixed, twice, sketch_bits(8 * size, max_cells)))
     single = (
-        classes.join(mixed, "key", "left_semi")
-        .select("key", "place", "offset", F.posexplode("hashes").alias("i", "hash"))
+        some.join(classes.join(mixed, "key", "left_semi").select("key", "class", "place"), ["key", "class"])
+        .filter((F.col("doc_id") == F.col("place.doc_id")) & (F.col("start") == F.col("place.start")))
+        .select("key", "doc_id", "start", "offset", F.posexplode("hashes").alias("i", "hash"))
         .select(
             "key",
             (F.col("offset") - F.col("i")).alias("offset"),
             "hash",
-            F.struct(F.col("place.doc_id"), (F.col("place.start") + F.col("i")).alias("start")).alias("place"),
+            F.struct("doc_id", (F.col("start") + F.col("i")).alias("start")).alias("place"),
         )
     )
+    single = shared(single)
     earliest = shared(
         single.groupBy("key", "offset", "hash").agg(F.min("place").alias("earliest"), F.count("*").alias("n")).filter("n > 1")
     )

@@ -122,7 +122,7 @@ def test_sketch_never_underestimates():
     estimated = countmin.estimated_repeated(keys, sketch, bits)
     assert estimated[:5000].all() and estimated[-5000:].all()
     assert estimated[5000:30_000].mean() < 0.05
-    assert countmin.sketch_bits(0) == countmin.SLICE_BITS and countmin.sketch_bits(10**15) == 28
+    assert countmin.sketch_bits(0) == countmin.SLICE_BITS and countmin.sketch_bits(10**15) == 28 and countmin.sketch_bits(1 << 24) == 24
 
 
 def test_leftmost_minimum():
