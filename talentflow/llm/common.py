@@ -30,7 +30,15 @@ def crc_mod(id_col: str | Column, n: int) -> Column:
     return F.crc32(F.col(id_col).cast("string") if isinstance(id_col, str) else id_col.cast("string")) % F.lit(n)
 
 
-def sample_by_hash(df: DataFrame, id_col: str, limit: int) -> DataFrame:
+def sample_by_hash(rows: DataFrame, id_col: str, limit: int) -> DataFrame:
     """At most ``limit`` rows, chosen by a hash of the id: the same rows on
-    every run, whatever the partitioning.  Only for fitting models."""
-    return df.orderBy(F.xxhash64(F.col(id_col).cast("string"), F.lit("sample")), F.col(id_col)).limit(limit)
+    every run, whatever the partitioning.  For narrow rows, to fit models."""
+    return rows.orderBy(F.xxhash64(F.col(id_col).cast("string"), F.lit("sample")), F.col(id_col)).limit(limit)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int) -> DataFrame:
+    """(doc_id, text, label) of at most ``limit`` labelled ids.  Ids are drawn
+    from the narrow ``labels`` (doc_id, label) alone; their bounded list is
+    broadcast, so no text is sorted or shuffled."""
+    chosen = sample_by_hash(labels.select("doc_id", "label"), "doc_id", limit)
+    return text_of(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id")

@@ -89,16 +89,18 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce("text", F.lit("")), "lang").mapInArrow(count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE_PER_LANGUAGE) -> Filter:
-    """``labelled``: doc_id, text, lang without nulls.  What reaches the driver
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_PER_LANGUAGE) -> Filter:
+    """``docs``: doc_id, text; ``labels``: doc_id, label (the language, no
+    nulls).  Sampled ids come from the narrow labels; what reaches the driver
     is the table, whose size does not depend on the input."""
-    languages = sorted(r[0] for r in labelled.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
+    languages = sorted(r[0] for r in labels.select("label").distinct().limit(MAX_LANGUAGES + 1).collect())
     if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not languages:
         return Filter([], np.zeros(0, np.int64), np.zeros(0, np.int64))
-    parts = [sample_by_hash(labelled.filter(F.col("lang") == name), "doc_id", sample) for name in languages]
-    counts = gram_counts(reduce(DataFrame.unionByName, parts))
+    chosen = [sample_by_hash(labels.select("doc_id", "label").filter(F.col("label") == name), "doc_id", sample) for name in languages]
+    ids = F.broadcast(reduce(DataFrame.unionByName, chosen).withColumnRenamed("label", "lang"))
+    counts = gram_counts(text_of(docs, "doc_id", "text").join(ids, "doc_id"))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     shares = counts.join(F.broadcast(totals), "lang").select("gram", "lang", (F.col("n") / F.col("total")).alias("share"))
     bits = F.create_map(*[x for i, name in enumerate(languages) for x in (F.lit(name), F.lit(i))])

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import sample_by_hash, text_of
+from .common import labelled_sample, text_of
 from .tokens import BYTE_POWERS, BYTE_VALUES, Words, WORD_POWERS, range_hashes, text_blocks
 
 # The field is fitted on at most so many labelled documents.
@@ -209,9 +209,11 @@ def _calibrate(raw: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(float(a[0]), 1e-3), float(a[1])
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE) -> LineField:
-    """``labelled``: doc_id, text, label (0/1, no nulls).  Features of at most
-    ``sample`` documents are computed in Spark and trained on the driver."""
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> LineField:
+    """``docs``: doc_id, text; ``labels``: doc_id, label (0/1, no nulls, one row
+    per id).  Features of at most ``sample`` documents are computed in Spark and
+    trained on the driver."""
+    labelled = labelled_sample(docs, labels.select("doc_id", F.col("label").cast("int").alias("label")), sample)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -231,7 +233,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> LineField:
 
     id_type = labelled.schema["doc_id"].dataType.simpleString()
     rows = (
-        sample_by_hash(labelled.select("doc_id", "text", F.col("label").cast("int").alias("label")), "doc_id", sample)
+        labelled.select("doc_id", "text", "label")
         .mapInArrow(features, f"doc_id {id_type}, label int, f binary, size binary")
         .orderBy("doc_id")
         .collect()

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, countmin, decontaminate, exact_dedup, language, ngram_join, quality, secrets, suffix_array, toxicity
-from .common import crc_mod, read_table, text_of
+from .common import crc_mod, read_table
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,26 +28,26 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learns from documents whose crc32(doc_id) mod 3 is not 1."""
     docs = read_table(spark, sf_dir, "documents")
     held_out = crc_mod("doc_id", 3) == 1
-    model = language.fit(docs.filter(~held_out & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang"))
+    labels = docs.filter(~held_out & F.col("lang").isNotNull()).select("doc_id", F.col("lang").alias("label"))
+    model = language.fit(docs, labels)
     return language.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
-def training_rows(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
-    """doc_id, text, label of the labelled documents outside the held-out fold."""
+def training_labels(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
+    """doc_id, label of the labelled documents outside the held-out fold."""
     labels = read_table(spark, sf_dir, "labels").filter((crc_mod("doc_id", 5) != 0) & F.col(label).isNotNull())
-    labels = labels.groupBy("doc_id").agg(F.max(label).alias("label"))
-    return text_of(read_table(spark, sf_dir, "documents"), "doc_id", "text").join(labels, "doc_id")
+    return labels.groupBy("doc_id").agg(F.max(label).alias("label"))
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = quality.fit(training_rows(spark, sf_dir, "quality"))
-    scored = quality.predict(read_table(spark, sf_dir, "documents"), model)
+    docs = read_table(spark, sf_dir, "documents")
+    scored = quality.predict(docs, quality.fit(docs, training_labels(spark, sf_dir, "quality")))
     return scored.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = toxicity.fit(training_rows(spark, sf_dir, "toxic"))
-    scored = toxicity.predict(read_table(spark, sf_dir, "documents"), model)
+    docs = read_table(spark, sf_dir, "documents")
+    scored = toxicity.predict(docs, toxicity.fit(docs, training_labels(spark, sf_dir, "toxic")))
     return scored.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chars import chunks, letters, q_grams
-from .common import sample_by_hash, text_of
+from .common import labelled_sample, text_of
 from .tokens import U64, Powers, mix, range_hashes
 
 # Voters and classifier are fitted on at most so many labelled documents.
@@ -192,12 +192,12 @@ def _association(sample: DataFrame, prior_docs: tuple[int, int]) -> DataFrame:
     )
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE) -> LinearModel:
-    """``labelled``: doc_id, text, label (0/1, no nulls).  Only per-term totals
-    of the chosen terms and the sample's occurrences of them reach the driver."""
-    rows = sample_by_hash(
-        labelled.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("label").cast("int").alias("label")), "doc_id", sample
-    )
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> LinearModel:
+    """``docs``: doc_id, text; ``labels``: doc_id, label (0/1, no nulls, one row
+    per id).  Only per-term totals of the chosen terms and the sample's
+    occurrences of them reach the driver."""
+    labels = labels.select("doc_id", F.col("label").cast("int").alias("label"))
+    rows = labelled_sample(docs, labels, sample).select("doc_id", "text", "label")
     n = rows.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count("*")).first()
     n_toxic, n_clean = int(n[0]), int(n[1] - n[0])
     if not n_toxic or not n_clean:
@@ -219,7 +219,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> LinearModel:
                     [batch.column(0).slice(at, len(texts)), pa.array(found, pa.binary())], names=["doc_id", "found"]
                 )
 
-    id_type = labelled.schema["doc_id"].dataType.simpleString()
+    id_type = rows.schema["doc_id"].dataType.simpleString()
     held = rows.mapInArrow(occurrences, f"doc_id {id_type}, found binary").orderBy("doc_id").collect()
     found = [np.frombuffer(r.found, np.int32) for r in held]
     row = np.repeat(np.arange(len(held)), [len(f) for f in found])

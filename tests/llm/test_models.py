@@ -82,12 +82,13 @@ def test_language_of_held_out_documents(spark):
 def test_language_edge_cases(spark):
     schema = "doc_id long, text string, lang string"
     train = spark.createDataFrame([(1, "the cat and the dog " * 20, "en"), (2, "der hund und die katze " * 20, "de")], schema)
-    model = language.fit(train)
+    names = lambda rows: rows.select("doc_id", F.col("lang").alias("label"))
+    model = language.fit(train, names(train))
     odd = spark.createDataFrame([(1, None, "x"), (1, "", None), (3, "123 !?", None), (4, "the dog " * 50_000, None), (5, "漢字", None)], schema)
     got = [(r.doc_id, r.lang_pred) for r in language.predict(odd, model).collect()]
     assert got[:4] == [(1, "und"), (1, "und"), (3, "und"), (4, "en")] and got[4][1] in ("en", "de")
     assert language.predict(odd.limit(0), model).count() == 0
-    assert {r.lang_pred for r in language.predict(odd, language.fit(train.limit(0))).collect()} == {"und"}
+    assert {r.lang_pred for r in language.predict(odd, language.fit(train, names(train.limit(0)))).collect()} == {"und"}
 
 
 def test_filter_counts_equal_plain_sets():
@@ -144,11 +145,11 @@ def test_classifiers_on_edge_cases(spark):
     )
     for module in (quality, toxicity):
         for rows in (train, train.filter("label = 1"), train.limit(0)):
-            model = module.fit(rows)
+            model = module.fit(train, rows.select("doc_id", "label"))
             got = module.predict(odd, model).collect()
             assert len(got) == len(texts) and all(0 <= r.score <= 1 and r.predicted in (0, 1) for r in got)
         assert module.predict(odd.limit(0), model).count() == 0
-    kept = quality.keep_good(odd, quality.fit(train))
+    kept = quality.keep_good(odd, quality.fit(train, train.select("doc_id", "label")))
     assert kept.columns == odd.columns
 
 
@@ -165,7 +166,7 @@ def test_label_model_recovers_accurate_voters():
 def test_pipeline_equals_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    model = quality.fit(queries.training_rows(spark, sf, "quality"))
+    model = quality.fit(docs, queries.training_labels(spark, sf, "quality"))
     good = {r.doc_id for r in quality.predict(docs, model).collect() if r.predicted}
     texts = {r.doc_id: r.text for r in docs.collect() if r.doc_id in good}
     groups: dict[str, list] = {}
