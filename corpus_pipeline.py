@@ -14,14 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from talentflow.llm import bpe, decontaminate, ngram_join, quality
 from talentflow.llm.common import read_table
 from talentflow.llm.exact_dedup import exact_dedup
-from talentflow.llm.queries import training_rows
+from talentflow.llm.queries import training_labels
 from talentflow.session import scratch_path
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: documents the line field rejects go.  It is trained on the
     labelled rows of the original tables."""
-    return quality.keep_good(docs, quality.fit(training_rows(spark, sf_dir, "quality")))
+    originals = read_table(spark, sf_dir, "documents")
+    return quality.keep_good(docs, quality.fit(originals, training_labels(spark, sf_dir, "quality")))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
