@@ -90,15 +90,16 @@ def profiles_from_frame(profiles: DataFrame, limit: int = MAX_LITERAL_PROFILES)
     """Profiles held in a DataFrame (as produced by :func:`profiles_from_text`)
     as literal :class:`Profile` values for :func:`match_scores`.
 
-    The rows are counted first (at most ``limit + 1`` are read) and only then
-    brought to the driver, so an unexpectedly large table fails fast instead of
-    flooding the driver; score larger candidate sets in slices of ``limit``.
+    At most ``limit + 1`` rows are read, so an unexpectedly large table fails
+    fast instead of flooding the driver; score larger candidate sets with
+    :func:`match_profile_table`.
     """
-    if profiles.limit(limit + 1).count() > limit:
+    rows = profiles.select("profile_id", "technologies", "keywords", "years_experience").limit(limit + 1).collect()
+    if len(rows) > limit:
         raise ValueError(f"more than {limit} profiles; score them in slices")
     return [
         Profile(frozenset(r["technologies"] or ()), frozenset(r["keywords"] or ()), r["years_experience"] or 0.0, r["profile_id"])
-        for r in profiles.select("profile_id", "technologies", "keywords", "years_experience").collect()
+        for r in rows
     ]
 
 
@@ -176,7 +177,7 @@ def _score_stages(p: Column, keys: list) -> list[list]:
 def match_scores(
     postings: DataFrame,
     profiles: Profile | Sequence[Profile],
-    ordered: bool = True,
+    ordered: bool = False,
     top_k: int | None = None,
 ) -> DataFrame:
     """Score every Silver posting against one or more profiles.
@@ -184,7 +185,8 @@ def match_scores(
     ``postings`` needs ``job_id, company, title, location, remote, link,
     technologies, description``.  One profile gives the upstream columns;
     several add a leading ``profile_id``.  ``ordered`` sorts by score
-    (descending) then ``job_id``; ``top_k`` keeps the best ``k`` postings per
+    (descending) then ``job_id`` - a global sort, which scores every row once
+    more to find its ranges, so it is off by default; ``top_k`` keeps the best ``k`` postings per
     profile (a per-profile ``row_number`` that Spark turns into a
     WindowGroupLimit before the shuffle).
     """
@@ -215,3 +217,29 @@ def match_scores(
     if ordered:
         scored = scored.orderBy(*keys, F.col("match_score").desc(), F.col("job_id"))
     return scored
+
+
+def match_profile_table(postings: DataFrame, profiles: DataFrame, top_k: int, block: int = MAX_LITERAL_PROFILES) -> DataFrame:
+    """P4 for a table of profiles of any length: the best ``top_k`` postings of
+    each, with their ``rank`` (score descending, then ``job_id``).
+
+    Profiles are taken in id order, ``block`` at a time; a block travels as
+    literals, so what a task holds is bounded, and every block is held against
+    all postings.  Profile ids must be unique.
+    """
+    from pyspark.sql.window import Window
+
+    best = Window.partitionBy("profile_id").orderBy(F.col("match_score").desc(), F.col("job_id"))
+    out, after = None, None
+    while True:
+        rest = profiles if after is None else profiles.filter(F.col("profile_id") > F.lit(after))
+        part = profiles_from_frame(rest.orderBy("profile_id").limit(block), block)
+        if not part and out is not None:
+            return out
+        plist = part or [Profile(frozenset(), profile_id="")]
+        scored = match_scores(postings, plist).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top_k)
+        scored = scored if part else scored.limit(0)
+        out = scored if out is None else out.unionByName(scored)
+        if len(part) < block:
+            return out
+        after = max(p.profile_id for p in part)

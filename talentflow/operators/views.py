@@ -40,17 +40,24 @@ def tech_trends(silver: DataFrame, ordered: bool = True) -> DataFrame:
 DUPLICATE_COLUMNS = ["job_id", "company", "title", "source", "link", "duplicate_count"]
 
 
-def duplicate_postings(silver: DataFrame, cross_source_only: bool = False, ordered: bool = True) -> DataFrame:
+def duplicate_postings(silver: DataFrame, cross_source_only: bool = False, ordered: bool = False) -> DataFrame:
     """Postings sharing company and normalised title with another posting.
 
-    Planned as a partial aggregate per (company, title key) joined back to the
-    rows rather than a window: a window would place every row of a hot key in
-    one task, while the aggregate combines map-side and the join lets AQE split
-    a skewed key across tasks.  ``cross_source_only`` additionally requires two
-    distinct sources in the group (the stated intent of the view).
+    Two steps, so that only titles that may repeat are shuffled.  Hashes of
+    (company, title key) are counted by a partial aggregate, and rows whose hash
+    pair occurs once leave through a narrow semi join.  The real keys of the
+    rest are then aggregated and joined back; the join lets AQE split a hot key,
+    where a window would hold all its rows in one task.  ``cross_source_only``
+    additionally requires two distinct sources in the group (the stated intent
+    of the view).  ``ordered`` sorts by company, title and job.
     """
-    keyed = silver.select(*DUPLICATE_COLUMNS[:-1], title_key(F.col("title")).alias("_tkey"))
-    groups = keyed.groupBy("company", "_tkey").agg(
+    key = title_key(F.col("title"))
+    keyed = silver.select(
+        *DUPLICATE_COLUMNS[:-1], F.xxhash64("company", key).alias("_h1"), F.hash(key, F.col("company")).alias("_h2")
+    )
+    repeated = keyed.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_h1", "_h2")
+    maybe = keyed.join(repeated, ["_h1", "_h2"], "left_semi").select(*DUPLICATE_COLUMNS[:-1], key.alias("_tkey"))
+    groups = maybe.groupBy("company", "_tkey").agg(
         F.count(F.lit(1)).alias("duplicate_count"),
         *([F.count_distinct("source").alias("_n_sources")] if cross_source_only else []),
     )
@@ -60,7 +67,7 @@ def duplicate_postings(silver: DataFrame, cross_source_only: bool = False, order
     dups = groups.filter(cond).select(F.col("company").alias("_c"), F.col("_tkey").alias("_k"), "duplicate_count")
     # null-safe keys: NULLs group together, as in a window partition
     on = F.col("company").eqNullSafe(F.col("_c")) & F.col("_tkey").eqNullSafe(F.col("_k"))
-    out = keyed.join(dups, on, "inner").select(*DUPLICATE_COLUMNS)
+    out = maybe.join(dups, on, "inner").select(*DUPLICATE_COLUMNS)
     return out.orderBy("company", "title", "job_id") if ordered else out
 
 
@@ -78,20 +85,25 @@ def batch_job_ids(bronze: DataFrame, ingestion_date: dt.date | str) -> DataFrame
     )
 
 
-def _scoped(bronze: DataFrame, previous: dt.date | str, current: dt.date | str) -> DataFrame:
-    """(source, company) pairs present in both batches."""
-    def pairs(d):
-        return bronze.filter(F.col("ingestion_date") == F.lit(d).cast("date")).select("source", "company_identifier").distinct()
-
-    return pairs(previous).join(pairs(current), ["source", "company_identifier"], "inner")
+def _seen_in(bronze: DataFrame, previous, current, *keys: str) -> DataFrame:
+    """Per key whether it occurs in the previous and in the current batch: one
+    scan of the two batches' partitions and one partial aggregate."""
+    was, now = (F.col("ingestion_date") == F.lit(d).cast("date") for d in (previous, current))
+    rows = bronze.filter(was | now).select(
+        *[c for c in keys if c != "job_id"],
+        *([F.concat_ws(":", F.col("source"), F.col("source_job_id")).alias("job_id")] if "job_id" in keys else []),
+        was.alias("_was"),
+        now.alias("_now"),
+    )
+    return rows.groupBy(*keys).agg(F.max("_was").alias("_was"), F.max("_now").alias("_now"))
 
 
 def new_postings(bronze: DataFrame, previous_date, current_date) -> DataFrame:
-    """Keys in the current batch and not in the previous one
-    (EXCEPT DISTINCT, planned as a null-safe anti join)."""
-    cur = batch_job_ids(bronze, current_date)
-    prev = batch_job_ids(bronze, previous_date)
-    return cur.subtract(prev).withColumn("detected_as_new_on", F.lit(current_date).cast("date"))
+    """Keys in the current batch and not in the previous one."""
+    seen = _seen_in(bronze, previous_date, current_date, "job_id")
+    return seen.filter(F.col("_now") & ~F.col("_was")).select(
+        "job_id", F.lit(current_date).cast("date").alias("detected_as_new_on")
+    )
 
 
 def removed_postings(bronze: DataFrame, previous_date, current_date, only_fetched_targets: bool = False) -> DataFrame:
@@ -101,13 +113,21 @@ def removed_postings(bronze: DataFrame, previous_date, current_date, only_fetche
     appear in both batches, so a target whose fetch failed does not look as if
     all its postings were removed.
     """
-    cur = batch_job_ids(bronze, current_date)
     if only_fetched_targets:
-        scope = _scoped(bronze, previous_date, current_date)
-        prev_rows = bronze.filter(F.col("ingestion_date") == F.lit(previous_date).cast("date")).join(
-            scope, ["source", "company_identifier"], "left_semi"
+        pair = ["source", "company_identifier"]
+        per_target = _seen_in(bronze, previous_date, current_date, *pair, "job_id")
+        fetched = per_target.groupBy(*pair).agg(F.max("_was").alias("_w"), F.max("_now").alias("_n")).filter("_w and _n").select(*pair)
+        scoped = per_target.join(fetched, pair, "left_semi").select("job_id", F.col("_was").alias("_in"))
+        # a key may stand under several targets: it is removed only if no target has it now
+        now = per_target.select("job_id", F.col("_now"))
+        seen = (
+            scoped.select("job_id", "_in", F.lit(False).alias("_now"))
+            .union(now.select("job_id", F.lit(False), "_now"))
+            .groupBy("job_id")
+            .agg(F.max("_in").alias("_was"), F.max("_now").alias("_now"))
         )
-        prev = prev_rows.select(F.concat_ws(":", F.col("source"), F.col("source_job_id")).alias("job_id")).distinct()
     else:
-        prev = batch_job_ids(bronze, previous_date)
-    return prev.subtract(cur).withColumn("detected_as_removed_on", F.lit(current_date).cast("date"))
+        seen = _seen_in(bronze, previous_date, current_date, "job_id")
+    return seen.filter(F.col("_was") & ~F.col("_now")).select(
+        "job_id", F.lit(current_date).cast("date").alias("detected_as_removed_on")
+    )

@@ -22,24 +22,36 @@ GOLD_VIEWS = ("active_companies", "tech_trends", "duplicate_postings", "new_post
 
 
 def land_to_bronze(spark: SparkSession, landing_root: str, bronze_path: str, rejects_path: str,
-                   targets: DataFrame | None = None, ingestion_date: dt.date | None = None) -> int:
-    """S1-S5 as one batch job over the landed files; returns rows appended.
-
-    The landed files are parsed and exploded once into a staging folder next
-    to Bronze (hidden from readers by its leading underscore); postings and
-    rejects are then split from those files, so both outputs come from the
-    same read of the landing folder and the parse is not repeated.
+                   targets: DataFrame | None = None, ingestion_date: dt.date | None = None, run_id: str | None = None) -> int:
+    """S1-S5 as one batch job over the files landed since the last run;
+    returns rows added.
+
+    Files that an earlier run has finished are listed in a ledger next to Bronze
+    and left out.  A run that failed is repeated with its ``run_id``: it reads
+    the same files and replaces its own postings and rejects, under the date of
+    its first try.  The files are parsed and exploded once into a staging
+    folder; postings, rejects and the ledger are read from there.  Folders whose
+    name starts with an underscore are hidden from readers of Bronze.
     """
+    root, run = bronze_path.rstrip("/"), run_id or uuid.uuid4().hex
+    day = tables.batch_day(spark, root, f"run-{run}", ingestion_date or dt.datetime.now(dt.timezone.utc).date())
     responses = landing.read_landed(spark, landing_root)
+    ledger = f"{root}/_landed_files"
+    if tables.path_exists(spark, ledger):
+        done = spark.read.schema("file string, run string").parquet(ledger).filter(F.col("run") != run)
+        responses = responses.join(done.select("file"), "file", "left_anti")
+    staged = f"{root}/_landing/run={run}"
+    tables.delete_path(spark, staged)
+    responses.select("file").distinct().write.parquet(f"{staged}/files")
     if targets is not None:
         responses = landing.gate_targets(responses, targets)
-    staged = f"{bronze_path.rstrip('/')}/_landing/run={uuid.uuid4().hex}"
-    landing.explode_all(responses).write.parquet(staged)
-    out = spark.read.parquet(staged)
+    landing.explode_all(responses).write.parquet(f"{staged}/rows")
+    out = spark.read.parquet(f"{staged}/rows")
     ok = F.col("reject_reason").isNull()
-    day = ingestion_date or dt.datetime.now(dt.timezone.utc).date()
-    out.filter(~ok).select(*landing.REJECT_COLUMNS).write.mode("append").parquet(rejects_path)
-    rows = tables.append_bronze(landing.to_bronze(out.filter(ok).drop("reject_reason"), day), bronze_path)
+    rejects = out.filter(~ok).select(*landing.REJECT_COLUMNS, F.lit(day).cast("date").alias("ingestion_date"), F.lit(run).alias("batch_id"))
+    tables.replace_partitions(rejects, rejects_path, "ingestion_date", "batch_id")
+    rows = tables.append_bronze(landing.to_bronze(out.filter(ok).drop("reject_reason"), day), bronze_path, run)
+    tables.replace_partitions(spark.read.parquet(f"{staged}/files").withColumn("run", F.lit(run)), ledger, "run")
     tables.delete_path(spark, staged)
     return rows
 

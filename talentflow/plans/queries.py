@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import BRONZE_COLUMNS
+from ..schemas import BRONZE_COLUMNS, SILVER
 from ..functions.terms import extract_terms, required_years
 from ..functions.text import strip_html
 from ..operators import views
@@ -45,8 +45,9 @@ FLAGSHIP_PROFILES = [
 # Batch dates used by the Bronze-history queries (events span 2024-01-01..30).
 PREVIOUS_DAY = dt.date(2024, 1, 14)
 CURRENT_DAY = dt.date(2024, 1, 15)
-TARGET_DAYS = (dt.date(2024, 1, 1), dt.date(2024, 1, 10))
-BATCH_DAYS = (dt.date(2024, 1, 11), dt.date(2024, 1, 20))
+# All history, split at one date.
+TARGET_DAYS = (dt.date(1900, 1, 1), dt.date(2024, 1, 15))
+BATCH_DAYS = (dt.date(2024, 1, 16), dt.date(2999, 12, 31))
 FIRST_BATCH = dt.date(2024, 5, 1)
 SECOND_BATCH = dt.date(2024, 5, 2)
 
@@ -58,9 +59,9 @@ def _flat(df: DataFrame, *array_cols: str) -> DataFrame:
 # ------------------------------------------------------------- matching --
 
 def q_match_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P4 (+F9-F16, P1, O2): part-built postings x three literal profiles."""
+    """P4 (+F9-F16, P1): part-built postings x three literal profiles."""
     postings = postings_from_part(table(spark, sf_dir, "part"))
-    scored = match_scores(postings, FLAGSHIP_PROFILES, ordered=True)
+    scored = match_scores(postings, FLAGSHIP_PROFILES)
     return _flat(scored, "matched_skills", "missing_skills", "matched_keywords")
 
 
@@ -158,8 +159,11 @@ def q_silver_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P2 incremental (S8 with W1's order): Silver from the first batch, then
     only the second batch read and merged; equals the full recompute."""
-    current, _ = silver_batch(derived.bronze_from_payloads(spark, sf_dir, FIRST_BATCH), on_error="quarantine")
-    new, _ = silver_batch(derived.bronze_from_payloads(spark, sf_dir, SECOND_BATCH, revision=1), on_error="quarantine")
+    base = scratch_path(spark, "incremental", uuid.uuid4().hex)
+    for name, day, revision in (("current", FIRST_BATCH, 0), ("new", SECOND_BATCH, 1)):
+        batch, _ = silver_batch(derived.bronze_from_payloads(spark, sf_dir, day, revision=revision), on_error="quarantine")
+        batch.write.parquet(f"{base}/{name}")  # each input is mapped once
+    current, new = (spark.read.schema(SILVER).parquet(f"{base}/{name}") for name in ("current", "new"))
     return _silver_out(upsert_rows(current, newer_than_current(new, current), "job_id"))
 
 
@@ -209,8 +213,11 @@ def q_removed_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_removed_postings_fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """X2 option: only (source, company) pairs fetched in both batches."""
-    return views.removed_postings(derived.bronze_from_events(spark, sf_dir), PREVIOUS_DAY, CURRENT_DAY, only_fetched_targets=True)
+    """X2 option: only (source, company) pairs fetched in both batches (here
+    forty user groups per event type, some of them absent on either day)."""
+    bronze = derived.bronze_from_events(spark, sf_dir)
+    group = F.concat_ws("-", "source", (F.col("source_job_id").cast("long") % 40).cast("string"))
+    return views.removed_postings(bronze.withColumn("company_identifier", group), PREVIOUS_DAY, CURRENT_DAY, only_fetched_targets=True)
 
 
 def _events_latest(spark: SparkSession, sf_dir: str, days=None) -> DataFrame:
@@ -231,7 +238,7 @@ def q_latest_per_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_silver_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batch (days 11-20) upserted into a target (days 1-10)."""
+    """The later half of all history upserted into the earlier half."""
     target = _events_latest(spark, sf_dir, TARGET_DAYS)
     batch = _events_latest(spark, sf_dir, BATCH_DAYS)
     return upsert_rows(target, batch, "job_id").select("job_id", "event_id", "ingestion_date")
@@ -256,11 +263,15 @@ def q_duplicate_postings_cross_source(spark: SparkSession, sf_dir: str) -> DataF
 
 def q_active_companies_open(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 option: current postings per company, without the postings that
-    disappeared between the last two batches (X2)."""
+    disappeared between the two newest batches (X2)."""
     current = _events_latest(spark, sf_dir).select(
-        "job_id", F.split("job_id", ":").getItem(0).alias("company"), F.split("job_id", ":").getItem(0).alias("source")
+        "job_id", F.split("job_id", ":").getItem(0).alias("company"), (F.col("event_id") % 4).cast("string").alias("source")
     )
-    removed = views.removed_postings(derived.bronze_from_events(spark, sf_dir), PREVIOUS_DAY, CURRENT_DAY)
+    bronze = derived.bronze_from_events(spark, sf_dir)
+    days = [r[0] for r in bronze.select("ingestion_date").distinct().orderBy(F.desc("ingestion_date")).limit(2).collect()]
+    if len(days) < 2:
+        return views.active_companies(current)
+    removed = views.removed_postings(bronze, days[1], days[0])
     return views.active_companies(current, removed=removed)
 
 

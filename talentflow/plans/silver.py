@@ -11,7 +11,7 @@ from ..catalogs import TECHNOLOGY_CATALOG, Catalog
 from ..functions.terms import extract_terms
 from ..operators.latest import latest_per_key, latest_postings, newer_than_current, silver_order, without_payload
 from ..operators.normalize import normalize, silver_projection, split_rejects
-from ..sources.tables import delete_path, read_bronze, read_silver, upsert_snapshot
+from ..sources.tables import delete_path, read_bronze, read_silver, replace_partitions, upsert_snapshot
 
 
 def enrich_with_technologies(silver: DataFrame, catalog: Catalog = TECHNOLOGY_CATALOG) -> DataFrame:
@@ -58,17 +58,18 @@ def transform(
     snapshot table.  Returns the batch size (0 writes nothing).
 
     By default all of Bronze is re-read, as upstream.  With ``since_date``
-    only the batches ingested after that date are read (partition pruning) and
-    only their rows that beat the stored Silver row are upserted, which gives
-    the same table as a full recompute provided those batches are newer than
-    everything already merged.
+    only the batches of that date and later are read (partition pruning), the
+    date itself included, since more of it may have arrived; merging a row again
+    changes nothing.  Only rows that beat the stored Silver row are upserted,
+    which gives the same table as a full recompute provided those batches are
+    no older than anything already merged.
 
     With ``on_error='quarantine'`` bad rows are written to ``rejects_path``
     (required then) instead of failing the job.
     """
     bronze = read_bronze(spark, bronze_path)
     if since_date is not None:
-        bronze = bronze.filter(F.col("ingestion_date") > F.lit(since_date).cast("date"))
+        bronze = bronze.filter(F.col("ingestion_date") >= F.lit(since_date).cast("date"))
     mapped = normalize(bronze)
     if on_error == "quarantine":
         if rejects_path is None:
@@ -78,7 +79,8 @@ def transform(
         staged = f"{silver_path.rstrip('/')}/_normalized/run={uuid.uuid4().hex}"
         mapped.write.parquet(staged)
         mapped = spark.read.parquet(staged)
-        mapped.filter(F.col("reject_reason").isNotNull()).write.mode("append").parquet(rejects_path)
+        # the rejects of a Bronze date replace those of an earlier run over it
+        replace_partitions(mapped.filter(F.col("reject_reason").isNotNull()), rejects_path, "ingestion_date")
     batch, _ = latest_silver(mapped, on_error)
     if since_date is not None:
         current = read_silver(spark, silver_path)

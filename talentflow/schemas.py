@@ -6,14 +6,13 @@ from pyspark.sql.types import (
     ArrayType,
     BooleanType,
     DateType,
-    DoubleType,
-    IntegerType,
     StringType,
     StructField,
     StructType,
     TimestampType,
 )
 
+# --- Fixed values: the column contracts of the Bronze and Silver tables. -----
 BRONZE = StructType(
     [
         StructField("source", StringType(), nullable=False),
@@ -42,26 +41,6 @@ SILVER = StructType(
     ]
 )
 
-MATCH_RESULT = StructType(
-    [
-        StructField("score", IntegerType()),
-        StructField("matched_skills", ArrayType(StringType())),
-        StructField("missing_skills", ArrayType(StringType())),
-        StructField("matched_keywords", ArrayType(StringType())),
-        StructField("required_years", DoubleType()),
-        StructField("rationale", StringType()),
-    ]
-)
-
-PROFILES = StructType(
-    [
-        StructField("profile_id", StringType()),
-        StructField("technologies", ArrayType(StringType())),
-        StructField("keywords", ArrayType(StringType())),
-        StructField("years_experience", DoubleType()),
-    ]
-)
-
 TARGETS = StructType(
     [
         StructField("source", StringType(), nullable=False),
@@ -70,7 +49,5 @@ TARGETS = StructType(
     ]
 )
 
-RISK_TIERS = ("none", "low", "medium", "excluded")
-
 SILVER_COLUMNS = [f.name for f in SILVER.fields]
 BRONZE_COLUMNS = [f.name for f in BRONZE.fields]

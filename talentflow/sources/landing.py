@@ -51,8 +51,8 @@ LANDED_SCHEMA = "value string, source string, company_identifier string"
 def read_landed(spark: SparkSession, root: str) -> DataFrame:
     """Landed files laid out as ``root/source=<s>/company_identifier=<c>/*.json``.
 
-    Returns ``source, company_identifier, fetched_at, body``; ``fetched_at`` is
-    the file's modification time.  One file is one response.  The schema is
+    Returns ``source, company_identifier, fetched_at, body, file``; ``fetched_at``
+    is the file's modification time.  One file is one response.  The schema is
     declared, so identifiers in directory names stay strings (``007``).
     """
     return (
@@ -65,6 +65,7 @@ def read_landed(spark: SparkSession, root: str) -> DataFrame:
             "company_identifier",
             F.col("_metadata.file_modification_time").alias("fetched_at"),
             F.col("value").alias("body"),
+            F.col("_metadata.file_path").alias("file"),
         )
     )
 

@@ -1,6 +1,7 @@
 """Table sinks and scans without a transactional table format.
 
-* Bronze: date-partitioned Parquet, append only.
+* Bronze: Parquet partitioned by source, date and batch; batch and stream
+  writers share the layout, and a batch that is retried replaces its own rows.
 * Silver and Gold: *snapshot* tables.  Every write produces a new complete
   version ``<path>/v=<n>/``; a version counts once Spark's commit protocol has
   written its ``_SUCCESS`` marker, and readers always take the newest counted
@@ -11,7 +12,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
+import time
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -24,30 +28,53 @@ _VERSION = re.compile(r"^v=(\d+)$")
 
 # ------------------------------------------------------------------ Bronze --
 
-def append_bronze(df: DataFrame, path: str) -> int:
-    """Append one batch, partitioned by ``source, ingestion_date``.
+BRONZE_LAYOUT = ("source", "ingestion_date", "batch_id")
+
+
+def append_bronze(df: DataFrame, path: str, batch_id: str | None = None) -> int:
+    """Add one batch, partitioned by ``source, ingestion_date, batch_id``.
 
     Returns the number of rows written (counted during the write through an
-    ``Observation``, so the batch is evaluated once).  An empty batch writes
-    nothing and creates no table.
+    ``Observation``, so the batch is evaluated once).  A batch that is written
+    again under its ``batch_id`` replaces its own rows; without an id a fresh
+    one is made.  An empty batch leaves no table behind.
     """
-    batch = df.select(*BRONZE_COLUMNS)
-    if batch.isEmpty():
-        return 0
+    spark = df.sparkSession
+    existed = path_exists(spark, path)
     obs = Observation("bronze_append")
     (
-        batch.observe(obs, F.count(F.lit(1)).alias("rows"))
-        .write.mode("append")
-        .partitionBy("source", "ingestion_date")
+        df.select(*BRONZE_COLUMNS)
+        .observe(obs, F.count(F.lit(1)).alias("rows"))
+        .withColumn("batch_id", F.lit(batch_id or uuid.uuid4().hex))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*BRONZE_LAYOUT)
         .parquet(path)
     )
-    return int(obs.get["rows"])
+    rows = int(obs.get["rows"])
+    if not rows and not existed:
+        delete_path(spark, path)
+    return rows
+
+
+def replace_partitions(df: DataFrame, path: str, *keys: str) -> None:
+    """Write ``df`` so that the partitions it has rows for are replaced."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     """The whole Bronze history with its declared schema (partition values
     are not re-typed); date predicates prune partitions."""
-    return spark.read.schema(BRONZE).parquet(path)
+    return spark.read.schema(BRONZE).parquet(path).select(*BRONZE_COLUMNS)
+
+
+def batch_day(spark: SparkSession, root: str, batch_id: str, day: dt.date) -> dt.date:
+    """The date under which a batch was first tried.  It is recorded as an empty
+    folder, so a retry after midnight writes to the same partition."""
+    fs, p, jvm = _fs(spark, f"{root.rstrip('/')}/_batch_days/{batch_id}")
+    if not fs.exists(p) or not fs.listStatus(p):
+        fs.mkdirs(jvm.org.apache.hadoop.fs.Path(p, day.isoformat()))
+    return min(dt.date.fromisoformat(st.getPath().getName()) for st in fs.listStatus(p))
 
 
 # --------------------------------------------------------------- snapshots --
@@ -125,6 +152,7 @@ def upsert_snapshot(batch: DataFrame, path: str, key: str = "job_id") -> int:
     batch.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(staged_path)
     rows = int(obs.get["rows"])
     if rows == 0:
+        delete_path(spark, staged_path)
         return 0
     staged = spark.read.schema(batch.schema).parquet(staged_path)
     current = read_snapshot(spark, path, batch.schema)
@@ -134,6 +162,11 @@ def upsert_snapshot(batch: DataFrame, path: str, key: str = "job_id") -> int:
     return rows
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p, _ = _fs(spark, path)
+    return fs.exists(p)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Recursively delete ``path`` (a staging folder this library wrote)."""
     fs, p, _ = _fs(spark, path)
@@ -141,11 +174,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-def vacuum(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+def vacuum(spark: SparkSession, path: str, keep: int = 2, staging_hours: float = 24.0) -> list[str]:
     """Delete all but the newest ``keep`` committed versions of a snapshot
-    table, versions left behind by interrupted writes, and leftover staging
-    folders.  Run it between jobs (one writer at a time); returns what was
-    deleted.  Readers of the newest version are never affected."""
+    table, older versions left behind by interrupted writes, and staging folders
+    that nothing has touched for ``staging_hours`` (younger ones may belong to
+    a job in flight).  Returns what was deleted.  Readers of the newest version
+    are never affected."""
     if keep < 1:
         raise ValueError("keep must be at least 1")
     fs, p, jvm = _fs(spark, path)
@@ -153,6 +187,7 @@ def vacuum(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
         return []
     committed = versions(spark, path)
     survivors = set(committed[-keep:])
+    too_old = (time.time() - staging_hours * 3600) * 1000
     deleted = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
@@ -160,7 +195,13 @@ def vacuum(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
         # only versions older than the newest committed one: anything newer may
         # be a write in flight
         stale = bool(m) and bool(committed) and int(m.group(1)) < committed[-1] and int(m.group(1)) not in survivors
-        if stale or name in ("_batches", "_normalized"):
+        if stale:
             fs.delete(st.getPath(), True)
             deleted.append(name)
+        elif name in ("_batches", "_normalized"):
+            for run in fs.listStatus(st.getPath()):
+                newest = max([run.getModificationTime(), *(f.getModificationTime() for f in fs.listStatus(run.getPath()))])
+                if newest <= too_old:
+                    fs.delete(run.getPath(), True)
+                    deleted.append(f"{name}/{run.getPath().getName()}")
     return sorted(deleted)

@@ -6,9 +6,9 @@ done), gated by the target list, exploded into postings and appended to
 Bronze.  Rejected responses go to a side table.
 
 Each micro-batch writes under its own ``batch_id`` partition with dynamic
-partition overwrite, so a batch that is retried after a failure (executor
-loss, driver restart from the checkpoint) replaces its own earlier output
-instead of duplicating it.
+partition overwrite and under the date of its first try, so a batch that is
+retried after a failure (executor loss, driver restart from the checkpoint)
+replaces its own earlier output instead of duplicating it.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..sources import tables
 from ..sources.landing import LANDED_SCHEMA, REJECT_COLUMNS, explode_all, gate_targets, to_bronze
 
 
@@ -39,31 +40,24 @@ def landing_stream(spark: SparkSession, root: str, max_files_per_trigger: int |
 
 
 def _batch_writer(bronze_path: str, rejects_path: str, ingestion_date: dt.date | None):
+    root = bronze_path.rstrip("/")
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        day = ingestion_date or dt.datetime.now(dt.timezone.utc).date()
-        # parse and explode the micro-batch once; both writes read the result
-        out = explode_all(batch).persist()
-        try:
-            ok = F.col("reject_reason").isNull()
-            rows, rejects = out.filter(ok).drop("reject_reason"), out.filter(~ok).select(*REJECT_COLUMNS)
-            (
-                to_bronze(rows, day)
-                .withColumn("batch_id", F.lit(batch_id))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("source", "ingestion_date", "batch_id")
-                .parquet(bronze_path)
-            )
-            (
-                rejects.withColumn("ingestion_date", F.lit(day).cast("date"))
-                .withColumn("batch_id", F.lit(batch_id))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("ingestion_date", "batch_id")
-                .parquet(rejects_path)
-            )
-        finally:
-            out.unpersist()
+        spark, name = batch.sparkSession, f"stream-{batch_id}"
+        day = tables.batch_day(spark, root, name, ingestion_date or dt.datetime.now(dt.timezone.utc).date())
+        # the micro-batch is parsed and exploded once, into a folder all executors share
+        staged = f"{root}/_landing/{name}"
+        explode_all(batch).write.mode("overwrite").parquet(staged)
+        out = spark.read.parquet(staged)
+        ok = F.col("reject_reason").isNull()
+        # one shuffle on the partition columns: few files per folder
+        rows = to_bronze(out.filter(ok).drop("reject_reason"), day).repartition("source", "company_identifier")
+        tables.append_bronze(rows, bronze_path, name)
+        rejects = out.filter(~ok).select(
+            *REJECT_COLUMNS, F.lit(day).cast("date").alias("ingestion_date"), F.lit(name).alias("batch_id")
+        )
+        tables.replace_partitions(rejects, rejects_path, "ingestion_date", "batch_id")
+        tables.delete_path(spark, staged)
 
     return write
 
@@ -91,7 +85,7 @@ def start_landing_stream(
     """
     responses = landing_stream(spark, landing_root, max_files_per_trigger, per_line)
     if targets is not None:
-        responses = gate_targets(responses, targets, broadcast_ok=True)
+        responses = gate_targets(responses, targets)
     writer = (
         responses.writeStream.foreachBatch(_batch_writer(bronze_path, rejects_path, ingestion_date))
         .option("checkpointLocation", checkpoint_location)

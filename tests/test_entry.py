@@ -1,8 +1,14 @@
-"""Driver contract: entry() runs, every query has an oracle, results are whole."""
+"""Driver contract: entry() runs, every query of the library has an oracle,
+every registered query runs on the smoke data."""
 
 from __future__ import annotations
 
+import pytest
+
 import __spark_entry__ as E
+from talentflow.plans.queries import ORACLES, QUERIES
+
+SMOKE = "/root/testdata/sf0.001"
 
 
 def test_entry_runs_on_smoke_data(spark):
@@ -13,14 +19,13 @@ def test_entry_runs_on_smoke_data(spark):
     assert {r["profile_id"] for r in rows} == {"data-engineer", "platform", "junior"}
 
 
-def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+def test_every_query_of_the_library_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
-def test_queries_run_on_smoke_data(spark):
-    for name, q in E.queries().items():
-        if name == "pipeline_roundtrip":
-            continue
-        df = q(spark, "/root/testdata/sf0.001")
-        assert df.columns, name
-        df.limit(1).collect()
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_runs_on_smoke_data(spark, name):
+    df = E.queries()[name](spark, SMOKE)
+    assert df.columns
+    df.limit(1).collect()

@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+from pyspark.sql import functions as F
+
 from talentflow.sources import landing
 
 FETCHED = dt.datetime(2026, 8, 4, 9, 0, 0)
@@ -83,3 +85,27 @@ def test_read_landed_files(spark, tmp_dir):
     rows, _ = landing.explode_responses(landing.read_landed(spark, tmp_dir))
     got = sorted((r["company_identifier"], r["source_job_id"]) for r in rows.collect())
     assert got == [("007", "1"), ("007", "2"), ("acme", "1"), ("acme", "2")]
+
+
+def test_json_is_read_as_python_reads_it(spark):
+    page = '{"jobs": [{"id": 1, "id": 2}, {"id": true}, {"id": 1.0}, {"id": null}, "text", {"id": "x", "absolute_url": "u"}], "z": 1}'
+    rows, rejects = landing.explode_responses(responses(spark, [("greenhouse", "Fjord", page)]))
+    assert sorted((r["source_job_id"], r["url"]) for r in rows.collect()) == [("1.0", ""), ("2", ""), ("None", ""), ("True", ""), ("x", "u")]
+    assert [r["reject_reason"] for r in rejects.collect()] == ["posting_without_id"]
+    later = '{"jobs": [{"id": 1}], "jobs": [{"id": 7}]}'
+    broken = '{"jobs": [{"id": 1}]} and more'
+    rows, rejects = landing.explode_responses(
+        responses(spark, [("greenhouse", "a", later), ("greenhouse", "b", broken), ("greenhouse", "c", "[]")])
+    )
+    assert [r["source_job_id"] for r in rows.collect()] == ["7"]
+    assert sorted((r["company_identifier"], r["reject_reason"]) for r in rejects.collect()) == [
+        ("b", "malformed_json"), ("c", "response_not_object")]
+
+
+def test_a_page_of_twenty_megabytes(spark):
+    line = "w" * 100
+    df = responses(spark, [("greenhouse", "Fjord", "%s")]).withColumn(
+        "body", F.concat(F.lit('{"jobs": [{"id": 1}, {"id": 2, "content": "'), F.repeat(F.lit(line), 205_000), F.lit('"}]}'))
+    )
+    got = landing.explode_all(df).selectExpr("source_job_id", "length(raw_payload) n", "reject_reason").collect()
+    assert [(r["source_job_id"], r["n"] > 20_500_000, r["reject_reason"]) for r in got] == [("1", False, None), ("2", True, None)]

@@ -58,6 +58,7 @@ def test_upsert_keeps_rows_missing_from_batch(spark, tmp_dir):
     got = sorted(tuple(r) for r in tables.read_snapshot(spark, s).collect())
     assert got == [("a", 1), ("b", 20), ("c", 30)]
     assert tables.upsert_snapshot(second.limit(0), s) == 0 and tables.versions(spark, s) == [0, 1]
+    assert os.listdir(os.path.join(s, "_batches")) == []
 
 
 def test_interrupted_version_is_ignored(spark, tmp_dir):
@@ -104,8 +105,9 @@ def test_staging_is_removed_and_vacuum_keeps_newest(spark, tmp_dir):
     assert tables.versions(spark, s) == [0, 1, 2, 3]
     assert os.listdir(os.path.join(s, "_batches")) == []  # each run removed its staging copy
     os.makedirs(os.path.join(s, "v=4"))  # an interrupted write
-    deleted = tables.vacuum(spark, s, keep=2)
-    assert deleted == ["_batches", "v=0", "v=1"]
+    os.makedirs(os.path.join(s, "_batches", "b=9"))  # a job in flight
+    assert tables.vacuum(spark, s, keep=2) == ["v=0", "v=1"]
+    assert tables.vacuum(spark, s, keep=2, staging_hours=0) == ["_batches/b=9"]
     assert tables.versions(spark, s) == [2, 3] and os.path.isdir(os.path.join(s, "v=4"))
     assert sorted(r["job_id"] for r in tables.read_snapshot(spark, s).collect()) == ["k0", "k1", "k2", "k3"]
     fresh = os.path.join(tmp_dir, "fresh")

@@ -17,43 +17,54 @@ def silver(spark, rows):
     )
 
 
-def test_duplicates_across_sources(spark):
-    s = silver(spark, [("greenhouse:1", "acme", "Senior Data Engineer", "greenhouse", []),
-                       ("smartrecruiters:2", "acme", "Senior Data Engineer", "smartrecruiters", []),
-                       ("greenhouse:3", "acme", "QA Engineer", "greenhouse", [])])
+ROWS = [
+    ("g:1", "Orbita", "Night  Guard", "g", ["Kafka", "dbt"]),
+    ("s:1", "Orbita", " night guard", "s", ["dbt"]),
+    ("g:2", "Orbita", "NIGHT\tGUARD", "g", []),
+    ("g:3", "Delta", "night guard", "g", None),
+    ("g:4", "Delta", "Cook", "g", ["Kafka"]),
+    ("g:5", "Delta", "cook", "g", ["Scala", "dbt"]),
+    ("g:6", None, None, "g", ["dbt"]),
+    ("s:6", None, None, "s", []),
+    ("g:7", None, "Orbita", "g", []),
+    ("g:8", "Orbita", None, "g", []),
+]
+
+
+def test_duplicates_share_company_and_title(spark):
+    want = {"g:1": 3, "s:1": 3, "g:2": 3, "g:4": 2, "g:5": 2, "g:6": 2, "s:6": 2}
+    s = silver(spark, ROWS)
+    assert {r["job_id"]: r["duplicate_count"] for r in views.duplicate_postings(s).collect()} == want
+    across = {r["job_id"] for r in views.duplicate_postings(s, cross_source_only=True).collect()}
+    assert across == {"g:1", "s:1", "g:2", "g:6", "s:6"}
+    assert views.duplicate_postings(s.limit(0)).count() == 0
+
+
+def test_duplicates_in_order(spark):
+    rows = views.duplicate_postings(silver(spark, ROWS), ordered=True).collect()
+    key = lambda r: (r["company"] is not None, r["company"] or "", r["title"] or "", r["job_id"])
+    assert rows == sorted(rows, key=key) and len(rows) == 7
+
+
+def test_a_hot_title_is_counted_whole(spark):
+    s = silver(spark, [(f"g:{i}", "Orbita", "Clerk" if i % 3 else f"Clerk {i}", "g", []) for i in range(900)])
     got = views.duplicate_postings(s).collect()
-    assert {r["job_id"] for r in got} == {"greenhouse:1", "smartrecruiters:2"}
-    assert {r["duplicate_count"] for r in got} == {2}
+    assert len(got) == 600 and {r["duplicate_count"] for r in got} == {600}
 
 
-def test_duplicates_ignore_case_and_spacing(spark):
-    s = silver(spark, [("greenhouse:1", "acme", "Data   Engineer", "greenhouse", []), ("smartrecruiters:2", "acme", "data engineer", "smartrecruiters", [])])
-    assert views.duplicate_postings(s).count() == 2
+def test_active_companies_in_order(spark):
+    s = silver(spark, ROWS)
+    rows = [tuple(r) for r in views.active_companies(s).collect()]
+    assert rows == [("Orbita", 4, 2), (None, 3, 2), ("Delta", 3, 1)]
+    gone = spark.createDataFrame([("g:1",), ("g:2",), ("nowhere",)], "job_id string")
+    rows = [tuple(r) for r in views.active_companies(s, removed=gone).collect()]
+    assert rows == [(None, 3, 2), ("Delta", 3, 1), ("Orbita", 2, 2)]
 
 
-def test_duplicates_same_source_and_strict_option(spark):
-    s = silver(spark, [("greenhouse:1", "acme", "Dev", "greenhouse", []), ("greenhouse:2", "acme", "dev", "greenhouse", []),
-                       ("greenhouse:3", "other", "Dev", "greenhouse", [])])
-    assert views.duplicate_postings(s).count() == 2
-    assert views.duplicate_postings(s, cross_source_only=True).count() == 0
-
-
-def test_active_companies_ranking(spark):
-    s = silver(spark, [("greenhouse:1", "acme", "Data Engineer", "greenhouse", []), ("greenhouse:2", "acme", "QA Engineer", "greenhouse", []),
-                       ("smartrecruiters:3", "bosch", "Sales Manager", "smartrecruiters", [])])
-    rows = views.active_companies(s).collect()
-    assert [(r["company"], r["open_postings_count"], r["distinct_sources"]) for r in rows] == [("acme", 2, 1), ("bosch", 1, 1)]
-    removed = spark.createDataFrame([("greenhouse:2",)], "job_id string")
-    rows = views.active_companies(s, removed=removed).collect()
-    assert [(r["company"], r["open_postings_count"]) for r in rows] == [("acme", 1), ("bosch", 1)]
-
-
-def test_tech_trends(spark):
-    s = silver(spark, [("1", "a", "t", "g", ["Databricks", "Spark"]), ("2", "a", "t", "g", ["Databricks", "Kubernetes"]),
-                       ("3", "a", "t", "g", []), ("4", "a", "t", "g", None)])
-    got = {r["technology"]: r["mentions_count"] for r in views.tech_trends(s).collect()}
-    assert got == {"Databricks": 2, "Spark": 1, "Kubernetes": 1}
-    assert views.tech_trends(silver(spark, [("1", "a", "t", "g", [])])).count() == 0
+def test_tech_trends_in_order(spark):
+    rows = [tuple(r) for r in views.tech_trends(silver(spark, ROWS)).collect()]
+    assert rows == [("dbt", 4), ("Kafka", 2), ("Scala", 1)]
+    assert views.tech_trends(silver(spark, ROWS[2:4])).count() == 0
 
 
 def _bronze(spark, batches):
@@ -63,22 +74,25 @@ def _bronze(spark, batches):
     return bronze_df(spark, rows)
 
 
-D3, D4 = dt.date(2026, 8, 3), dt.date(2026, 8, 4)
+MON, TUE = dt.date(2025, 3, 3), dt.date(2025, 3, 4)
 
 
-def test_new_removed_and_identical(spark):
-    b = _bronze(spark, [(D3, ["1", "2"]), (D4, ["1", "2", "3"])])
-    new = views.new_postings(b, D3, D4).collect()
-    assert [(r["job_id"], r["detected_as_new_on"]) for r in new] == [("greenhouse:3", D4)]
-    b = _bronze(spark, [(D3, ["1", "2"]), (D4, ["1"])])
-    assert [r["job_id"] for r in views.removed_postings(b, D3, D4).collect()] == ["greenhouse:2"]
-    b = _bronze(spark, [(D3, ["1"]), (D4, ["1"])])
-    assert views.new_postings(b, D3, D4).count() == 0
+def test_new_and_removed(spark):
+    b = _bronze(spark, [(MON, ["a", "b", "b"]), (TUE, ["b", "c", "c"]), (dt.date(2025, 3, 1), ["z"])])
+    assert [tuple(r) for r in views.new_postings(b, MON, TUE).collect()] == [("greenhouse:c", TUE)]
+    assert [tuple(r) for r in views.removed_postings(b, MON, TUE).collect()] == [("greenhouse:a", TUE)]
+    same = _bronze(spark, [(MON, ["a"]), (TUE, ["a"])])
+    assert views.new_postings(same, MON, TUE).count() == 0 == views.removed_postings(same, MON, TUE).count()
+    assert sorted(r["job_id"] for r in views.batch_job_ids(b, MON).collect()) == ["greenhouse:a", "greenhouse:b"]
 
 
-def test_removed_only_for_fetched_targets(spark):
-    rows = [("greenhouse", "1", "acme", {"id": 1}, "", D3), ("greenhouse", "2", "bosch", {"id": 2}, "", D3),
-            ("greenhouse", "1", "acme", {"id": 1}, "", D4)]
-    b = bronze_df(spark, rows)
-    assert [r["job_id"] for r in views.removed_postings(b, D3, D4).collect()] == ["greenhouse:2"]
-    assert views.removed_postings(b, D3, D4, only_fetched_targets=True).count() == 0
+def test_removed_only_where_the_target_was_fetched(spark):
+    post = lambda i, company, day: ("greenhouse", i, company, {"id": i}, "", day)
+    b = bronze_df(
+        spark,
+        [post("1", "Fjord", MON), post("2", "Fjord", MON), post("3", "Delta", MON), post("4", "Moved", MON)]
+        + [post("1", "Fjord", TUE), post("4", "Fjord", TUE), post("9", "Fresh", TUE)],
+    )
+    ids = lambda df: sorted(r["job_id"] for r in df.collect())
+    assert ids(views.removed_postings(b, MON, TUE)) == ["greenhouse:2", "greenhouse:3"]
+    assert ids(views.removed_postings(b, MON, TUE, only_fetched_targets=True)) == ["greenhouse:2"]
