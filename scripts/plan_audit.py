@@ -43,7 +43,7 @@ def main() -> None:
         scans = []
         for s in re.findall(r"FileScan \w+[^\n]*", plan):
             loc = re.search(r"\[file:[^\]]*/([\w=.-]+)\]", s)
-            pf = re.search(r"PushedFilters: (\[[^\]]*\])", s)
+            pf = re.search(r"PushedFilters: (\[.*?\]?), ReadSchema", s)  # Spark may cut a long list short
             rs = re.search(r"ReadSchema: (struct<[^\n]*?>)(,|$)", s)
             scans.append(f"`{loc.group(1) if loc else '?'}`: {pf.group(1) if pf else '[]'} / `{(rs.group(1) if rs else '')[:110]}`")
         out.append(

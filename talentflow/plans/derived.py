@@ -38,19 +38,12 @@ DESCRIPTION_KEYWORDS: list[str] = [v for name in sorted(KEYWORD_CATALOG) for v i
 SMALL_DIMENSIONS = {"region", "nation"}
 
 
-def ensure_parallelism(df: DataFrame, factor: int = 1) -> DataFrame:
-    """Spread a scan over the cluster when it arrives in fewer partitions than
-    the cluster has cores (e.g. one large file with a single row group).
-
-    A no-op for ordinary large inputs, whose scan already has many more splits
-    than cores; otherwise one round-robin exchange, which is cheap next to the
-    per-row text work that follows.  One partition per core measured best
-    (every task deserialises the whole, large plan, so small tasks cost more).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores * factor)
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Spread a scan over ``spark.talentflow.spreadInputs`` partitions, where the
+    session sets it (the benchmark and test sessions do: their tables are one
+    file of one row group each).  Without the setting a scan keeps its splits."""
+    n = int(df.sparkSession.conf.get("spark.talentflow.spreadInputs", "0"))
+    return df.repartition(n) if n else df
 
 
 # Declared schemas of the supplied tables (no footer reads for inference).

@@ -17,7 +17,7 @@ from ..functions.terms import extract_terms, required_years
 from ..functions.text import strip_html
 from ..operators import views
 from ..operators.latest import latest_per_key, newer_than_current, upsert_rows
-from ..operators.matching import Profile, match_scores, profiles_from_text
+from ..operators.matching import Profile, match_profile_table, match_scores, profiles_from_text
 from ..operators.normalize import normalize
 from ..session import scratch_path
 from ..sources import landing, tables
@@ -76,6 +76,18 @@ def q_match_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(scored, "matched_skills", "missing_skills", "matched_keywords")
 
 
+PROFILE_TOP_K = 3
+
+
+def q_match_profiles_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best postings of every profile of a profile table
+    (one per conversation turn), with their rank."""
+    postings = postings_from_part(table(spark, sf_dir, "part"))
+    profiles = profiles_from_text(derived.cv_texts_from_conversations(spark, sf_dir))
+    best = match_profile_table(postings, profiles, PROFILE_TOP_K)
+    return _flat(best.select("profile_id", "job_id", "match_score", "matched_skills", "rank"), "matched_skills")
+
+
 def q_profiles_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A profile from every conversation turn's text."""
     p = profiles_from_text(derived.cv_texts_from_conversations(spark, sf_dir))
@@ -311,6 +323,7 @@ def q_landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "match_scores": q_match_scores,
     "match_top_k": q_match_top_k,
+    "match_profiles_top_k": q_match_profiles_top_k,
     "profiles_from_text": q_profiles_from_text,
     "tech_trends": q_tech_trends,
     "extract_terms_documents": q_extract_terms_documents,
@@ -339,6 +352,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = oracles.build_all(
     top_k=TOP_K,
+    profile_top_k=PROFILE_TOP_K,
     profiles=FLAGSHIP_PROFILES,
     previous_day=PREVIOUS_DAY,
     current_day=CURRENT_DAY,

@@ -6,6 +6,7 @@ is for tests and ``bench.py`` only.
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -21,6 +22,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.talentflow.spreadInputs", str(os.cpu_count() if cores == "*" else cores))
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
