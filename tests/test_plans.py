@@ -7,16 +7,33 @@ from pyspark.sql import functions as F
 
 from talentflow.functions.arrays import explode_rows
 from talentflow.functions.memo import per_context
-from talentflow.operators.matching import MAX_LITERAL_PROFILES, Profile, match_scores
+from talentflow.operators.matching import MAX_LITERAL_PROFILES, Profile, match_profile_table, match_scores
 from talentflow.plans.derived import ensure_parallelism
 
 
-def test_parallelism_guard_only_spreads_small_scans(spark):
-    cores = spark.sparkContext.defaultParallelism
+def test_inputs_spread_only_where_the_session_asks(spark):
     one = spark.range(100).coalesce(1)
-    assert ensure_parallelism(one).rdd.getNumPartitions() == cores
-    many = spark.range(1000).repartition(cores * 3)
-    assert ensure_parallelism(many) is many
+    assert ensure_parallelism(one) is one
+    spark.conf.set("spark.talentflow.spreadInputs", "5")
+    try:
+        assert ensure_parallelism(one).rdd.getNumPartitions() == 5
+    finally:
+        spark.conf.unset("spark.talentflow.spreadInputs")
+
+
+def test_profile_tables_are_taken_in_blocks(spark):
+    posts = spark.createDataFrame(
+        [(f"p{i}", ["dbt"] if i % 2 else ["Scala"], None) for i in range(6)], "job_id string, technologies array<string>, description string"
+    ).selectExpr("job_id", "'c' company", "'t' title", "'l' location", "false remote", "'u' link", "technologies", "description")
+    profiles = spark.createDataFrame(
+        [(f"u{i:02d}", ["dbt"] if i % 3 else ["Scala"], [], 1.0) for i in range(11)],
+        "profile_id string, technologies array<string>, keywords array<string>, years_experience double",
+    )
+    rows = [match_profile_table(posts, profiles, 2, block=n).collect() for n in (4, 11, 256)]
+    keyed = [sorted((r["profile_id"], r["rank"], r["job_id"], r["match_score"]) for r in part) for part in rows]
+    assert keyed[0] == keyed[1] == keyed[2] and len(keyed[0]) == 22
+    assert ("u00", 1, "p0", 100) in keyed[0] and ("u01", 2, "p3", 100) in keyed[0]
+    assert match_profile_table(posts, profiles.limit(0), 2).count() == 0
 
 
 def test_memo_reuses_columns_within_a_context(spark):
