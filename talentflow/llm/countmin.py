@@ -44,6 +44,7 @@ MAX_CELLS = 1 << 28
 BYTES_PER_KEY, CELLS_PER_KEY = 42, 4
 BYTES_PER_WORD, CELLS_PER_WORD = 6, 2
 FLUSH = 1 << 20
+MERGE = 64
 
 
 def sketch_bits(cells: int, max_cells: int = MAX_CELLS) -> int:
@@ -116,14 +117,16 @@ def merged_sketch(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np
             yield out()
 
     slices = df.mapInArrow(build, SKETCH)
-    by_part = slices.groupBy("slice", F.pmod("part", F.lit(64))).applyInArrow(lambda key, t: _merge(t), SKETCH)
-    return by_part.groupBy("slice").applyInArrow(_merge, SKETCH).select("slice", "more")
+    # a tree: neighbouring partitions first, few sketches of a slice in one call
+    for width in (MERGE, MERGE**2):
+        slices = slices.groupBy("slice", F.floor(F.col("part") / width)).applyInArrow(lambda key, t: _merge(t), SKETCH)
+    return slices.groupBy("slice").applyInArrow(_merge, SKETCH).select("slice", "more")
 
 
 def repeated_bits(sketch: DataFrame, bits: int) -> np.ndarray:
     """The bounded sketch as packed bits, one row per depth."""
     out = np.zeros((DEPTH, 1 << bits >> 3), np.uint8)
-    for r in sketch.toLocalIterator():
+    for r in sketch.collect():
         count = np.zeros(1 << SLICE_BITS, bool)
         count[_unpack(r["more"])] = True
         at = (r["slice"] & 0xFFFF) << (SLICE_BITS - 3)
