@@ -21,6 +21,7 @@ def main(argv=None) -> None:
     a = sub.add_parser("bronze", help="landed responses -> Bronze (append)")
     a.add_argument("landing_root"); a.add_argument("bronze_path"); a.add_argument("rejects_path")
     a.add_argument("--ingestion-date")
+    a.add_argument("--run-id", help="id of a run to repeat: it replaces its own rows")
     a.add_argument("--targets", help="CSV with header source,company_identifier,risk_tier")
     s = sub.add_parser("silver", help="Bronze -> Silver (upsert)")
     s.add_argument("bronze_path"); s.add_argument("silver_path")
@@ -41,7 +42,7 @@ def main(argv=None) -> None:
 
             targets = spark.read.schema(TARGETS).option("header", True).csv(args.targets)
         print(json.dumps({"rows": jobs.land_to_bronze(spark, args.landing_root, args.bronze_path, args.rejects_path,
-                                                       targets=targets, ingestion_date=_date(args.ingestion_date))}))
+                                                       targets=targets, ingestion_date=_date(args.ingestion_date), run_id=args.run_id)}))
     elif args.job == "silver":
         print(json.dumps({"rows": jobs.bronze_to_silver(spark, args.bronze_path, args.silver_path,
                                                          _date(args.since_date), args.rejects_path)}))
