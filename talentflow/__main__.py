@@ -26,6 +26,7 @@ def main(argv=None) -> None:
     s = sub.add_parser("silver", help="Bronze -> Silver (upsert)")
     s.add_argument("bronze_path"); s.add_argument("silver_path")
     s.add_argument("--since-date"); s.add_argument("--rejects-path")
+    s.add_argument("--full", action="store_true", help="recompute from all of Bronze")
     g = sub.add_parser("gold", help="write every Gold view")
     g.add_argument("silver_path"); g.add_argument("gold_root")
     g.add_argument("--bronze-path"); g.add_argument("--previous-date"); g.add_argument("--current-date")
@@ -45,7 +46,7 @@ def main(argv=None) -> None:
                                                        targets=targets, ingestion_date=_date(args.ingestion_date), run_id=args.run_id)}))
     elif args.job == "silver":
         print(json.dumps({"rows": jobs.bronze_to_silver(spark, args.bronze_path, args.silver_path,
-                                                         _date(args.since_date), args.rejects_path)}))
+                                                         _date(args.since_date), args.rejects_path, args.full)}))
     elif args.job == "gold":
         print(json.dumps(jobs.write_gold(spark, args.gold_root, args.silver_path, args.bronze_path,
                                          _date(args.previous_date), _date(args.current_date))))

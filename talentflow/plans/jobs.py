@@ -57,10 +57,22 @@ def land_to_bronze(spark: SparkSession, landing_root: str, bronze_path: str, rej
 
 
 def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str, since_date: dt.date | None = None,
-                     rejects_path: str | None = None) -> int:
-    """Full recompute (default) or incremental from ``since_date``."""
+                     rejects_path: str | None = None, full: bool = False) -> int:
+    """P2, incremental: Bronze from the last merged date on (that date included)
+    is mapped and merged.  The date is recorded next to Silver after each run;
+    ``since_date`` overrides it, and ``full`` recomputes from all of Bronze, as
+    is needed after loading batches older than the recorded date."""
+    if since_date is None and not full:
+        since_date = tables.high_water(spark, silver_path)
+    bronze = tables.read_bronze(spark, bronze_path)
+    if since_date is not None:
+        bronze = bronze.filter(F.col("ingestion_date") >= F.lit(since_date).cast("date"))
+    newest = bronze.agg(F.max("ingestion_date")).first()[0]  # taken before the merge, so nothing later is skipped
     on_error = "quarantine" if rejects_path else "fail"
-    return transform(spark, bronze_path, silver_path, on_error=on_error, rejects_path=rejects_path, since_date=since_date)
+    rows = transform(spark, bronze_path, silver_path, on_error=on_error, rejects_path=rejects_path, since_date=since_date)
+    if newest is not None:
+        tables.record_high_water(spark, silver_path, newest)
+    return rows
 
 
 def gold_view(spark: SparkSession, name: str, silver_path: str, bronze_path: str | None = None,

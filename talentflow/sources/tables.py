@@ -77,6 +77,18 @@ def batch_day(spark: SparkSession, root: str, batch_id: str, day: dt.date) -> dt
     return min(dt.date.fromisoformat(st.getPath().getName()) for st in fs.listStatus(p))
 
 
+def high_water(spark: SparkSession, path: str) -> dt.date | None:
+    """The newest Bronze date merged into the snapshot table at ``path``."""
+    fs, p, _ = _fs(spark, f"{path.rstrip('/')}/_high_water")
+    days = [dt.date.fromisoformat(st.getPath().getName()) for st in fs.listStatus(p)] if fs.exists(p) else []
+    return max(days, default=None)
+
+
+def record_high_water(spark: SparkSession, path: str, day: dt.date) -> None:
+    fs, p, _ = _fs(spark, f"{path.rstrip('/')}/_high_water/{day.isoformat()}")
+    fs.mkdirs(p)
+
+
 # --------------------------------------------------------------- snapshots --
 
 def _fs(spark: SparkSession, path: str):

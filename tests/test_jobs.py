@@ -79,3 +79,21 @@ def test_silver_rejects_are_kept_once(spark, tmp_dir):
     for _ in range(3):
         assert jobs.bronze_to_silver(spark, bronze, silver, rejects_path=bad) == 1
     assert [r["job_id"] for r in spark.read.parquet(bad).collect()] == ["greenhouse:2"]
+
+
+def test_silver_continues_from_the_recorded_date(spark, tmp_dir):
+    landing, bronze, rej, silver = (os.path.join(tmp_dir, k) for k in ("landing", "bronze", "rej", "silver"))
+    d1, d2 = dt.date(2025, 5, 1), dt.date(2025, 5, 2)
+    land(landing, "greenhouse", "Fjord", "one.json", board(1, 2))
+    jobs.land_to_bronze(spark, landing, bronze, rej, ingestion_date=d1)
+    assert jobs.bronze_to_silver(spark, bronze, silver) == 2 and tables.high_water(spark, silver) == d1
+    land(landing, "greenhouse", "Fjord", "late.json", board(3))  # more of the same day
+    jobs.land_to_bronze(spark, landing, bronze, rej, ingestion_date=d1)
+    assert jobs.bronze_to_silver(spark, bronze, silver) == 3
+    land(landing, "greenhouse", "Fjord", "two.json", board(4))
+    jobs.land_to_bronze(spark, landing, bronze, rej, ingestion_date=d2)
+    assert jobs.bronze_to_silver(spark, bronze, silver) == 4  # day one again, which changes nothing
+    assert jobs.bronze_to_silver(spark, bronze, silver) == 1 and tables.high_water(spark, silver) == d2
+    kept = sorted(r["job_id"] for r in tables.read_silver(spark, silver).collect())
+    assert kept == [f"greenhouse:{i}" for i in (1, 2, 3, 4)]
+    assert jobs.bronze_to_silver(spark, bronze, silver, full=True) == 4
