@@ -1,4 +1,4 @@
-"""Summarise the physical plan of every registered query into PLANS.md.
+"""Summarise the physical plan of every query of the library into PLANS.md.
 
 Usage: python scripts/plan_audit.py [sf_dir]
 For each query: exchanges (shuffles, incl. AQE's initial plan), join
@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from talentflow.session import local_session
-    import __spark_entry__ as E
+    from talentflow.plans.queries import QUERIES
 
     spark = local_session()
     out = [
@@ -27,13 +27,13 @@ def main() -> None:
         "",
         f"Generated by `scripts/plan_audit.py` at `{sf_dir}` (AQE initial plans; AQE may still turn a",
         "sort-merge join into a broadcast join at run time from measured sizes).",
-        "`RoundRobin` exchanges come from the parallelism guard for single-row-group inputs and",
-        "disappear for inputs with at least one split per core.",
+        "`RoundRobin` exchanges come from `spark.talentflow.spreadInputs`, which the local session sets;",
+        "without the setting they are not there.",
         "",
         "| query | shuffles | joins | window-group limits | scans: pushed filters / read schema |",
         "|---|---|---|---|---|",
     ]
-    for name, q in E.queries().items():
+    for name, q in QUERIES.items():
         plan = q(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         shuffles = re.findall(r"Exchange (\w+)", plan)
         kinds = {}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import explode_rows
@@ -43,31 +43,27 @@ DUPLICATE_COLUMNS = ["job_id", "company", "title", "source", "link", "duplicate_
 def duplicate_postings(silver: DataFrame, cross_source_only: bool = False, ordered: bool = False) -> DataFrame:
     """Postings sharing company and normalised title with another posting.
 
-    Two steps, so that only titles that may repeat are shuffled.  Hashes of
-    (company, title key) are counted by a partial aggregate, and rows whose hash
-    pair occurs once leave through a narrow semi join.  The real keys of the
-    rest are then aggregated and joined back; the join lets AQE split a hot key,
-    where a window would hold all its rows in one task.  ``cross_source_only``
-    additionally requires two distinct sources in the group (the stated intent
-    of the view).  ``ordered`` sorts by company, title and job.
+    Rows are grouped by a SHA-256 of (company, title key), so the aggregate
+    moves 32 bytes a row instead of the title, and the group table joins back
+    on that digest.  The aggregate combines map-side and AQE can split a hot key
+    on the join, where a window would hold all its rows in one task.  NULLs group
+    together, as in a window partition.  ``cross_source_only`` additionally
+    requires two distinct sources in the group (the stated intent of the view).
+    ``ordered`` sorts by company, title and job.
     """
-    key = title_key(F.col("title"))
-    keyed = silver.select(
-        *DUPLICATE_COLUMNS[:-1], F.xxhash64("company", key).alias("_h1"), F.hash(key, F.col("company")).alias("_h2")
-    )
-    repeated = keyed.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_h1", "_h2")
-    maybe = keyed.join(repeated, ["_h1", "_h2"], "left_semi").select(*DUPLICATE_COLUMNS[:-1], key.alias("_tkey"))
-    groups = maybe.groupBy("company", "_tkey").agg(
+    def part(c: Column) -> Column:  # unambiguous: absent, or length and text
+        return F.coalesce(F.concat(F.char_length(c).cast("string"), F.lit(":"), c), F.lit("-"))
+
+    digest = F.sha2(F.concat(part(F.col("company")), part(title_key(F.col("title")))), 256)
+    keyed = silver.select(*DUPLICATE_COLUMNS[:-1], digest.alias("_key"))
+    groups = keyed.groupBy("_key").agg(
         F.count(F.lit(1)).alias("duplicate_count"),
         *([F.count_distinct("source").alias("_n_sources")] if cross_source_only else []),
     )
     cond = F.col("duplicate_count") > 1
     if cross_source_only:
         cond = cond & (F.col("_n_sources") > 1)
-    dups = groups.filter(cond).select(F.col("company").alias("_c"), F.col("_tkey").alias("_k"), "duplicate_count")
-    # null-safe keys: NULLs group together, as in a window partition
-    on = F.col("company").eqNullSafe(F.col("_c")) & F.col("_tkey").eqNullSafe(F.col("_k"))
-    out = maybe.join(dups, on, "inner").select(*DUPLICATE_COLUMNS)
+    out = keyed.join(groups.filter(cond).select("_key", "duplicate_count"), "_key").select(*DUPLICATE_COLUMNS)
     return out.orderBy("company", "title", "job_id") if ordered else out
 
 
