@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_path
+
+# The column that names a row, whatever its id.
+ROW = "_row_key"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +30,41 @@ def text_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def with_row_key(docs: DataFrame) -> DataFrame:
+    """``docs`` with a unique key per row that is the same at every scan: the
+    place of the row in its Parquet file.  Anything but a plain Parquet scan is
+    written once in the shared folder and read from there."""
+    spark = docs.sparkSession
+    plan = docs._jdf.queryExecution().analyzed()
+    if plan.nodeName() != "LogicalRelation" or "parquet" not in plan.relation().toString().lower():
+        path = scratch_path(spark, f"rows-{uuid.uuid4().hex}")
+        docs.write.parquet(path)
+        docs = spark.read.schema(docs.schema).parquet(path)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    placed = docs.select(*columns, F.col("_metadata.file_path").alias("_row_file"), F.col("_metadata.row_index").alias("_row_index"))
+    names = sorted(r[0] for r in placed.select("_row_file").distinct().collect())  # no more than the driver lists for a scan
+    files = spark.createDataFrame(list(zip(names, range(len(names)))), "_row_file string, _row_file_no long")
+    key = F.shiftleft("_row_file_no", 40) + F.col("_row_index")
+    return placed.join(F.broadcast(files), "_row_file").select(*columns, key.alias(ROW))
+
+
+def number_rows(df: DataFrame) -> DataFrame:
+    """Narrow rows with a row key, to be stored before they are read."""
+    return df.withColumn(ROW, F.monotonically_increasing_id())
+
+
+def drop_rows(rows: DataFrame, gone: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` of the rows whose key is not in ``gone``."""
+    return rows.join(gone.select(ROW), ROW, "left_anti").select(*columns)
+
+
+def first_row(*order: Column) -> Column:
+    """Aggregate: struct with doc_id and row key of the first row by ``order``,
+    then the smallest id (nulls last), then the smallest row key."""
+    keys = [c.alias(f"o{i}") for i, c in enumerate(order)]
+    return F.min(F.struct(*keys, F.col("doc_id").isNull().alias("no_id"), "doc_id", ROW))
+
+
 def crc_mod(id_col: str | Column, n: int) -> Column:
     """crc32 of the id's decimal text, modulo n."""
     return F.crc32(F.col(id_col).cast("string") if isinstance(id_col, str) else id_col.cast("string")) % F.lit(n)

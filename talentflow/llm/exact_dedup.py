@@ -9,6 +9,8 @@
 Groups are counted by partial aggregates (a group of any size arrives at its
 reducer as one row per task) and brought back by joins whose group side has
 one row per group, which adaptive skew handling splits for hot groups.
+Rows are told apart by a row key, never by their id, which may be null or
+repeated.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared, text_of
+from .common import ROW, drop_rows, first_row, number_rows, shared, text_of, with_row_key
 
 PREFIX_CHARS = 256
 # The deleted characters: space and \t \n \v \f \r.
@@ -30,20 +32,21 @@ def normalised(text: Column) -> Column:
 
 
 def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix: int = PREFIX_CHARS) -> DataFrame:
-    """One row per document that has at least one equal text:
-    (doc_id, keep_id, group_size, text_sha256).
+    """One row per row of ``docs`` that has at least one equal text: row key,
+    doc_id, keep_row, keep_id, group_size, text_sha256.
 
     Null and empty texts are equal to each other.  The row with the most code
-    points in the original text stays, ties go to the smallest id.  Rows that
-    repeat an id count as that many rows of the group.  An empty table gives
-    an empty result; other columns of ``docs`` are ignored.
+    points in the original text stays, ties go to the smallest id (null ids
+    last), then to the smallest row key.  Rows that repeat an id count as that
+    many rows of the group.  An empty table gives an empty result; other columns
+    of ``docs`` are ignored.
     """
-    base = text_of(docs, id_col, text_col)
+    rows = docs if ROW in docs.columns else with_row_key(docs)
+    base = rows.select(ROW, F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     norm = normalised(F.col("text"))
     keys = shared(
-        base.select("doc_id", F.char_length("text").alias("n_chars"), norm.alias("norm")).select(
-            "doc_id",
-            "n_chars",
+        base.select(ROW, norm.alias("norm")).select(
+            ROW,
             F.octet_length("norm").alias("n_bytes"),
             F.xxhash64(F.substring("norm", 1, prefix)).alias("head"),
         )
@@ -53,42 +56,51 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     # Group tables are stored before the join back: both of its sides are then
     # plain exchanges, which adaptive execution splits at a hot group.
     alive = shared(keys.groupBy("n_bytes", "head").count().filter("count > 1").select("n_bytes", "head"))
-    survivors = keys.join(alive, ["n_bytes", "head"], "left_semi").select("doc_id").distinct()
+    survivors = keys.join(alive, ["n_bytes", "head"], "left_semi").select(ROW)
     full = shared(
-        base.join(survivors, "doc_id", "left_semi").select(
-            "doc_id", F.char_length("text").alias("n_chars"), F.sha2(normalised(F.col("text")), 256).alias("text_sha256")
+        base.join(survivors, ROW, "left_semi").select(
+            ROW, "doc_id", F.char_length("text").alias("n_chars"), F.sha2(normalised(F.col("text")), 256).alias("text_sha256")
         )
     )
-    groups = shared(
-        full.groupBy("text_sha256")
-        .agg(F.count("*").alias("group_size"), F.min(F.struct((-F.col("n_chars")).alias("n"), "doc_id")).alias("first"))
+    return full.join(_groups(full), "text_sha256").select(ROW, "doc_id", "keep_row", "keep_id", "group_size", "text_sha256")
+
+
+def _groups(hashed: DataFrame) -> DataFrame:
+    """(text_sha256, group_size, keep_id, keep_row) of the texts that occur
+    more than once among (row key, doc_id, n_chars, text_sha256)."""
+    return shared(
+        hashed.groupBy("text_sha256")
+        .agg(F.count("*").alias("group_size"), first_row(-F.col("n_chars")).alias("first"))
         .filter("group_size > 1")
-        .select("text_sha256", "group_size", F.col("first.doc_id").alias("keep_id"))
+        .select("text_sha256", "group_size", F.col("first.doc_id").alias("keep_id"), F.col(f"first.{ROW}").alias("keep_row"))
     )
-    return full.join(groups, "text_sha256").select("doc_id", "keep_id", "group_size", "text_sha256")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix: int = PREFIX_CHARS) -> DataFrame:
     """The documents that stay, with all their columns (one per equal text)."""
-    gone = (
-        duplicate_groups(docs, id_col, text_col, prefix)
-        .filter("doc_id <> keep_id")
-        .select(F.col("doc_id").alias(id_col))
-        .distinct()
-    )
-    return docs.join(gone, id_col, "left_anti")
+    rows = with_row_key(docs)
+    gone = duplicate_groups(rows, id_col, text_col, prefix).filter(F.col(ROW) != F.col("keep_row"))
+    return drop_rows(rows, gone, docs.columns)
 
 
 def dedup_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
-    base = text_of(docs, id_col, text_col)
-    groups = duplicate_groups(docs, id_col, text_col).drop("text_sha256")
-    digest = base.select("doc_id", F.sha2(normalised(F.col("text")), 256).alias("text_sha256"))
-    return digest.join(groups.distinct(), "doc_id", "left").select(
+    """One row per row of ``docs``: doc_id, keep_id (null if no row of the group
+    has an id), group_size, kept, text_sha256.
+
+    Every text is hashed whole here, the hash being a column of the report, so
+    the groups are formed from those narrow rows in one scan of the texts.
+    """
+    text = F.col("text")
+    hashed = text_of(docs, id_col, text_col).select(
+        "doc_id", F.char_length(text).alias("n_chars"), F.sha2(normalised(text), 256).alias("text_sha256")
+    )
+    rows = shared(number_rows(hashed))
+    single = F.col("group_size").isNull()
+    return rows.join(_groups(rows), "text_sha256", "left").select(
         "doc_id",
-        F.coalesce("keep_id", "doc_id").alias("keep_id"),
+        F.when(single, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-        F.coalesce(F.col("doc_id") == F.col("keep_id"), F.lit(True)).alias("kept"),
+        (single | (F.col(ROW) == F.col("keep_row"))).alias("kept"),
         "text_sha256",
     )
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared, text_of
+from .common import ROW, drop_rows, first_row, shared, text_of, with_row_key
 from .components import connected_components
 from .tokens import BLOCK_BYTES, U64, Words, WORD_POWERS, mix, range_hashes, text_blocks
 
@@ -239,11 +239,10 @@ def near_duplicates(
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents that stay, with all their columns: of each group the one
-    with the smallest id."""
-    gone = (
-        near_duplicates(docs, id_col, text_col, **options)
-        .filter("doc_id <> class_id")
-        .select(F.col("doc_id").alias(id_col))
-        .distinct()
-    )
-    return docs.join(gone, id_col, "left_anti")
+    with the smallest id (null ids last), then the smallest row key.  Groups
+    are formed over row keys, as ids may be null or repeated."""
+    rows = with_row_key(docs)
+    classes = near_duplicates(rows, ROW, text_col, **options).select(F.col("doc_id").alias(ROW), "class_id")
+    members = shared(rows.select(ROW, F.col(id_col).alias("doc_id")).join(classes, ROW))
+    first = members.groupBy("class_id").agg(first_row().alias("first")).select(f"first.{ROW}")
+    return drop_rows(rows, members.join(first, ROW, "left_anti"), docs.columns)

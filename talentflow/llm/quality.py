@@ -266,6 +266,15 @@ def predict(docs: DataFrame, model: LineField, id_col: str = "doc_id", text_col:
 
 
 def keep_good(docs: DataFrame, model: LineField, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The documents the classifier does not reject, with all their columns."""
-    bad = predict(docs, model, id_col, text_col, threshold).filter("predicted = 0").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(bad, id_col, "left_anti")
+    """The documents the classifier does not reject, with all their columns.
+    Each row is decided where it is read: ids may be null or repeated."""
+    shared_model = docs.sparkSession.sparkContext.broadcast(model)
+    text_at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, data, offsets in text_blocks(batch.column(text_at)):
+                good = shared_model.value.score(data, offsets) >= threshold
+                yield batch.slice(at, len(good)).filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)
