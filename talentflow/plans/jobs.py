@@ -26,8 +26,9 @@ def land_to_bronze(spark: SparkSession, landing_root: str, bronze_path: str, rej
     """S1-S5 as one batch job over the files landed since the last run;
     returns rows added.
 
-    Files that an earlier run has finished are listed in a ledger next to Bronze
-    and left out.  A run that failed is repeated with its ``run_id``: it reads
+    Files that an earlier run has finished are listed with their modification
+    time in a ledger next to Bronze and left out; a file rewritten in place is
+    read again.  A run that failed is repeated with its ``run_id``: it reads
     the same files and replaces its own postings and rejects, under the date of
     its first try.  The files are parsed and exploded once into a staging
     folder; postings, rejects and the ledger are read from there.  Folders whose
@@ -38,11 +39,15 @@ def land_to_bronze(spark: SparkSession, landing_root: str, bronze_path: str, rej
     responses = landing.read_landed(spark, landing_root)
     ledger = f"{root}/_landed_files"
     if tables.path_exists(spark, ledger):
-        done = spark.read.schema("file string, run string").parquet(ledger).filter(F.col("run") != run)
-        responses = responses.join(done.select("file"), "file", "left_anti")
+        finished = F.col("_metadata.file_modification_time").alias("finished")
+        done = spark.read.schema("file string, modified timestamp, run string").parquet(ledger).filter(F.col("run") != run)
+        r, d = responses.alias("r"), done.select("file", "modified", finished).alias("d")
+        # entries of earlier versions have no modification time: a file changed after their run is new
+        same = F.coalesce(F.col("r.fetched_at") == F.col("d.modified"), F.col("r.fetched_at") <= F.col("d.finished"))
+        responses = r.join(d, (F.col("r.file") == F.col("d.file")) & same, "left_anti")
     staged = f"{root}/_landing/run={run}"
     tables.delete_path(spark, staged)
-    responses.select("file").distinct().write.parquet(f"{staged}/files")
+    responses.select("file", F.col("fetched_at").alias("modified")).distinct().write.parquet(f"{staged}/files")
     if targets is not None:
         responses = landing.gate_targets(responses, targets)
     landing.explode_all(responses).write.parquet(f"{staged}/rows")
@@ -59,11 +64,18 @@ def land_to_bronze(spark: SparkSession, landing_root: str, bronze_path: str, rej
 def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str, since_date: dt.date | None = None,
                      rejects_path: str | None = None, full: bool = False) -> int:
     """P2, incremental: Bronze from the last merged date on (that date included)
-    is mapped and merged.  The date is recorded next to Silver after each run;
-    ``since_date`` overrides it, and ``full`` recomputes from all of Bronze, as
-    is needed after loading batches older than the recorded date."""
+    is mapped and merged, or from the oldest date that has a file not merged yet:
+    batches that arrive late under an older date, or are written again, come in
+    with everything after them, which keeps W1's order exact.  Date and files
+    are recorded next to Silver after each run; ``since_date`` overrides them,
+    and ``full`` recomputes from all of Bronze."""
+    files = tables.bronze_files(spark, bronze_path)  # listed before the merge, so nothing later is skipped
     if since_date is None and not full:
         since_date = tables.high_water(spark, silver_path)
+        merged = tables.merged_files(spark, silver_path)
+        late = [day for f, day in files.items() if f not in merged]
+        if since_date is not None:
+            since_date = None if None in late else min([since_date, *late])
     bronze = tables.read_bronze(spark, bronze_path)
     if since_date is not None:
         bronze = bronze.filter(F.col("ingestion_date") >= F.lit(since_date).cast("date"))
@@ -72,6 +84,8 @@ def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str, si
     rows = transform(spark, bronze_path, silver_path, on_error=on_error, rejects_path=rejects_path, since_date=since_date)
     if newest is not None:
         tables.record_high_water(spark, silver_path, newest)
+    seen = {f for f, day in files.items() if since_date is None or (day is not None and day >= since_date)}
+    tables.record_merged(spark, silver_path, sorted(seen - tables.merged_files(spark, silver_path)))
     return rows
 
 

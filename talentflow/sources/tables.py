@@ -89,6 +89,29 @@ def record_high_water(spark: SparkSession, path: str, day: dt.date) -> None:
     fs.mkdirs(p)
 
 
+def bronze_files(spark: SparkSession, path: str) -> dict[str, dt.date | None]:
+    """The data files of Bronze (below its root) and their ingestion dates, as
+    listed now.  A batch that is written again gets new file names."""
+    out = {}
+    for f in spark.read.schema(BRONZE).parquet(path).inputFiles():
+        name = f[f.rindex("/source=") + 1 :] if "/source=" in f else f
+        day = re.search(r"/ingestion_date=(\d{4}-\d\d-\d\d)/", name)
+        out[name] = dt.date.fromisoformat(day[1]) if day else None
+    return out
+
+
+def merged_files(spark: SparkSession, path: str) -> set[str]:
+    """The Bronze files merged into the snapshot table at ``path``."""
+    ledger = f"{path.rstrip('/')}/_merged_files"
+    return {r.file for r in spark.read.schema("file string").parquet(ledger).collect()} if path_exists(spark, ledger) else set()
+
+
+def record_merged(spark: SparkSession, path: str, files: list[str]) -> None:
+    if files:
+        rows = spark.createDataFrame([(f,) for f in files], "file string").coalesce(1)
+        rows.write.mode("append").parquet(f"{path.rstrip('/')}/_merged_files")
+
+
 # --------------------------------------------------------------- snapshots --
 
 def _fs(spark: SparkSession, path: str):
