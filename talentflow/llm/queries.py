@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, centroids, countmin, decontaminate, exact_dedup, language, ngram_join, quality, secrets, suffix_array, toxicity
+from . import bpe, centroids, conversations, countmin, decontaminate, exact_dedup, language, ngram_join, quality, secrets, suffix_array, toxicity
 from .common import crc_mod, read_table
 
 
@@ -67,6 +67,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(read_table(spark, sf_dir, "documents"), ids=False)
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_report(read_table(spark, sf_dir, "conversations"))
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(read_table(spark, sf_dir, "embeddings"))
 
@@ -82,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_ngram_join": op9_ngram_join,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_conversations": op11_conversations,
     "op13_centroids": op13_centroids,
 }
 
@@ -89,5 +94,6 @@ ORACLES: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.ORACLE,
     "op7_countmin_substrings": countmin.ORACLE,
     "op8_secrets": secrets.oracle(),
+    "op11_conversations": conversations.ORACLE,
     "op13_centroids": centroids.ORACLE,
 }
