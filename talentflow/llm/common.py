@@ -27,25 +27,48 @@ def shared(df: DataFrame) -> DataFrame:
 
 def text_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, text) with null texts as empty; other columns never clash."""
-    return df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return df.select(named(id_col).alias("doc_id"), F.coalesce(named(text_col), F.lit("")).alias("text"))
 
 
-def with_row_key(docs: DataFrame) -> DataFrame:
+def named(column: str) -> Column:
+    """A top-level column, whatever characters its name has."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_row_key(docs: DataFrame, key: str = ROW) -> DataFrame:
     """``docs`` with a unique key per row that is the same at every scan: the
     place of the row in its Parquet file.  Anything but a plain Parquet scan is
-    written once in the shared folder and read from there."""
+    written once in the shared folder and read from there.  ``key`` must be a
+    free name."""
     spark = docs.sparkSession
     plan = docs._jdf.queryExecution().analyzed()
     if plan.nodeName() != "LogicalRelation" or "parquet" not in plan.relation().toString().lower():
         path = scratch_path(spark, f"rows-{uuid.uuid4().hex}")
         docs.write.parquet(path)
         docs = spark.read.schema(docs.schema).parquet(path)
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    placed = docs.select(*columns, F.col("_metadata.file_path").alias("_row_file"), F.col("_metadata.row_index").alias("_row_index"))
-    names = sorted(r[0] for r in placed.select("_row_file").distinct().collect())  # no more than the driver lists for a scan
-    files = spark.createDataFrame(list(zip(names, range(len(names)))), "_row_file string, _row_file_no long")
-    key = F.shiftleft("_row_file_no", 40) + F.col("_row_index")
-    return placed.join(F.broadcast(files), "_row_file").select(*columns, key.alias(ROW))
+    columns = [named(c) for c in docs.columns]
+    file, index, number = (free_name(docs, c) for c in ("_row_file", "_row_index", "_row_file_no"))
+    placed = docs.select(*columns, docs.metadataColumn("_metadata")["file_path"].alias(file), docs.metadataColumn("_metadata")["row_index"].alias(index))
+    names = sorted(r[0] for r in placed.select(file).distinct().collect())  # no more than the driver lists for a scan
+    files = spark.createDataFrame(list(zip(names, range(len(names)))), f"{file} string, {number} long")
+    place = F.shiftleft(number, 40) + F.col(index)
+    return placed.join(F.broadcast(files), file).select(*columns, place.alias(key))
+
+
+def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(row key, doc_id, text) with null texts as empty; other columns, and
+    their names, do not matter."""
+    key = free_name(docs, ROW)
+    rows = with_row_key(docs, key)
+    return rows.select(F.col(key).alias(ROW), named(id_col).alias("doc_id"), F.coalesce(named(text_col), F.lit("")).alias("text"))
 
 
 def number_rows(df: DataFrame) -> DataFrame:
@@ -53,9 +76,12 @@ def number_rows(df: DataFrame) -> DataFrame:
     return df.withColumn(ROW, F.monotonically_increasing_id())
 
 
-def drop_rows(rows: DataFrame, gone: DataFrame, columns: list[str]) -> DataFrame:
-    """``columns`` of the rows whose key is not in ``gone``."""
-    return rows.join(gone.select(ROW), ROW, "left_anti").select(*columns)
+def drop_rows(rows: DataFrame, gone: DataFrame, columns: list[str], key: str = ROW) -> DataFrame:
+    """``columns`` of the rows whose ``key`` is not among the row keys of
+    ``gone``.  These are stored first: their size is then known before a text
+    moves, and a small list is broadcast."""
+    gone = shared(gone.select(F.col(ROW).alias(key)))
+    return rows.join(gone, key, "left_anti").select(*[named(c) for c in columns])
 
 
 def first_row(*order: Column) -> Column:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chars import chunks, normalised, q_grams
-from .common import ROW, drop_rows, text_of, with_row_key
+from .common import ROW, drop_rows, free_name, text_of, with_row_key
 from .tokens import U64
 
 GRAM, EDIT_RATE = 8, 0.1
@@ -256,6 +256,7 @@ def leaked_pairs(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
 def drop_leaked(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The documents without any region near a benchmark item, decided by row:
     ids may be null or repeated."""
-    rows = with_row_key(docs)
-    leaked = find_leaks(rows, benchmark, id_col=ROW, **options).select(F.col("doc_id").alias(ROW)).distinct()
-    return drop_rows(rows, leaked, docs.columns)
+    key = free_name(docs, ROW)
+    rows = with_row_key(docs, key)
+    leaked = find_leaks(rows, benchmark, id_col=key, **options).select(F.col("doc_id").alias(ROW)).distinct()
+    return drop_rows(rows, leaked, docs.columns, key)

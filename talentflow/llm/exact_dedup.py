@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, drop_rows, first_row, number_rows, shared, text_of, with_row_key
+from .common import ROW, drop_rows, first_row, free_name, named, number_rows, shared, text_of, with_row_key
 
 PREFIX_CHARS = 256
 # The deleted characters: space and \t \n \v \f \r.
@@ -31,7 +31,9 @@ def normalised(text: Column) -> Column:
     return reduce(lambda c, b: F.replace(c, F.lit(b), F.lit("")), BLANKS, text)
 
 
-def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix: int = PREFIX_CHARS) -> DataFrame:
+def duplicate_groups(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix: int = PREFIX_CHARS, key: str | None = None
+) -> DataFrame:
     """One row per row of ``docs`` that has at least one equal text: row key,
     doc_id, keep_row, keep_id, group_size, text_sha256.
 
@@ -39,10 +41,11 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     points in the original text stays, ties go to the smallest id (null ids
     last), then to the smallest row key.  Rows that repeat an id count as that
     many rows of the group.  An empty table gives an empty result; other columns
-    of ``docs`` are ignored.
+    of ``docs`` are ignored.  ``key`` names the row key where ``docs`` has one.
     """
-    rows = docs if ROW in docs.columns else with_row_key(docs)
-    base = rows.select(ROW, F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    own = key or free_name(docs, ROW)
+    rows = docs if key else with_row_key(docs, own)
+    base = rows.select(F.col(own).alias(ROW), named(id_col).alias("doc_id"), F.coalesce(named(text_col), F.lit("")).alias("text"))
     norm = normalised(F.col("text"))
     keys = shared(
         base.select(ROW, norm.alias("norm")).select(
@@ -78,9 +81,10 @@ def _groups(hashed: DataFrame) -> DataFrame:
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix: int = PREFIX_CHARS) -> DataFrame:
     """The documents that stay, with all their columns (one per equal text)."""
-    rows = with_row_key(docs)
-    gone = duplicate_groups(rows, id_col, text_col, prefix).filter(F.col(ROW) != F.col("keep_row"))
-    return drop_rows(rows, gone, docs.columns)
+    key = free_name(docs, ROW)
+    rows = with_row_key(docs, key)
+    gone = duplicate_groups(rows, id_col, text_col, prefix, key).filter(F.col(ROW) != F.col("keep_row"))
+    return drop_rows(rows, gone, docs.columns, key)
 
 
 def dedup_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

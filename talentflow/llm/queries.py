@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, centroids, conversations, countmin, decontaminate, exact_dedup, language, ngram_join, quality, secrets, suffix_array, toxicity
+from . import bpe, centroids, conversations, countmin, decontaminate, exact_dedup, fingerprints, language, ngram_join, quality, secrets, suffix_array, toxicity
 from .common import crc_mod, read_table
 
 
@@ -71,6 +71,10 @@ def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_report(read_table(spark, sf_dir, "conversations"))
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_report(read_table(spark, sf_dir, "documents"))
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(read_table(spark, sf_dir, "embeddings"))
 
@@ -87,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_join": op9_ngram_join,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_conversations": op11_conversations,
+    "op12_fingerprints": op12_fingerprints,
     "op13_centroids": op13_centroids,
 }
 
@@ -95,5 +100,6 @@ ORACLES: dict[str, str] = {
     "op7_countmin_substrings": countmin.ORACLE,
     "op8_secrets": secrets.oracle(),
     "op11_conversations": conversations.ORACLE,
+    "op12_fingerprints": fingerprints.ORACLE,
     "op13_centroids": centroids.ORACLE,
 }
