@@ -1,9 +1,11 @@
 """Connected components of an edge table, as DataFrame joins.
 
-Every round each node takes the smallest label among its neighbours, then the
-label of its label; labels therefore travel a distance that doubles per round.
-State is one narrow row per node, checkpointed in the shared folder; nothing
-but the number of changed rows reaches the driver.
+Every round each node points to the smallest node among itself and its
+neighbours; pointers are followed by doubling to the end of their chains; then
+the edges are replaced by the edges between these ends, without loops and
+repeats.  Edges vanish fast (a star or a sorted chain in one round), and later
+rounds join only what is left of them.  State is narrow tables, checkpointed in
+the shared folder; nothing but whether a row is left reaches the driver.
 """
 
 from __future__ import annotations
@@ -14,25 +16,39 @@ from pyspark.sql import functions as F
 from .common import shared
 
 
+def _pairs(edges: DataFrame) -> DataFrame:
+    """Distinct edges (a, b) with a < b."""
+    return shared(edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
+def _ends(pointers: DataFrame) -> DataFrame:
+    """(node, goal): where the chain of pointers (node, goal) ends.  Goals are
+    nodes too; a node that points to itself is an end."""
+    while True:
+        onward = pointers.select(F.col("node").alias("goal"), F.col("goal").alias("next"))
+        jumped = shared(pointers.join(onward, "goal").select("node", "goal", "next"))
+        pointers = jumped.select("node", F.col("next").alias("goal"))
+        if not jumped.filter("goal <> next").limit(1).count():
+            return pointers
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(a, b) edges to (node, component): the smallest node of the component.
 
     Loops, repeated and reversed edges are allowed; an empty table gives an
     empty one.
     """
-    edges = shared(edges.select("a", "b").distinct())
-    both = edges.union(edges.select("b", "a")).select(F.col("a").alias("node"), F.col("b").alias("other"))
-    labels = shared(both.groupBy("node").agg(F.min(F.least("node", "other")).alias("label")))
-    while True:
-        near = (
-            both.join(labels.select(F.col("node").alias("other"), F.col("label").alias("seen")), "other")
-            .groupBy("node")
-            .agg(F.min("seen").alias("seen"))
+    labels = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
+    labels = shared(labels.select("node", F.col("node").alias("component")))
+    pairs = _pairs(edges)
+    while pairs.limit(1).count():
+        both = pairs.select(F.col("a").alias("node"), F.col("b").alias("other")).union(pairs.select("b", "a"))
+        ends = _ends(shared(both.groupBy("node").agg(F.min("other").alias("goal")).select("node", F.least("node", "goal").alias("goal"))))
+        moved = pairs.join(ends.withColumnRenamed("node", "a"), "a").select(F.col("goal").alias("a"), "b")
+        pairs = _pairs(moved.join(ends.withColumnRenamed("node", "b"), "b").select("a", F.col("goal").alias("b")))
+        labels = shared(
+            labels.join(ends.withColumnRenamed("node", "component"), "component", "left").select(
+                "node", F.coalesce("goal", "component").alias("component")
+            )
         )
-        stepped = labels.join(near, "node").select("node", "label", F.least("label", "seen").alias("next"))
-        targets = labels.select(F.col("node").alias("next"), F.col("label").alias("jump"))
-        moved = shared(stepped.join(targets, "next").select("node", "label", F.least("next", "jump").alias("next")))
-        changed = moved.filter("label <> next").limit(1).count()
-        labels = moved.select("node", F.col("next").alias("label"))
-        if not changed:
-            return labels.withColumnRenamed("label", "component")
+    return labels

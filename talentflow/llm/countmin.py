@@ -28,10 +28,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared, text_of
+from .common import ROW, keyed_texts, shared
 from .superwindows import SuperWindows, covered
 from .tokens import U64, WORD_POWERS, Words, mix, range_hashes, text_blocks
 
@@ -175,7 +175,8 @@ class Runs:
 
 
 def repeated_windows(docs: DataFrame, window: int, gram: int, max_cells: int = MAX_CELLS) -> DataFrame:
-    """(doc_id, start, n): runs of windows whose words also start earlier."""
+    """(row key, start, n): runs of windows whose words also start earlier.
+    ``docs``: row key, doc_id, text."""
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     text = docs.select("text")
 
@@ -198,7 +199,7 @@ def repeated_windows(docs: DataFrame, window: int, gram: int, max_cells: int = M
 
         def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for row, data, offsets in text_blocks(batch.column(1)):
+                for row, data, offsets in text_blocks(batch.column(2)):
                     w = Words(data, offsets)
                     found = Runs(w, window, gram, coarse, fine)
                     s, hashes = found.runs, found.hashes
@@ -207,33 +208,36 @@ def repeated_windows(docs: DataFrame, window: int, gram: int, max_cells: int = M
                         hashes = hashes[np.repeat(keep, s.count)]
                         s.take(keep)
                     cols = [
-                        batch.column(0).slice(row).take(pa.array(s.row)),
+                        *(batch.column(c).slice(row).take(pa.array(s.row)) for c in (0, 1)),
                         pa.array(s.first - w.bounds[s.row], pa.int64()),
                         pa.array(s.count, pa.int32()),
                         pa.array(s.key.view(np.int64)),
                         pa.array(s.classes(w.hashes).view(np.int64)),
                         pa.array(s.offset, pa.int32()),
                     ]
-                    names = ["doc_id", "start", "n", "key", "class", "offset"]
+                    names = [ROW, "doc_id", "start", "n", "key", "class", "offset"]
                     if only is not None:
                         ends = np.concatenate([[0], np.cumsum(s.count)]).astype(np.int32)
                         cols.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes.view(np.int64))))
                         names.append("hashes")
                     yield pa.RecordBatch.from_arrays(cols, names=names)
 
-        schema = f"doc_id {id_type}, start bigint, n int, key bigint, class bigint, offset int"
-        return docs.select("doc_id", "text").mapInArrow(emit, schema + ", hashes array<bigint>" * (only is not None))
+        schema = f"{ROW} bigint, doc_id {id_type}, start bigint, n int, key bigint, class bigint, offset int"
+        return docs.select(ROW, "doc_id", "text").mapInArrow(emit, schema + ", hashes array<bigint>" * (only is not None))
 
-    classes = shared(
-        runs().groupBy("key", "class").agg(F.min(F.struct("doc_id", "start")).alias("place"), F.count("*").alias("copies"))
-    )
+    def place(start: Column) -> Column:
+        """Earlier places are smaller: by id (null ids last), row key, start."""
+        return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", ROW, start.alias("start"))
+
+    here = place(F.col("start"))
+    classes = shared(runs().groupBy("key", "class").agg(F.min(here).alias("place"), F.count("*").alias("copies")))
     # later occurrences of equal runs: all their windows start earlier
     later = (
         runs()
-        .select("doc_id", "start", "n", "key", "class")
+        .select(ROW, "doc_id", "start", "n", "key", "class")
         .join(classes.filter("copies > 1"), ["key", "class"])
-        .filter(F.struct("doc_id", "start") > F.col("place"))
-        .select("doc_id", "start", F.col("n").cast("long").alias("n"))
+        .filter(here > F.col("place"))
+        .select(ROW, "start", F.col("n").cast("long").alias("n"))
     )
     # first occurrences: window by window, where a minimiser has several classes
     mixed = shared(classes.groupBy("key").count().filter("count > 1").select("key"))
@@ -246,13 +250,13 @@ def repeated_windows(docs: DataFrame, window: int, gram: int, max_cells: int = M
     some = runs(Filter(mixed, twice, sketch_bits(8 * size, max_cells)))
     single = (
         some.join(classes.join(mixed, "key", "left_semi").select("key", "class", "place"), ["key", "class"])
-        .filter((F.col("doc_id") == F.col("place.doc_id")) & (F.col("start") == F.col("place.start")))
-        .select("key", "doc_id", "start", "offset", F.posexplode("hashes").alias("i", "hash"))
+        .filter((F.col(ROW) == F.col(f"place.{ROW}")) & (F.col("start") == F.col("place.start")))
+        .select("key", ROW, "doc_id", "start", "offset", F.posexplode("hashes").alias("i", "hash"))
         .select(
             "key",
             (F.col("offset") - F.col("i")).alias("offset"),
             "hash",
-            F.struct("doc_id", (F.col("start") + F.col("i")).alias("start")).alias("place"),
+            place(F.col("start") + F.col("i")).alias("place"),
         )
     )
     single = shared(single)
@@ -262,7 +266,7 @@ def repeated_windows(docs: DataFrame, window: int, gram: int, max_cells: int = M
     more = (
         single.join(earliest, ["key", "offset", "hash"])
         .filter("place > earliest")
-        .select("place.doc_id", "place.start", F.lit(1).cast("long").alias("n"))
+        .select(f"place.{ROW}", "place.start", F.lit(1).cast("long").alias("n"))
     )
     return later.union(more)
 
@@ -276,22 +280,23 @@ def remove_repeats(
     max_cells: int = MAX_CELLS,
     texts: bool = True,
 ) -> DataFrame:
-    """One row per document: doc_id, n_words, n_removed, kept_sha256 and (with
+    """One row per row of ``docs``: doc_id, n_words, n_removed, kept_sha256 and (with
     ``texts``) kept_text, its kept words joined by one space.
 
     Every word goes that lies in a window of ``window`` words whose words also
-    start earlier (smaller id, or the same document at a smaller position);
+    start earlier (smaller id, null ids last; of rows with one id, the smaller row
+    key; or the same row at a smaller position);
     windows are those of the input.  Null and empty texts have no words; a text
-    shorter than a window keeps all.  Rows that repeat an id are one place:
-    none of them is earlier than another.  An empty table gives an empty
-    result; other columns are ignored.
+    shorter than a window keeps all.  Rows with a null or repeated id are
+    documents of their own.  An empty table gives an empty result; other columns
+    are ignored.
     """
-    src = text_of(docs, id_col, text_col)
+    src = keyed_texts(docs, id_col, text_col)
     id_type = src.schema["doc_id"].dataType.simpleString()
-    spans = repeated_windows(src, window, gram, max_cells).groupBy("doc_id").agg(
+    spans = repeated_windows(src, window, gram, max_cells).groupBy(ROW).agg(
         F.collect_list("start").alias("starts"), F.collect_list("n").alias("ns")
     )
-    joined = src.join(spans, "doc_id", "left").select("doc_id", "text", "starts", "ns")
+    joined = src.join(spans, ROW, "left").select("doc_id", "text", "starts", "ns")
     schema = f"doc_id {id_type}, n_words bigint, n_removed bigint, kept_sha256 string" + ", kept_text string" * texts
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

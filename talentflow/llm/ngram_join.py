@@ -2,9 +2,10 @@
 
 1. one scan turns each text into a key of its word sequence and MinHash band
    hashes; equal word sequences collapse to one representative with a count;
-2. a shuffle on (band, hash) counts every bucket; members of a bucket are
-   linked to its smallest member only (never to each other), and the
-   components of those links are the candidate clusters;
+2. a shuffle on (band, hash) counts every bucket and finds its smallest member,
+   the hub; a document is linked to the smallest of its hubs, and its other hubs
+   to that one (never members to each other).  The components of those links
+   are the candidate clusters;
 3. the full n-gram sets of cluster members are shipped once to their cluster
    and all its pairs are verified there.  A cluster of more than ``block``
    members is split: every pair of blocks is its own task of bounded size.
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, drop_rows, first_row, shared, text_of, with_row_key
+from .common import ROW, drop_rows, first_row, free_name, keyed_texts, named, shared, with_row_key
 from .components import connected_components
 from .tokens import BLOCK_BYTES, U64, Words, WORD_POWERS, mix, range_hashes, text_blocks
 
@@ -48,13 +49,14 @@ def _signature(shingles: np.ndarray, factors: np.ndarray, shifts: np.ndarray) ->
 
 
 def signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, key, bands): two 64-bit hashes of the word sequence, and the
-    band hashes; both null for a text without words."""
+    """(doc_id, key, bands, ...) of ``docs`` (doc_id, text, ...): two 64-bit hashes
+    of the word sequence, and the band hashes; both null for a text without
+    words."""
     seeds = mix(np.arange(1, 2 * bands * rows + 1, dtype=U64) * U64(0xA24BAED4963EE407))
     factors = (seeds[: bands * rows] >> U64(32)).astype(np.uint32) | np.uint32(1)
     shifts = (seeds[bands * rows :] >> U64(32)).astype(np.uint32)
     salts = mix(np.arange(1, bands + 1, dtype=U64))
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+    id_type, rest = docs.schema["doc_id"].dataType.simpleString(), docs.schema.fields[2:]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -75,12 +77,14 @@ def signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
                     for c in range(rows):
                         h = mix(h * U64(0x9E3779B97F4A7C15) + sig[:, c])
                     sigs.append(h.view(np.int64))
+                own = batch.slice(row, len(offsets) - 1).columns
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, len(offsets) - 1), pa.array(keys, pa.string()), pa.array(sigs, pa.list_(pa.int64()))],
-                    names=["doc_id", "key", "bands"],
+                    [own[0], pa.array(keys, pa.string()), pa.array(sigs, pa.list_(pa.int64())), *own[2:]],
+                    names=["doc_id", "key", "bands", *(f.name for f in rest)],
                 )
 
-    return docs.mapInArrow(run, f"doc_id {id_type}, key string, bands array<bigint>")
+    schema = [f"doc_id {id_type}", "key string", "bands array<bigint>", *(f"{f.name} {f.dataType.simpleString()}" for f in rest)]
+    return docs.mapInArrow(run, ", ".join(schema))
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -157,27 +161,21 @@ def verify(table: pa.Table, similarity: float) -> pa.Table:
     )
 
 
-def near_duplicates(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    words: int = WORDS,
-    similarity: float = SIMILARITY,
-    recall: float = RECALL,
-    rows: int = ROWS,
-    block: int = BLOCK,
-) -> DataFrame:
-    """One row per document: doc_id, class_id (the smallest id of its group of
-    near-duplicates, transitively closed), copy_of (the smallest id among
-    documents of the same words), n_links (other documents whose n-gram set
-    has at least the similarity, copies included).
+def bucket_links(member: DataFrame) -> DataFrame:
+    """(a, b) links that connect all members (doc_id, bucket) of every bucket."""
+    # Stored, so that the join back has a plain exchange on each side and
+    # adaptive execution can split a hot bucket (likewise a hot cluster below).
+    hubs = shared(member.groupBy("bucket").agg(F.min("doc_id").alias("hub"), F.count("*").alias("n")).filter("n > 1"))
+    met = member.join(hubs.select("bucket", "hub"), "bucket")
+    stars = shared(met.groupBy("doc_id").agg(F.min("hub").alias("least"), F.collect_set("hub").alias("hubs")))  # a hub per band at most
+    others = stars.select(F.explode("hubs").alias("a"), F.col("least").alias("b")).filter("a <> b").distinct()
+    return stars.select(F.col("doc_id").alias("a"), F.col("least").alias("b")).union(others)
 
-    A text of 1 to ``words - 1`` words has one n-gram, all its words.  A null,
-    empty or blank text is its own class without links.  Words are compared
-    unchanged.  Rows that repeat an id count as copies.  An empty table gives an
-    empty result; other columns are ignored.
-    """
-    src = text_of(docs, id_col, text_col)
+
+def classes(src: DataFrame, words: int, similarity: float, recall: float, rows: int, block: int) -> DataFrame:
+    """(doc_id, id, class_id, copy_of, n_links) of ``src`` (doc_id, text, id)
+    with unique doc_id: the smallest of a document's class and of its copies;
+    ``id`` is handed on."""
     id_type = src.schema["doc_id"].dataType.simpleString()
     sigs = shared(signatures(src, words, band_count(similarity, recall, rows), rows))
     reps = (
@@ -185,12 +183,7 @@ def near_duplicates(
         .groupBy("key")
         .agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("bands").alias("bands"))
     )
-    member = reps.select("doc_id", "copies", F.explode("bands").alias("bucket"))
-    # Stored, so that the join back has a plain exchange on each side and
-    # adaptive execution can split a hot bucket (likewise a hot cluster below).
-    hubs = shared(member.groupBy("bucket").agg(F.min("doc_id").alias("hub"), F.count("*").alias("n")).filter("n > 1"))
-    links = member.join(hubs.select("bucket", "hub"), "bucket").select(F.col("doc_id").alias("a"), F.col("hub").alias("b"))
-    clusters = connected_components(links)
+    clusters = connected_components(bucket_links(reps.select("doc_id", F.explode("bands").alias("bucket"))))
     sizes = shared(clusters.groupBy("component").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks")))
     candidates = (
         clusters.join(sizes, "component")
@@ -202,8 +195,7 @@ def near_duplicates(
         )
         .join(reps.select("doc_id", "copies"), "doc_id")
     )
-    texts = src.join(candidates, "doc_id").dropDuplicates(["doc_id"])
-    sets = shingle_sets(texts, words)
+    sets = shingle_sets(src.select("doc_id", "text").join(candidates, "doc_id"), words)
     tasks = sets.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
         "doc_id",
         "cluster",
@@ -221,28 +213,81 @@ def near_duplicates(
     )
     whole = found.filter("not split").select("doc_id", F.col("root").alias("class_id"))
     parts = connected_components(found.filter("split").select(F.col("doc_id").alias("a"), F.col("root").alias("b")))
-    classes = whole.union(parts.select("node", "component"))
+    grouped = whole.union(parts.select("node", "component"))
     counts = found.groupBy("doc_id").agg(F.sum("n_links").alias("n_links"))
-    linked = reps.select("key", "doc_id", "copies").join(classes, "doc_id", "left").join(counts, "doc_id", "left").select(
+    linked = reps.select("key", "doc_id", "copies").join(grouped, "doc_id", "left").join(counts, "doc_id", "left").select(
         "key",
         F.col("doc_id").alias("copy_of"),
         F.coalesce("class_id", "doc_id").alias("class_id"),
         (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
     )
-    return sigs.select("doc_id", "key").join(linked, "key", "left").select(
+    return sigs.select("doc_id", "id", "key").join(linked, "key", "left").select(
         "doc_id",
+        "id",
         F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce("copy_of", "doc_id").alias("copy_of"),
         F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
     )
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words: int = WORDS,
+    similarity: float = SIMILARITY,
+    recall: float = RECALL,
+    rows: int = ROWS,
+    block: int = BLOCK,
+) -> DataFrame:
+    """One row per row of ``docs``: doc_id, class_id (the smallest id of its
+    group of near-duplicates, transitively closed), copy_of (the smallest id
+    among documents of the same words), n_links (other rows whose n-gram set
+    has at least the similarity, copies included).
+
+    A text of 1 to ``words - 1`` words has one n-gram, all its words.  A null,
+    empty or blank text is its own class without links.  Words are compared
+    unchanged.  Rows are told apart by a row key, never by their id: rows with a
+    null or repeated id are documents of their own; class_id and copy_of are
+    null if no row of the group has an id.  An empty table gives an empty
+    result; other columns are ignored.
+    """
+    keyed = keyed_texts(docs, id_col, text_col)
+    found = classes(
+        keyed.select(F.col(ROW).alias("doc_id"), "text", F.col("doc_id").alias("id")), words, similarity, recall, rows, block
+    )
+    members = shared(
+        found.select(F.col("id").alias("doc_id"), F.col("class_id").alias("class"), F.col("copy_of").alias("copy"), "n_links")
+    )
+    linked = members.filter("n_links > 0")
+    first_of = shared(linked.groupBy("class").agg(F.min("doc_id").alias("class_id")))
+    copy_of = shared(linked.groupBy("copy").agg(F.min("doc_id").alias("copy_of")))
+    alone = F.col("n_links") == 0
+    return members.join(first_of, "class", "left").join(copy_of, "copy", "left").select(
+        "doc_id",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("copy_of")).alias("copy_of"),
+        "n_links",
+    )
+
+
+def drop_near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words: int = WORDS,
+    similarity: float = SIMILARITY,
+    recall: float = RECALL,
+    rows: int = ROWS,
+    block: int = BLOCK,
+) -> DataFrame:
     """The documents that stay, with all their columns: of each group the one
     with the smallest id (null ids last), then the smallest row key.  Groups
     are formed over row keys, as ids may be null or repeated."""
-    rows = with_row_key(docs)
-    classes = near_duplicates(rows, ROW, text_col, **options).select(F.col("doc_id").alias(ROW), "class_id")
-    members = shared(rows.select(ROW, F.col(id_col).alias("doc_id")).join(classes, ROW))
+    key = free_name(docs, ROW)
+    keyed = with_row_key(docs, key)
+    texts = keyed.select(F.col(key).alias("doc_id"), F.coalesce(named(text_col), F.lit("")).alias("text"), named(id_col).alias("id"))
+    found = classes(texts, words, similarity, recall, rows, block).filter("n_links > 0")
+    members = shared(found.select(F.col("doc_id").alias(ROW), F.col("id").alias("doc_id"), "class_id"))
     first = members.groupBy("class_id").agg(first_row().alias("first")).select(f"first.{ROW}")
-    return drop_rows(rows, members.join(first, ROW, "left_anti"), docs.columns)
+    return drop_rows(keyed, members.join(first, ROW, "left_anti"), docs.columns, key)

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import shared, text_of
+from .common import ROW, keyed_texts, shared, text_of
 
 # The base patterns.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -113,7 +113,11 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Null and empty texts have no span; rows that repeat an id are scanned
     each, and their spans are numbered apart.  Other columns are ignored.
     """
-    src = text_of(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
+    return _spans(text_of(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id()))
+
+
+def _spans(src: DataFrame) -> DataFrame:
+    """The spans of ``src`` (doc_id, row, text), numbered by ``row``."""
     text = F.col("text")
     parts = src.select(
         "doc_id",
@@ -165,22 +169,23 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def secret_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document id: doc_id, n_assign, n_access, n_hex, n_entropy,
-    base_sha256, spans."""
+    """One row per row of ``docs``: doc_id, n_assign, n_access, n_hex, n_entropy,
+    base_sha256, spans.  Rows with a null or repeated id are documents of their
+    own; an empty table gives an empty result."""
+    src = keyed_texts(docs, id_col, text_col).withColumnRenamed(ROW, "row")
     rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")).cast("int")
     item = F.struct("start", rank.alias("rank"), "end", F.concat_ws(":", "kind", "start", "end").alias("span"))
     names = lambda c: F.array_join(F.transform(F.array_sort(c), lambda s: s["span"]), ",")
     found = (
-        secret_spans(docs, id_col, text_col)
-        .groupBy("doc_id")
+        _spans(src)
+        .groupBy("row")
         .agg(
             *[F.count_if(F.col("kind") == k).alias(f"n_{k}") for k in KINDS],
             names(F.collect_list(F.when(F.col("kind") != "entropy", item))).alias("base"),
             names(F.collect_list(item)).alias("spans"),
         )
     )
-    ids = docs.select(F.col(id_col).alias("doc_id"))
-    return ids.join(found, "doc_id", "left").select(
+    return src.select("row", "doc_id").join(found, "row", "left").select(
         "doc_id",
         *[F.coalesce(f"n_{k}", F.lit(0).cast("long")).alias(f"n_{k}") for k in KINDS],
         F.sha2(F.coalesce("base", F.lit("")), 256).alias("base_sha256"),

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared, text_of
+from .common import ROW, keyed_texts, shared
 from .superwindows import SuperWindows, covered
 from .tokens import BYTE_POWERS, BYTE_VALUES, U64, Powers, mix, range_hashes, text_blocks
 
@@ -180,7 +180,7 @@ def _segments(docs: DataFrame, places: DataFrame, window: int) -> DataFrame:
     """(doc_id, start, key, shard, hot, bytes) of the given super-windows."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     lists = places.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "key", "shard", "hot", "single")).alias("parts"))
-    joined = docs.join(lists, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "parts")
+    joined = docs.join(lists, "doc_id").select("doc_id", "text", "parts")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -285,7 +285,8 @@ def repeated_spans(
     shard_bytes: int = SHARD_BYTES,
     hot_bytes: int = HOT_BYTES,
 ) -> DataFrame:
-    """(doc_id, start, n): runs of windows that start anywhere else as well."""
+    """(doc_id, start, n): runs of windows that start anywhere else as well.
+    ``docs``: doc_id (unique, not null), text."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     every = shared(super_windows(docs, window, gram))
     # Keys that occur once are settled; only the others go on.
@@ -344,22 +345,21 @@ def remove_repeats(
     texts: bool = True,
     **options,
 ) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and
+    """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and
     (with ``texts``) kept, the remaining bytes.
 
     Every byte goes that lies in a string of ``window`` bytes which also starts
     anywhere else, in the same document or another, overlaps included, judged
     on the input.  Null texts are empty; a text shorter than the window keeps
-    all.  Ids must be unique for a row to count as a place: rows that repeat
-    an id are separate places, and a removal found for one applies to all.  An
-    empty table gives an empty result; other columns are ignored.
+    all.  Rows are told apart by a row key: rows with a null or repeated id
+    are documents of their own.  An empty table gives an empty result; other
+    columns are ignored.
     """
-    src = text_of(docs, id_col, text_col)
+    src = keyed_texts(docs, id_col, text_col)
     id_type = src.schema["doc_id"].dataType.simpleString()
-    spans = repeated_spans(src, window, **options).groupBy("doc_id").agg(
-        F.collect_list("start").alias("starts"), F.collect_list("n").alias("ns")
-    )
-    joined = src.join(spans, "doc_id", "left").select("doc_id", "text", "starts", "ns")
+    found = repeated_spans(src.select(F.col(ROW).alias("doc_id"), "text"), window, **options)
+    spans = found.groupBy(F.col("doc_id").alias(ROW)).agg(F.collect_list("start").alias("starts"), F.collect_list("n").alias("ns"))
+    joined = src.join(spans, ROW, "left").select("doc_id", "text", "starts", "ns")
     schema = f"doc_id {id_type}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * texts
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -111,7 +111,7 @@ def test_near_duplicates_on_documents(spark):
 def test_near_duplicates_of_nothing(spark):
     df = docs_of(spark, ["a"]).limit(0)
     assert nj.near_duplicates(df).count() == 0
-    assert nj.near_duplicates(docs_of(spark, [None, ""])).select("class_id", "n_links").collect() == [(0, 0), (1, 0)]
+    assert sorted(nj.near_duplicates(docs_of(spark, [None, ""])).select("class_id", "n_links").collect()) == [(0, 0), (1, 0)]
 
 
 def test_band_count_reaches_the_recall():

@@ -75,3 +75,73 @@ def test_rejected_and_leaked_rows_without_id_go(spark, table):
     clean = decontaminate.drop_leaked(df, bench)
     assert clean.columns == df.columns
     assert content(clean) == content(df) - Counter([(None, "leak " + LONG)])
+
+
+ODD = [
+    (None, "start " + LONG + LONG, 1),
+    (None, "other " + LONG + LONG, 1),
+    (1, LONG * 9 + " tail of the first", 2),
+    (1, "b", 2),
+    (1, "short " + LONG, 2),
+    (7, "one of " + " ".join(str(i) for i in range(300)), 3),
+    (7, "one of " + " ".join(str(i) for i in range(300)), 3),
+    (9, None, 4),
+    (9, "", 4),
+    (None, None, 4),
+]
+
+
+def unique_ids(rows):
+    """The same texts under ids of their own, in the order of the contract."""
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0))
+    return [(n, *rows[i][1:]) for n, i in enumerate(order)], [rows[i][0] for i in order]
+
+
+def columns_of(df, *names):
+    return Counter(tuple(r[n] for n in names) for r in df.collect())
+
+
+def clashing(df):
+    return df.selectExpr("*", "1 as _row_key", "2 as _row_file", "3 as `row`", "'x' as `a.b`", "4 as place", "5 as start", "6 as bands")
+
+
+def test_reports_take_null_and_repeated_ids(spark, table):
+    from talentflow.llm import countmin, secrets, suffix_array
+
+    rows = [(i, t and t + " key=9F86D081884C7D659A2FEAA0C55AD015A3BF4F1B" * (i == 1), n) for i, t, n in ODD]
+    own, ids = unique_ids(rows)
+    apart = spark.createDataFrame(own, SCHEMA)
+    df = clashing(table(rows))
+    for report, names in (
+        (lambda d: suffix_array.remove_repeats(d, texts=False), ("n_bytes", "n_removed", "n_spans", "kept_sha256")),
+        (lambda d: secrets.secret_report(d), ("n_assign", "n_access", "n_hex", "base_sha256", "spans")),
+        (lambda d: ngram_join.near_duplicates(d), ("n_links",)),
+    ):
+        want = Counter((ids[r.doc_id], *(r[n] for n in names)) for r in report(apart).collect())
+        assert columns_of(report(df), "doc_id", *names) == want
+    # Which of several rows with one id is the earlier one depends on the row keys: totals are the same.
+    got, want = (countmin.remove_repeats(d, texts=False).toPandas() for d in (df, apart))
+    want["doc_id"] = [ids[i] for i in want.doc_id]
+    assert got.n_removed.sum() == want.n_removed.sum() > 0
+    assert sorted(zip(got.doc_id.fillna(-1), got.n_words)) == sorted(zip(want.doc_id.fillna(-1), want.n_words))
+
+
+def test_links_of_rows_with_one_id(spark, table):
+    df = table([(1, LONG, 1), (1, "quite another text", 1), (2, NEAR, 1), (None, LONG, 1), (None, "  ", 1), (3, "no ids " * 9, 1)])
+    got = columns_of(ngram_join.near_duplicates(df), "doc_id", "class_id", "copy_of", "n_links")
+    assert got == Counter(
+        [(1, 1, 1, 2), (2, 1, 2, 2), (None, 1, 1, 2), (1, 1, 1, 0), (None, None, None, 0), (3, 3, 3, 0)]
+    )
+
+
+def test_stages_keep_columns_of_any_name(spark, table):
+    df = clashing(table([(1, LONG, 1), (2, LONG, 2), (3, NEAR, 3), (4, "leak " + LONG, 4), (5, "clean words", 5)]))
+    bench = spark.createDataFrame([(1, LONG)], "item_id long, text string")
+    for stage, stay in (
+        (exact_dedup.exact_dedup, [1, 3, 4, 5]),
+        (ngram_join.drop_near_duplicates, [1, 5]),
+        (lambda d: decontaminate.drop_leaked(d, bench), [5]),
+    ):
+        kept = stage(df)
+        assert kept.columns == df.columns
+        assert sorted(r.doc_id for r in kept.collect()) == stay
