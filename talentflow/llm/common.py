@@ -78,10 +78,8 @@ def number_rows(df: DataFrame) -> DataFrame:
 
 def drop_rows(rows: DataFrame, gone: DataFrame, columns: list[str], key: str = ROW) -> DataFrame:
     """``columns`` of the rows whose ``key`` is not among the row keys of
-    ``gone``.  These are stored first: their size is then known before a text
-    moves, and a small list is broadcast."""
-    gone = shared(gone.select(F.col(ROW).alias(key)))
-    return rows.join(gone, key, "left_anti").select(*[named(c) for c in columns])
+    ``gone``."""
+    return rows.join(gone.select(F.col(ROW).alias(key)), key, "left_anti").select(*[named(c) for c in columns])
 
 
 def first_row(*order: Column) -> Column:
