@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, IntegerType, LongType, StructField, StructType, TimestampType
 from pyspark.sql.window import Window
 
 
@@ -46,8 +47,8 @@ def without_payload(mapped: DataFrame) -> DataFrame:
 
 
 def latest_postings(mapped: DataFrame) -> DataFrame:
-    """W1 over normalised Bronze rows, keyed by ``job_id``."""
-    return latest_per_key(without_payload(mapped), "job_id", silver_order()).drop("_payload_h1", "_payload_h2")
+    """W1 over normalised Bronze rows, keyed by ``job_id``; payload hashes stay."""
+    return latest_per_key(without_payload(mapped), "job_id", silver_order())
 
 
 def upsert_rows(current: DataFrame, batch: DataFrame, key: str = "job_id") -> DataFrame:
@@ -59,17 +60,39 @@ def upsert_rows(current: DataFrame, batch: DataFrame, key: str = "job_id") -> Da
     return batch.unionByName(current.join(batch.select(key), key, "left_anti"))
 
 
+# What W1 orders by beside the publication date, kept with every Silver row.
+ORDER = StructType(
+    [
+        StructField("_ingestion_date", DateType()),
+        StructField("_fetched_at", TimestampType()),
+        StructField("_payload_h1", LongType()),
+        StructField("_payload_h2", IntegerType()),
+    ]
+)
+ORDER_COLUMNS = [f.name for f in ORDER.fields]
+
+
+def order_columns() -> list[Column]:
+    """:data:`ORDER_COLUMNS` of normalised rows with payload hashes."""
+    return [F.col("ingestion_date").alias("_ingestion_date"), F.col("fetched_at").alias("_fetched_at"), F.col("_payload_h1"), F.col("_payload_h2")]
+
+
 def newer_than_current(batch: DataFrame, current: DataFrame, key: str = "job_id", order_col: str = "publication_date") -> DataFrame:
     """Batch rows that win against the current row of their key.
 
-    For batches whose ingestion dates are all later than anything already in
-    ``current``, W1's order reduces to: the batch row wins unless the current
-    row has a strictly newer ``order_col`` (or the batch row has none while
-    the current row has one).  Upserting only these rows gives exactly what a
-    full recompute over the whole history would give.  The anti join reads
+    Where both sides have :data:`ORDER_COLUMNS`, rows are compared by W1's whole
+    order, so a batch of any date, also an old one that arrives late, gives what
+    a full recompute would give.  Where they are missing, or null (rows stored
+    before they were kept), the batch counts as later than the current row: it
+    wins unless the current row has a strictly newer ``order_col`` (or the batch
+    row has none while the current row has one).  The anti join reads
     ``current`` once; AQE broadcasts the batch side when it is small.
     """
-    b, c = batch.alias("_b"), current.select(key, order_col).alias("_c")
+    known = [c for c in ORDER_COLUMNS if c in batch.columns and c in current.columns]
+    b, c = batch.alias("_b"), current.select(key, order_col, *known).alias("_c")
     bo, co = F.col(f"_b.{order_col}"), F.col(f"_c.{order_col}")
     current_wins = co.isNotNull() & (bo.isNull() | (co > bo))
+    if len(known) == len(ORDER_COLUMNS):
+        mine, theirs = (F.struct(*[F.col(f"{side}.{n}").alias(n) for n in known]) for side in ("_b", "_c"))
+        current_wins = current_wins | (bo.eqNullSafe(co) & F.col("_c._ingestion_date").isNotNull() & (theirs > mine))
     return b.join(c, (F.col(f"_b.{key}") == F.col(f"_c.{key}")) & current_wins, "left_anti")

@@ -15,11 +15,13 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..catalogs import KEYWORD_CATALOG, TECHNOLOGY_CATALOG, Catalog
 from ..functions import scoring
 from ..functions.memo import per_context
 from ..functions.terms import extract_terms, required_years
+from ..session import staged
 
 MAX_LITERAL_PROFILES = 256
 
@@ -206,8 +208,6 @@ def match_scores(
         scored = scored.select(*stage)
     keys = [] if single else ["profile_id"]
     if top_k is not None:
-        from pyspark.sql.window import Window
-
         if keys:
             w = Window.partitionBy(*keys).orderBy(F.col("match_score").desc(), F.col("job_id"))
             scored = scored.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= top_k).drop("_rn")
@@ -219,27 +219,115 @@ def match_scores(
     return scored
 
 
-def match_profile_table(postings: DataFrame, profiles: DataFrame, top_k: int, block: int = MAX_LITERAL_PROFILES) -> DataFrame:
+# Posting kinds per task of the grid of profile blocks and posting chunks.
+CHUNK_KINDS = 4096
+
+
+def _terms(c: str) -> Column:
+    """A set column in one spelling: no nulls, no repeats, sorted."""
+    given = F.coalesce(F.col(c), F.array().cast("array<string>"))
+    return F.array_sort(F.array_distinct(F.filter(given, lambda x: x.isNotNull())))
+
+
+def _digest(*columns: str) -> Column:
+    return F.unhex(F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256))
+
+
+def profile_kinds(profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(profile_id, _sig) of every profile row, and the distinct profiles
+    (_sig, _p) they stand for: a score depends on terms and years alone."""
+    keyed = profiles.select(
+        F.col("profile_id").cast("string").alias("profile_id"),
+        _terms("technologies").alias("technologies"),
+        _terms("keywords").alias("keywords"),
+        F.coalesce(F.col("years_experience").cast("double"), F.lit(0.0)).alias("years_experience"),
+    ).withColumn("_sig", _digest("technologies", "keywords", "years_experience"))
+    kinds = keyed.groupBy("_sig").agg(F.any_value(F.struct("technologies", "keywords", "years_experience")).alias("_p"))
+    return keyed.select("profile_id", "_sig"), kinds
+
+
+def posting_kinds(postings: DataFrame, top_k: int) -> DataFrame:
+    """Postings that score alike, as one row: (_post, _req, _req_years,
+    _post_kws, _first, _postings), with the ``top_k`` of smallest ``job_id``.
+    The limit is applied before the shuffle, so common kinds are no hot keys."""
+    feats = postings.select(
+        *MATCH_COLUMNS[:6],
+        F.array_sort(scoring.required_set(F.col("technologies"))).alias("_req"),
+        required_years(F.col("description")).alias("_req_years"),
+        F.array_sort(extract_terms(F.col("description"), KEYWORD_CATALOG)).alias("_post_kws"),
+    ).withColumn("_post", _digest("_req", "_req_years", "_post_kws"))
+    place = Window.partitionBy("_post").orderBy("job_id")
+    return (
+        feats.withColumn("_n", F.row_number().over(place))
+        .filter(F.col("_n") <= top_k)
+        .groupBy("_post")
+        .agg(
+            *[F.any_value(c).alias(c) for c in ("_req", "_req_years", "_post_kws")],
+            F.min(F.when(F.col("_n") == 1, F.struct("job_id"))).alias("_first"),
+            F.collect_list(F.struct(*MATCH_COLUMNS[:6])).alias("_postings"),
+        )
+    )
+
+
+def match_profile_table(
+    postings: DataFrame, profiles: DataFrame, top_k: int, block: int = MAX_LITERAL_PROFILES, chunk: int = CHUNK_KINDS
+) -> DataFrame:
     """P4 for a table of profiles of any length: the best ``top_k`` postings of
     each, with their ``rank`` (score descending, then ``job_id``).
 
-    Profiles are taken in id order, ``block`` at a time; a block travels as
-    literals, so what a task holds is bounded, and every block is held against
-    all postings.  Profile ids must be unique.
+    Both sides are reduced to what a score depends on: profiles to distinct
+    (technologies, keywords, years), postings to distinct features with their
+    first ``top_k`` rows.  Profile kinds in blocks meet posting kinds in chunks,
+    one bounded pair per key, and are scored by the same column expressions as
+    :func:`match_scores`; each task keeps ``top_k`` kinds per profile before
+    anything is shuffled.  Only the numbers of kinds reach the driver, and the
+    plan does not grow with either table.
+
+    Every row of ``profiles`` is a profile: a null id keeps its matches under a
+    null ``profile_id``, rows that repeat an id each get their own.  Null sets
+    are empty and null years are 0.  An empty table on either side gives an
+    empty result.
     """
-    from pyspark.sql.window import Window
-
-    best = Window.partitionBy("profile_id").orderBy(F.col("match_score").desc(), F.col("job_id"))
-    out, after = None, None
-    while True:
-        rest = profiles if after is None else profiles.filter(F.col("profile_id") > F.lit(after))
-        part = profiles_from_frame(rest.orderBy("profile_id").limit(block), block)
-        if not part and out is not None:
-            return out
-        plist = part or [Profile(frozenset(), profile_id="")]
-        scored = match_scores(postings, plist).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top_k)
-        scored = scored if part else scored.limit(0)
-        out = scored if out is None else out.unionByName(scored)
-        if len(part) < block:
-            return out
-        after = max(p.profile_id for p in part)
+    keyed, kinds = profile_kinds(profiles)
+    kinds, posts = staged(kinds), staged(posting_kinds(postings, top_k))
+    blocks, chunks = (max(1, -(-df.count() // size)) for df, size in ((kinds, block), (posts, chunk)))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    place = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+    left = (
+        kinds.groupBy(place("_sig", blocks).alias("_block"))
+        .agg(F.collect_list(F.struct("_sig", "_p")).alias("_profiles"))
+        .withColumn("_chunk", each(chunks))
+    )
+    right = posts.select("_post", "_req", "_req_years", "_post_kws", "_first", place("_post", chunks).alias("_chunk"), each(blocks).alias("_block"))
+    pairs = right.join(left, ["_block", "_chunk"]).withColumn("_x", F.explode("_profiles"))
+    scored = pairs.select(
+        F.col("_x._sig").alias("_sig"),
+        "_post",
+        "_first",
+        F.col("_req_years").alias("required_years"),
+        F.col("_x._p.years_experience").alias("_cv_years"),
+        *[c.alias(n) for c, n in zip(scoring.skill_sets(F.col("_req"), F.col("_x._p.technologies")), ["matched_skills", "missing_skills"])],
+        scoring.keyword_bonus(F.col("_x._p.keywords"), F.col("_post_kws"))[0].alias("matched_keywords"),
+    ).select(
+        "_sig",
+        "_post",
+        "_first",
+        scoring.skill_ratio(F.col("matched_skills"), F.col("missing_skills")).alias("_ratio"),
+        scoring.years_fit(F.col("required_years"), F.col("_cv_years"))[0].alias("_ys"),
+        scoring.bonus_points(F.col("matched_keywords")).alias("_bonus"),
+    ).select("_sig", "_post", "_first", scoring.final_score(F.col("_ratio"), F.col("_ys"), F.col("_bonus")).alias("_score"))
+    # A posting among the best k belongs to one of the best k kinds, by score
+    # and first posting: every kind before it has a posting before it.
+    best = Window.partitionBy("_sig").orderBy(F.col("_score").desc(), "_first")
+    near = scored.withColumn("_n", F.row_number().over(best)).filter(F.col("_n") <= top_k).select("_sig", "_post", "_score")
+    listed = near.join(posts, "_post").select("_sig", "_score", "_req", "_req_years", "_post_kws", F.explode("_postings").alias("_j"))
+    order = Window.partitionBy("_sig").orderBy(F.col("_score").desc(), "_j.job_id")
+    winners = (
+        listed.withColumn("rank", F.row_number().over(order))
+        .filter(F.col("rank") <= top_k)
+        .join(kinds, "_sig")
+        .select("_sig", "rank", "_p", "_req", "_req_years", "_post_kws", *[F.col(f"_j.{c}").alias(c) for c in MATCH_COLUMNS[:6]])
+    )
+    sets, parts, final = _score_stages(F.col("_p"), [F.col("_sig").alias("profile_id"), "rank"])
+    found = winners.select(*sets).select(*parts).select(*final, "rank").withColumnRenamed("profile_id", "_sig")
+    return keyed.join(found, "_sig").select("profile_id", *MATCH_COLUMNS, "rank")

@@ -13,7 +13,7 @@ sources, and each projection stays small enough for whole-stage codegen.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -299,6 +299,6 @@ def split_rejects(mapped: DataFrame, on_error: str = "quarantine") -> tuple[Data
     return mapped.filter(~bad).drop("reject_reason"), mapped.filter(bad)
 
 
-def silver_projection(df: DataFrame) -> DataFrame:
-    """Silver columns in schema order."""
-    return df.select(*SILVER_COLUMNS)
+def silver_projection(df: DataFrame, more: Sequence[Column] = ()) -> DataFrame:
+    """Silver columns in schema order, then ``more``."""
+    return df.select(*SILVER_COLUMNS, *more)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import explode_rows
 from ..functions.text import title_key
+from ..session import staged
 
 
 def active_companies(silver: DataFrame, ordered: bool = True, removed: DataFrame | None = None) -> DataFrame:
@@ -43,10 +44,11 @@ DUPLICATE_COLUMNS = ["job_id", "company", "title", "source", "link", "duplicate_
 def duplicate_postings(silver: DataFrame, cross_source_only: bool = False, ordered: bool = False) -> DataFrame:
     """Postings sharing company and normalised title with another posting.
 
-    Rows are grouped by a SHA-256 of (company, title key), so the aggregate
-    moves 32 bytes a row instead of the title, and the group table joins back
-    on that digest.  The aggregate combines map-side and AQE can split a hot key
-    on the join, where a window would hold all its rows in one task.  NULLs group
+    Rows are grouped by a SHA-256 of (company, title key).  The view's few
+    columns are stored with the digest once, so a title is normalised once; the
+    aggregate moves 32 bytes a row instead of the title, and the group table
+    joins back on the digest.  The aggregate combines map-side and AQE can split a
+    hot key on the join, where a window would hold all its rows in one task.  NULLs group
     together, as in a window partition.  ``cross_source_only`` additionally
     requires two distinct sources in the group (the stated intent of the view).
     ``ordered`` sorts by company, title and job.
@@ -55,7 +57,7 @@ def duplicate_postings(silver: DataFrame, cross_source_only: bool = False, order
         return F.coalesce(F.concat(F.char_length(c).cast("string"), F.lit(":"), c), F.lit("-"))
 
     digest = F.sha2(F.concat(part(F.col("company")), part(title_key(F.col("title")))), 256)
-    keyed = silver.select(*DUPLICATE_COLUMNS[:-1], digest.alias("_key"))
+    keyed = staged(silver.select(*DUPLICATE_COLUMNS[:-1], F.unhex(digest).alias("_key")))
     groups = keyed.groupBy("_key").agg(
         F.count(F.lit(1)).alias("duplicate_count"),
         *([F.count_distinct("source").alias("_n_sources")] if cross_source_only else []),

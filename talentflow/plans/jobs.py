@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import views
 from ..operators.matching import build_profile, match_scores
+from ..session import staged
 from ..sources import landing, tables
 from .silver import transform
 
@@ -26,9 +27,10 @@ def land_to_bronze(spark: SparkSession, landing_root: str, bronze_path: str, rej
     """S1-S5 as one batch job over the files landed since the last run;
     returns rows added.
 
-    Files that an earlier run has finished are listed with their modification
-    time in a ledger next to Bronze and left out; a file rewritten in place is
-    read again.  A run that failed is repeated with its ``run_id``: it reads
+    The landing root is listed without reading a file.  Files that an earlier
+    run has finished are in a ledger next to Bronze with their modification
+    time and are left out before any content is read; a file rewritten in place
+    is read again.  Of the listing, the driver holds the names of the new files.  A run that failed is repeated with its ``run_id``: it reads
     the same files and replaces its own postings and rejects, under the date of
     its first try.  The files are parsed and exploded once into a staging
     folder; postings, rejects and the ledger are read from there.  Folders whose
@@ -36,56 +38,56 @@ def land_to_bronze(spark: SparkSession, landing_root: str, bronze_path: str, rej
     """
     root, run = bronze_path.rstrip("/"), run_id or uuid.uuid4().hex
     day = tables.batch_day(spark, root, f"run-{run}", ingestion_date or dt.datetime.now(dt.timezone.utc).date())
-    responses = landing.read_landed(spark, landing_root)
+    found = tables.list_files(spark, landing_root)
     ledger = f"{root}/_landed_files"
     if tables.path_exists(spark, ledger):
         finished = F.col("_metadata.file_modification_time").alias("finished")
         done = spark.read.schema("file string, modified timestamp, run string").parquet(ledger).filter(F.col("run") != run)
-        r, d = responses.alias("r"), done.select("file", "modified", finished).alias("d")
+        r, d = found.alias("r"), done.select("file", "modified", finished).alias("d")
         # entries of earlier versions have no modification time: a file changed after their run is new
-        same = F.coalesce(F.col("r.fetched_at") == F.col("d.modified"), F.col("r.fetched_at") <= F.col("d.finished"))
-        responses = r.join(d, (F.col("r.file") == F.col("d.file")) & same, "left_anti")
-    staged = f"{root}/_landing/run={run}"
-    tables.delete_path(spark, staged)
-    responses.select("file", F.col("fetched_at").alias("modified")).distinct().write.parquet(f"{staged}/files")
+        same = F.coalesce(F.col("r.modified") == F.col("d.modified"), F.col("r.modified") <= F.col("d.finished"))
+        found = r.join(d, (F.col("r.file") == F.col("d.file")) & same, "left_anti")
+    staged_run = f"{root}/_landing/run={run}"
+    tables.delete_path(spark, staged_run)
+    found.write.parquet(f"{staged_run}/files")
+    files = spark.read.parquet(f"{staged_run}/files")
+    responses = landing.read_landed(spark, landing_root, [r.path for r in files.select("path").collect()])
     if targets is not None:
         responses = landing.gate_targets(responses, targets)
-    landing.explode_all(responses).write.parquet(f"{staged}/rows")
-    out = spark.read.parquet(f"{staged}/rows")
+    landing.explode_all(responses).write.parquet(f"{staged_run}/rows")
+    out = spark.read.parquet(f"{staged_run}/rows")
     ok = F.col("reject_reason").isNull()
     rejects = out.filter(~ok).select(*landing.REJECT_COLUMNS, F.lit(day).cast("date").alias("ingestion_date"), F.lit(run).alias("batch_id"))
     tables.replace_partitions(rejects, rejects_path, "ingestion_date", "batch_id")
     rows = tables.append_bronze(landing.to_bronze(out.filter(ok).drop("reject_reason"), day), bronze_path, run)
-    tables.replace_partitions(spark.read.parquet(f"{staged}/files").withColumn("run", F.lit(run)), ledger, "run")
-    tables.delete_path(spark, staged)
+    tables.replace_partitions(files.select("file", "modified").withColumn("run", F.lit(run)), ledger, "run")
+    tables.delete_path(spark, staged_run)
     return rows
 
 
 def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str, since_date: dt.date | None = None,
                      rejects_path: str | None = None, full: bool = False) -> int:
     """P2, incremental: Bronze from the last merged date on (that date included)
-    is mapped and merged, or from the oldest date that has a file not merged yet:
-    batches that arrive late under an older date, or are written again, come in
-    with everything after them, which keeps W1's order exact.  Date and files
-    are recorded next to Silver after each run; ``since_date`` overrides them,
-    and ``full`` recomputes from all of Bronze."""
-    files = tables.bronze_files(spark, bronze_path)  # listed before the merge, so nothing later is skipped
+    is mapped and merged, and with it every older date that has a partition not
+    merged yet: one that arrived late, or was written again.  Only those dates
+    are read; W1's order is kept next to the Silver rows.  Newest date and merged
+    partitions are recorded next to Silver after each run; ``since_date``
+    overrides them, and ``full`` recomputes from all of Bronze."""
+    parts = staged(tables.bronze_parts(spark, bronze_path))  # listed before the merge, so nothing later is skipped
+    late: list[dt.date] = []
     if since_date is None and not full:
         since_date = tables.high_water(spark, silver_path)
-        merged = tables.merged_files(spark, silver_path)
-        late = [day for f, day in files.items() if f not in merged]
         if since_date is not None:
-            since_date = None if None in late else min([since_date, *late])
-    bronze = tables.read_bronze(spark, bronze_path)
-    if since_date is not None:
-        bronze = bronze.filter(F.col("ingestion_date") >= F.lit(since_date).cast("date"))
-    newest = bronze.agg(F.max("ingestion_date")).first()[0]  # taken before the merge, so nothing later is skipped
+            late = tables.open_days(spark, silver_path, parts, since_date)
+    read = parts if since_date is None else parts.filter(
+        (F.col("ingestion_date") >= F.lit(since_date).cast("date")) | F.col("ingestion_date").isin(late)
+    )
+    newest = parts.agg(F.max("ingestion_date")).first()[0]
     on_error = "quarantine" if rejects_path else "fail"
-    rows = transform(spark, bronze_path, silver_path, on_error=on_error, rejects_path=rejects_path, since_date=since_date)
+    rows = transform(spark, bronze_path, silver_path, on_error=on_error, rejects_path=rejects_path, since_date=since_date, late_dates=late)
     if newest is not None:
         tables.record_high_water(spark, silver_path, newest)
-    seen = {f for f, day in files.items() if since_date is None or (day is not None and day >= since_date)}
-    tables.record_merged(spark, silver_path, sorted(seen - tables.merged_files(spark, silver_path)))
+    tables.record_merged(spark, silver_path, read)
     return rows
 
 

@@ -12,16 +12,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import BRONZE_COLUMNS, SILVER
+from ..schemas import BRONZE_COLUMNS
 from ..functions.terms import extract_terms, required_years
 from ..functions.text import strip_html
 from ..operators import views
-from ..operators.latest import latest_per_key, newer_than_current, upsert_rows
+from ..operators.latest import latest_per_key, upsert_rows
 from ..operators.matching import Profile, match_profile_table, match_scores, profiles_from_text
 from ..operators.normalize import normalize
 from ..session import scratch_path
 from ..sources import landing, tables
-from . import derived, oracles
+from . import derived, jobs, oracles
 from .derived import postings_from_part, table
 from .silver import enrich_with_technologies, silver_batch, transform
 
@@ -169,14 +169,15 @@ def q_silver_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P2 incremental (S8 with W1's order): Silver from the first batch, then
-    only the second batch read and merged; equals the full recompute."""
-    base = scratch_path(spark, "incremental", uuid.uuid4().hex)
-    for name, day, revision in (("current", FIRST_BATCH, 0), ("new", SECOND_BATCH, 1)):
-        batch, _ = silver_batch(derived.bronze_from_payloads(spark, sf_dir, day, revision=revision), on_error="quarantine")
-        batch.write.parquet(f"{base}/{name}")  # each input is mapped once
-    current, new = (spark.read.schema(SILVER).parquet(f"{base}/{name}") for name in ("current", "new"))
-    return _silver_out(upsert_rows(current, newer_than_current(new, current), "job_id"))
+    """P2 incremental (S5-S8 with W1's order) through the job itself: the newer
+    batch is merged first, then the older one arrives late under its own date;
+    equals the full recompute."""
+    bronze, silver, rejects = (scratch_path(spark, "incremental", uuid.uuid4().hex, t) for t in ("bronze", "silver", "rejects"))
+    for day, revision in ((SECOND_BATCH, 1), (FIRST_BATCH, 0)):
+        rows = derived.bronze_from_payloads(spark, sf_dir, day, revision=revision)
+        tables.append_bronze(rows, bronze, f"revision-{revision}")
+        jobs.bronze_to_silver(spark, bronze, silver, rejects_path=rejects)
+    return _silver_out(tables.read_silver(spark, silver))
 
 
 # --------------------------------------------------------------- landing --

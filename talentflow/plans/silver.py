@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..catalogs import TECHNOLOGY_CATALOG, Catalog
 from ..functions.terms import extract_terms
-from ..operators.latest import latest_per_key, latest_postings, newer_than_current, silver_order, without_payload
+from ..operators.latest import ORDER, latest_per_key, latest_postings, newer_than_current, order_columns, silver_order, without_payload
 from ..operators.normalize import normalize, silver_projection, split_rejects
-from ..sources.tables import delete_path, read_bronze, read_silver, replace_partitions, upsert_snapshot
+from ..schemas import SILVER
+from ..sources.tables import delete_path, read_bronze, read_snapshot, replace_partitions, upsert_snapshot
 
 
 def enrich_with_technologies(silver: DataFrame, catalog: Catalog = TECHNOLOGY_CATALOG) -> DataFrame:
@@ -28,8 +31,9 @@ def silver_batch(bronze: DataFrame, on_error: str = "fail") -> tuple[DataFrame,
     return latest_silver(normalize(bronze), on_error)
 
 
-def latest_silver(mapped: DataFrame, on_error: str = "fail") -> tuple[DataFrame, DataFrame]:
-    """W1 + P1 over normalised rows (see :func:`silver_batch`).
+def latest_silver(mapped: DataFrame, on_error: str = "fail", keep_order: bool = False) -> tuple[DataFrame, DataFrame]:
+    """W1 + P1 over normalised rows (see :func:`silver_batch`).  With
+    ``keep_order`` the columns W1 orders by follow the Silver columns.
 
     With ``on_error='quarantine'`` rejected rows are ranked after every good
     row of their key and dropped after the window, which equals dropping them
@@ -38,12 +42,13 @@ def latest_silver(mapped: DataFrame, on_error: str = "fail") -> tuple[DataFrame,
     """
     if on_error == "quarantine":
         latest = latest_per_key(without_payload(mapped), "job_id", [F.col("reject_reason").isNull().desc(), *silver_order()])
-        good = latest.filter(F.col("reject_reason").isNull()).drop("reject_reason", "_payload_h1", "_payload_h2")
+        good = latest.filter(F.col("reject_reason").isNull()).drop("reject_reason")
         rejects = mapped.filter(F.col("reject_reason").isNotNull())
     else:
         checked, rejects = split_rejects(mapped, on_error)
         good = latest_postings(checked)
-    return silver_projection(enrich_with_technologies(good)), rejects
+    rows = enrich_with_technologies(good)
+    return (silver_projection(rows, order_columns()) if keep_order else silver_projection(rows)), rejects
 
 
 def transform(
@@ -53,23 +58,27 @@ def transform(
     on_error: str = "fail",
     rejects_path: str | None = None,
     since_date=None,
+    late_dates: Sequence = (),
 ) -> int:
     """Compute the current state from Bronze and upsert it into the Silver
     snapshot table.  Returns the batch size (0 writes nothing).
 
     By default all of Bronze is re-read, as upstream.  With ``since_date``
     only the batches of that date and later are read (partition pruning), the
-    date itself included, since more of it may have arrived; merging a row again
-    changes nothing.  Only rows that beat the stored Silver row are upserted,
-    which gives the same table as a full recompute provided those batches are
-    no older than anything already merged.
+    date itself included, since more of it may have arrived, and those of the
+    ``late_dates``; merging a row again changes nothing.  Silver's files keep
+    what W1 orders by next to the Silver columns (readers of Silver do not see
+    it), so only rows that beat the stored row are upserted, whatever their
+    date: the result is that of a full recompute.
 
     With ``on_error='quarantine'`` bad rows are written to ``rejects_path``
     (required then) instead of failing the job.
     """
     bronze = read_bronze(spark, bronze_path)
     if since_date is not None:
-        bronze = bronze.filter(F.col("ingestion_date") >= F.lit(since_date).cast("date"))
+        day = F.col("ingestion_date")
+        wanted = day >= F.lit(since_date).cast("date")
+        bronze = bronze.filter(wanted | day.isin(*[F.lit(d).cast("date") for d in late_dates]) if late_dates else wanted)
     mapped = normalize(bronze)
     if on_error == "quarantine":
         if rejects_path is None:
@@ -81,9 +90,9 @@ def transform(
         mapped = spark.read.parquet(staged)
         # the rejects of a Bronze date replace those of an earlier run over it
         replace_partitions(mapped.filter(F.col("reject_reason").isNotNull()), rejects_path, "ingestion_date")
-    batch, _ = latest_silver(mapped, on_error)
+    batch, _ = latest_silver(mapped, on_error, keep_order=True)
     if since_date is not None:
-        current = read_silver(spark, silver_path)
+        current = read_snapshot(spark, silver_path, StructType(SILVER.fields + ORDER.fields))
         if current is not None:
             batch = newer_than_current(batch, current, "job_id")
     written = upsert_snapshot(batch, silver_path, "job_id")

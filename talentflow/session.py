@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "talentflow") -> SparkSession:
@@ -52,3 +52,10 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, *parts])
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """A narrow intermediate result that is read more than once: a reliable
+    checkpoint in the shared folder, which survives lost executors."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

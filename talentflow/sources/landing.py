@@ -10,6 +10,7 @@ element's original text, key order and number spelling included).
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -48,19 +49,23 @@ MAX_BROADCAST_TARGETS = 100_000
 LANDED_SCHEMA = "value string, source string, company_identifier string"
 
 
-def read_landed(spark: SparkSession, root: str) -> DataFrame:
-    """Landed files laid out as ``root/source=<s>/company_identifier=<c>/*.json``.
+def read_landed(spark: SparkSession, root: str, paths: Sequence[str] | None = None) -> DataFrame:
+    """Landed files laid out as ``root/source=<s>/company_identifier=<c>/*.json``;
+    with ``paths`` only these files of ``root``.
 
     Returns ``source, company_identifier, fetched_at, body, file``; ``fetched_at``
     is the file's modification time.  One file is one response.  The schema is
     declared, so identifiers in directory names stay strings (``007``).
     """
+    files = spark.read.format("text").option("wholetext", True).schema(LANDED_SCHEMA)
+    if paths is None:
+        rows = files.load(root)
+    elif paths:  # names are no patterns
+        rows = files.option("basePath", root).load([re.sub(r"([\\{}\[\]*?])", r"\\\1", p) for p in paths])
+    else:
+        rows = files.load(root).filter("false")
     return (
-        spark.read.format("text")
-        .option("wholetext", True)
-        .schema(LANDED_SCHEMA)
-        .load(root)
-        .select(
+        rows.select(
             "source",
             "company_identifier",
             F.col("_metadata.file_modification_time").alias("fetched_at"),

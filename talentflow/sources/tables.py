@@ -89,27 +89,48 @@ def record_high_water(spark: SparkSession, path: str, day: dt.date) -> None:
     fs.mkdirs(p)
 
 
-def bronze_files(spark: SparkSession, path: str) -> dict[str, dt.date | None]:
-    """The data files of Bronze (below its root) and their ingestion dates, as
-    listed now.  A batch that is written again gets new file names."""
-    out = {}
-    for f in spark.read.schema(BRONZE).parquet(path).inputFiles():
-        name = f[f.rindex("/source=") + 1 :] if "/source=" in f else f
-        day = re.search(r"/ingestion_date=(\d{4}-\d\d-\d\d)/", name)
-        out[name] = dt.date.fromisoformat(day[1]) if day else None
-    return out
-
-
-def merged_files(spark: SparkSession, path: str) -> set[str]:
-    """The Bronze files merged into the snapshot table at ``path``."""
-    ledger = f"{path.rstrip('/')}/_merged_files"
-    return {r.file for r in spark.read.schema("file string").parquet(ledger).collect()} if path_exists(spark, ledger) else set()
-
-
-def record_merged(spark: SparkSession, path: str, files: list[str]) -> None:
-    if files:
-        rows = spark.createDataFrame([(f,) for f in files], "file string").coalesce(1)
-        rows.write.mode("append").parquet(f"{path.rstrip('/')}/_merged_files")
+def list_files(spark: SparkSession, root: str) -> DataFrame:
+    """The files below ``root`` as a scan of their names: path (as readers take
+    it), file (as ``_metadata.file_path`` spells it), modified.  No content is
+    read.  Files and folders whose names start with ``_`` or ``.`` are left out."""
+    return (
+        spark.read.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
+        .option("recursiveFileLookup", True)
+        .load(root)
+        .select("path", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("modified"))
+    )
+
+
+def bronze_parts(spark: SparkSession, path: str) -> DataFrame:
+    """(part, ingestion_date, files, newest) per partition folder of Bronze, as
+    listed now.  A batch that is written again gets newer files."""
+    part = F.regexp_extract("file", r"(source=.*)/[^/]*$", 1)
+    day = F.to_date(F.nullif(F.regexp_extract("file", r"/ingestion_date=(\d{4}-\d\d-\d\d)/", 1), F.lit("")))
+    files = list_files(spark, path).select(part.alias("part"), day.alias("ingestion_date"), "modified")
+    return files.groupBy("part", "ingestion_date").agg(F.count("*").alias("files"), F.max("modified").alias("newest"))
+
+
+MERGED = "part string, ingestion_date date, files bigint, newest timestamp"
+
+
+def open_days(spark: SparkSession, silver_path: str, parts: DataFrame, before: dt.date) -> list[dt.date]:
+    """Dates earlier than ``before`` under which a Bronze partition was added or
+    rewritten since it was merged into the table at ``silver_path``: the only
+    thing collected of the listing."""
+    older = parts.filter(F.col("ingestion_date") < F.lit(before).cast("date"))
+    ledger = f"{silver_path.rstrip('/')}/_merged_parts"
+    if path_exists(spark, ledger):
+        older = older.join(spark.read.schema(MERGED).parquet(ledger), ["part", "ingestion_date", "files", "newest"], "left_anti")
+    return sorted(r.ingestion_date for r in older.select("ingestion_date").distinct().collect())
+
+
+def record_merged(spark: SparkSession, silver_path: str, parts: DataFrame) -> None:
+    """Add the partitions of ``parts`` to the ledger of merged ones, a row each."""
+    ledger = f"{silver_path.rstrip('/')}/_merged_parts"
+    if path_exists(spark, ledger):
+        parts = parts.join(spark.read.schema(MERGED).parquet(ledger), parts.columns, "left_anti")
+    parts.coalesce(1).write.mode("append").parquet(ledger)
 
 
 # --------------------------------------------------------------- snapshots --
