@@ -10,15 +10,19 @@ but the short matches leaves the scan.  The running sum is a window per
 document over the matches of that one document.
 
 The entropy of a window of W characters is log2(W) - sum(c*log2(c))/W over its
-character counts c.  Sliding by one character changes two counts only, so the
-sum is carried along (scaled to integers, hence exact) instead of being
-computed anew.  The threshold depends on the character class of the candidate;
-strings of an allow-list (UUIDs, runs, placeholders, sequences) are left out.
+character counts c.  The fold over a candidate carries the counts themselves: a
+step takes one character out and one in, and the sum changes by two looked-up
+differences (scaled to integers, hence exact).  The numbers of digits, small and
+capital letters and characters that are no hexadecimal digit slide along, so
+every window is judged by its own character class, whatever stands next to it.
+A candidate ends at ``=`` (base64 padding stays with it) and at allow-listed text
+(UUIDs, placeholders, sequences): no window overlaps that.
 """
 
 from __future__ import annotations
 
 import math
+import string
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,16 +38,18 @@ MIN_VALUE, MIN_ACCESS, MIN_HEX = 12, 18, 16
 KINDS = ("assign", "access", "hex", "entropy")
 
 WINDOW = 20
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-# Bits a window must reach, by the candidate's character class (the largest
-# possible value for 20 characters is 4.32): hexadecimal, one letter case with
-# digits, both cases with digits.  A candidate without a digit has no class.
+RUN = r"[A-Za-z0-9+/_-]"
+ALPHABET = string.ascii_uppercase + string.ascii_lowercase + string.digits + "+/_-="
+# Bits a window must reach, by its character class (the largest possible value
+# for 20 characters is 4.32): hexadecimal, one letter case with digits, both
+# cases with digits.  A window without a digit or without a letter has no class.
 THRESHOLDS = {"hex": 3.0, "mono": 3.55, "mixed": 3.8}
 ALLOW = (
     r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",
-    r"[0-9+/_=-]+",
-    r".*(?i:example|sample|placeholder|changeme|xxxxxx|0123456789|abcdefgh).*",
+    r"(?i:example|sample|placeholder|changeme|xxxxxx|0123456789|abcdefgh)",
 )
+LISTED = "|".join(ALLOW)
+CANDIDATE = rf"(?={RUN}{{{WINDOW}}})(?:(?!{LISTED}){RUN}){{{WINDOW},}}+={{0,2}}"
 SCALE = 1 << 24
 
 
@@ -63,52 +69,77 @@ def _parts(text: Column, pattern: str, min_run: str = "") -> Column:
     return F.when(F.regexp_like(text, F.lit(min_run or pattern)), lengths)
 
 
-def _class_threshold(s: Column) -> Column:
-    floor = {k: round((math.log2(WINDOW) - v) * WINDOW * SCALE) for k, v in THRESHOLDS.items()}
+def class_limits() -> dict[str, int]:
+    """The largest scaled sum of a window that reaches the threshold of its class."""
+    return {k: round((math.log2(WINDOW) - v) * WINDOW * SCALE) for k, v in THRESHOLDS.items()}
+
+
+# Numbers of characters of a window, 8 bits each in one long.
+DIGIT, LOWER, UPPER, NOT_HEX = (1 << 8 * k for k in range(4))
+
+
+def _unit(c: str) -> int:
+    kind = DIGIT if c in string.digits else LOWER if c in string.ascii_lowercase else UPPER if c in string.ascii_uppercase else 0
+    return kind + (0 if c in string.hexdigits else NOT_HEX)
+
+
+def _limit(classes: Column) -> Column:
+    limits = class_limits()
+    any_of = lambda unit: classes.bitwiseAND(F.lit(255 * unit)) != 0
     return (
-        F.when(~s.rlike("[0-9]"), F.lit(None))
-        .when(s.rlike(r"\A[0-9a-fA-F]+\z"), F.lit(floor["hex"]))
-        .when(s.rlike("[A-Z]") & s.rlike("[a-z]"), F.lit(floor["mixed"]))
-        .otherwise(F.lit(floor["mono"]))
-        .cast("long")
+        F.when(~any_of(DIGIT) | ~any_of(LOWER + UPPER), F.lit(-1))
+        .when(~any_of(NOT_HEX), F.lit(limits["hex"]))
+        .when(any_of(LOWER) & any_of(UPPER), F.lit(limits["mixed"]))
+        .otherwise(F.lit(limits["mono"]))
     )
 
 
-def _hot_windows(s: Column, limit: Column) -> Column:
+def _hot_windows(s: Column) -> Column:
     """struct<first, last>: 0-based starts of the first and last window of
-    ``s`` whose scaled sum is at most ``limit`` (entropy at least the
-    threshold), -1 if none."""
-    table = F.array(*[F.lit(weight(c)) for c in range(WINDOW + 2)]).cast("array<long>")
-    g = lambda n: F.get(table, n)
-    count = lambda window, c: F.size(F.filter(window, lambda x: x == c))
-    seen = lambda total, i, acc_first, acc_last: F.struct(
-        total.alias("total"),
-        F.when((total <= limit) & (acc_first < 0), i).otherwise(acc_first).cast("int").alias("first"),
-        F.when(total <= limit, i).otherwise(acc_last).cast("int").alias("last"),
-    )
+    ``s`` that reaches the threshold of its class, -1 if none."""
+    longs = lambda values: F.array(*[F.lit(v) for v in values]).cast("array<long>")
+    gain = longs(weight(n + 1) - weight(n) for n in range(WINDOW + 1))
+    loss = longs(weight(n - 1) - weight(n) if n else 0 for n in range(WINDOW + 1))
+    units = longs([0, *map(_unit, ALPHABET)])
+    zero = ord("@")  # a count is one character, "@" for none, at the place of its letter
 
-    def scan(chars: Column) -> Column:
+    def scan(codes: Column) -> Column:
         def slide(acc: Column, i: Column) -> Column:
-            # window i-1 covers chars[i-1 .. i+W-2]; window i drops the first and takes chars[i+W-1]
-            window, out, new = F.slice(chars, i, WINDOW), F.get(chars, i - 1), F.get(chars, i + WINDOW - 1)
-            n_out, n_new = count(window, out), count(window, new)
-            change = g(n_out - 1) - g(n_out) + g(n_new + 1) - g(n_new)
-            return seen(acc["total"] + F.when(out == new, F.lit(0)).otherwise(change), i, acc["first"], acc["last"])
+            # acc holds the window that ends before i: judge it, then take i in
+            counts, new, out = acc["counts"], F.get(codes, i), F.get(codes, i - WINDOW)
+            n = lambda c: F.ascii(F.substr(counts, c, F.lit(1))) - zero
+            put = lambda into, c, number: F.overlay(into, F.char(number + zero), c, F.lit(1))
+            without = F.when(out.isNull(), counts).otherwise(put(counts, out, n(out) - 1))
+            same = out.eqNullSafe(new)
+            change = F.get(gain, n(new)) + F.coalesce(F.get(loss, n(out)), F.lit(0))
+            hot = (i >= WINDOW) & (acc["total"] <= _limit(acc["classes"]))
+            return F.struct(
+                F.when(same, counts).otherwise(put(without, new, n(new) + 1)).alias("counts"),
+                (acc["classes"] + F.get(units, new) - F.coalesce(F.get(units, out), F.lit(0))).alias("classes"),
+                (acc["total"] + F.when(same, F.lit(0)).otherwise(change)).cast("long").alias("total"),
+                F.when(hot & (acc["first"] < 0), i - WINDOW).otherwise(acc["first"]).alias("first"),
+                F.when(hot, i - WINDOW).otherwise(acc["last"]).alias("last"),
+            )
 
-        head = F.slice(chars, 1, WINDOW)
-        start = F.aggregate(F.array_distinct(head), F.lit(0).cast("long"), lambda a, c: a + g(count(head, c)))
-        steps = F.when(F.size(chars) > WINDOW, F.sequence(F.lit(1), F.size(chars) - WINDOW)).otherwise(F.array().cast("array<int>"))
-        return F.aggregate(steps, seen(start, F.lit(0), F.lit(-1), F.lit(-1)), slide)
+        empty = F.struct(
+            F.lit(chr(zero) * len(ALPHABET)).alias("counts"),
+            F.lit(0).cast("long").alias("classes"),
+            F.lit(0).cast("long").alias("total"),
+            F.lit(-1).alias("first"),
+            F.lit(-1).alias("last"),
+        )
+        return F.aggregate(F.sequence(F.lit(0), F.size(codes)), empty, slide, lambda acc: F.struct(acc["first"].alias("first"), acc["last"].alias("last")))
 
-    # transform over a one-element array binds the characters once: inside the
-    # loop they are a variable, not the split computed again at every step.
-    return F.get(F.transform(F.array(F.split(s, "")), scan), F.lit(0))
+    # transform over a one-element array binds the codes once: inside the loop
+    # they are a variable, not the split computed again at every step.
+    codes = F.transform(F.split(s, ""), lambda c: F.instr(F.lit(ALPHABET), c))
+    return F.get(F.transform(F.array(codes), scan), F.lit(0))
 
 
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per found span: (doc_id, kind, start, end, value); positions in
     code points, end exclusive.  Base kinds: the whole match; ``entropy``: from the
-    first to the last window that reaches the threshold of its class.
+    first to the last window of a candidate that reaches the threshold of its class.
 
     Null and empty texts have no span; rows that repeat an id are scanned
     each, and their spans are numbered apart.  Other columns are ignored.
@@ -126,7 +157,7 @@ def _spans(src: DataFrame) -> DataFrame:
             F.struct(F.lit("assign").alias("kind"), _parts(text, ASSIGN.replace("([", "(?:[")).alias("parts")),
             F.struct(F.lit("access").alias("kind"), _parts(text, ACCESS).alias("parts")),
             F.struct(F.lit("hex").alias("kind"), _parts(text, HEX.replace("+", "{16,}")).alias("parts")),
-            F.struct(F.lit("entropy").alias("kind"), _parts(text, CANDIDATE).alias("parts")),
+            F.struct(F.lit("entropy").alias("kind"), _parts(text, f"{LISTED}|{CANDIDATE}", f"{RUN}{{{WINDOW}}}").alias("parts")),
         ).alias("kinds"),
     )
     rows = (
@@ -148,13 +179,9 @@ def _spans(src: DataFrame) -> DataFrame:
         | ((F.col("kind") == "access") & (F.char_length(value) >= MIN_ACCESS))
         | ((F.col("kind") == "hex") & (F.char_length(value) >= MIN_HEX))
     ).select("doc_id", "row", "kind", "start", "end", "value")
-    allowed = F.lit(False)
-    for pattern in ALLOW:
-        allowed = allowed | value.rlike(rf"\A(?:{pattern})\z")
-    limit = _class_threshold(value)
     entropy = (
-        located.filter((F.col("kind") == "entropy") & limit.isNotNull() & ~allowed)
-        .select("doc_id", "row", "kind", "start", "value", _hot_windows(value, limit).alias("hot"))
+        located.filter((F.col("kind") == "entropy") & ~value.rlike(rf"\A(?:{LISTED})\z") & value.rlike("[0-9]") & value.rlike("[A-Za-z]"))
+        .select("doc_id", "row", "kind", "start", "value", _hot_windows(value).alias("hot"))
         .filter("hot.first >= 0")
         .select(
             "doc_id",
@@ -194,21 +221,26 @@ def secret_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def oracle() -> str:
-    """The same report in DuckDB SQL; window sums from scratch."""
+    """The same report in DuckDB SQL: listed text is blanked, window sums are from scratch."""
     quote = lambda s: s.replace("'", "''")
     part = (
         "SELECT doc_id, '{k}' AS kind, {r} AS rank, n, length(g) + length(v) AS step, v FROM ("
-        "SELECT doc_id, unnest(regexp_extract_all(text, '(?s)(.*?)({p}|\\z)', 1)) AS g,"
-        " unnest(regexp_extract_all(text, '(?s)(.*?)({p}|\\z)', 2)) AS v,"
-        " unnest(range(len(regexp_extract_all(text, '(?s)(.*?)({p}|\\z)', 1)))) AS n FROM d)"
+        "SELECT doc_id, unnest(regexp_extract_all({t}, '(?s)(.*?)({p}|\\z)', 1)) AS g,"
+        " unnest(regexp_extract_all({t}, '(?s)(.*?)({p}|\\z)', 2)) AS v,"
+        " unnest(range(len(regexp_extract_all({t}, '(?s)(.*?)({p}|\\z)', 1)))) AS n FROM d)"
     )
-    kinds = [("assign", ASSIGN.replace("([", "(?:[")), ("access", ACCESS), ("hex", HEX), ("entropy", CANDIDATE)]
-    parts = " UNION ALL ".join(part.format(k=k, r=i, p=quote(p)) for i, (k, p) in enumerate(kinds))
-    allow = " OR ".join(f"regexp_full_match(v, '{quote(p)}')" for p in ALLOW)
-    floor = {k: round((math.log2(WINDOW) - v) * WINDOW * SCALE) for k, v in THRESHOLDS.items()}
+    kinds = [("assign", ASSIGN.replace("([", "(?:[")), ("access", ACCESS), ("hex", HEX), ("entropy", f"{RUN}{{{WINDOW},}}={{0,2}}")]
+    parts = " UNION ALL ".join(part.format(k=k, r=i, p=quote(p), t="blanked" if k == "entropy" else "text") for i, (k, p) in enumerate(kinds))
+    limits = class_limits()
     weights = ", ".join(str(weight(c)) for c in range(WINDOW + 1))
     return rf"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+d AS (
+  SELECT doc_id, text, CASE WHEN regexp_matches(text, '{LISTED}') THEN array_to_string(list_transform(
+    list_zip(regexp_extract_all(text, '(?s)(.*?)({LISTED}|\z)', 1), regexp_extract_all(text, '(?s)(.*?)({LISTED}|\z)', 2)),
+    lambda x: x[1] || repeat(' ', length(x[2]))), '') ELSE text END AS blanked
+  FROM t
+),
 p AS ({parts}),
 l AS (SELECT *, sum(step) OVER (PARTITION BY doc_id, kind ORDER BY n) AS e FROM p),
 base AS (
@@ -217,15 +249,16 @@ base AS (
     OR (kind = 'access' AND length(v) >= {MIN_ACCESS}) OR (kind = 'hex' AND length(v) >= {MIN_HEX}))
 ),
 cand AS (
-  SELECT doc_id, kind, rank, e - length(v) AS s, v,
-    CASE WHEN regexp_full_match(v, '[0-9a-fA-F]+') THEN {floor["hex"]}
-         WHEN regexp_matches(v, '[A-Z]') AND regexp_matches(v, '[a-z]') THEN {floor["mixed"]}
-         ELSE {floor["mono"]} END AS lim
-  FROM l WHERE kind = 'entropy' AND v <> '' AND regexp_matches(v, '[0-9]') AND NOT ({allow})
+  SELECT doc_id, e - length(v) AS s, v FROM l
+  WHERE kind = 'entropy' AND v <> '' AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')
 ),
 win AS (
-  SELECT doc_id, s, v, lim, i, substr(v, i + 1, {WINDOW}) AS w
-  FROM (SELECT *, unnest(range(length(v) - {WINDOW - 1})) AS i FROM cand)
+  SELECT doc_id, s, i, w, CASE
+    WHEN regexp_full_match(w, '[0-9a-fA-F]+') THEN {limits["hex"]}
+    WHEN regexp_matches(w, '[A-Z]') AND regexp_matches(w, '[a-z]') THEN {limits["mixed"]}
+    ELSE {limits["mono"]} END AS lim
+  FROM (SELECT doc_id, s, i, substr(v, i + 1, {WINDOW}) AS w FROM (SELECT *, unnest(range(length(v) - {WINDOW - 1})) AS i FROM cand))
+  WHERE regexp_matches(w, '[0-9]') AND regexp_matches(w, '[A-Za-z]')
 ),
 cnt AS (
   SELECT doc_id, s, lim, i, c, count(*) AS n
