@@ -83,7 +83,7 @@ def batch_job_ids(bronze: DataFrame, ingestion_date: dt.date | str) -> DataFrame
     )
 
 
-def _seen_in(bronze: DataFrame, previous, current, *keys: str) -> DataFrame:
+def seen_in(bronze: DataFrame, previous, current, *keys: str) -> DataFrame:
     """Per key whether it occurs in the previous and in the current batch: one
     scan of the two batches' partitions and one partial aggregate."""
     was, now = (F.col("ingestion_date") == F.lit(d).cast("date") for d in (previous, current))
@@ -98,7 +98,7 @@ def _seen_in(bronze: DataFrame, previous, current, *keys: str) -> DataFrame:
 
 def new_postings(bronze: DataFrame, previous_date, current_date) -> DataFrame:
     """Keys in the current batch and not in the previous one."""
-    seen = _seen_in(bronze, previous_date, current_date, "job_id")
+    seen = seen_in(bronze, previous_date, current_date, "job_id")
     return seen.filter(F.col("_now") & ~F.col("_was")).select(
         "job_id", F.lit(current_date).cast("date").alias("detected_as_new_on")
     )
@@ -113,7 +113,7 @@ def removed_postings(bronze: DataFrame, previous_date, current_date, only_fetche
     """
     if only_fetched_targets:
         pair = ["source", "company_identifier"]
-        per_target = _seen_in(bronze, previous_date, current_date, *pair, "job_id")
+        per_target = seen_in(bronze, previous_date, current_date, *pair, "job_id")
         fetched = per_target.groupBy(*pair).agg(F.max("_was").alias("_w"), F.max("_now").alias("_n")).filter("_w and _n").select(*pair)
         scoped = per_target.join(fetched, pair, "left_semi").select("job_id", F.col("_was").alias("_in"))
         # a key may stand under several targets: it is removed only if no target has it now
@@ -125,7 +125,7 @@ def removed_postings(bronze: DataFrame, previous_date, current_date, only_fetche
             .agg(F.max("_in").alias("_was"), F.max("_now").alias("_now"))
         )
     else:
-        seen = _seen_in(bronze, previous_date, current_date, "job_id")
+        seen = seen_in(bronze, previous_date, current_date, "job_id")
     return seen.filter(F.col("_was") & ~F.col("_now")).select(
         "job_id", F.lit(current_date).cast("date").alias("detected_as_removed_on")
     )

@@ -9,6 +9,8 @@ SQL in :mod:`talentflow.plans.oracles`.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -380,6 +382,30 @@ def bronze_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+EVENT_PAGE = 10
+EVENT_TARGETS = 40
+
+
+def responses_from_events(spark: SparkSession, sf_dir: str, day: dt.date, damaged: bool = False) -> DataFrame:
+    """Provider responses of one event day: a page holds the users of one event
+    type in a block of ``EVENT_PAGE`` ids, a target has every fortieth page.
+    Damaged: some pages are cut off, some are empty, some are not there."""
+    e = table(spark, sf_dir, "events").filter((F.to_date("ts") == F.lit(day)) & F.col("user_id").isNotNull())
+    page = F.floor(F.col("user_id") / EVENT_PAGE).alias("page")
+    item = F.concat(F.lit('{"id": "'), "event_type", F.lit("-"), "user_id", F.lit('"}'))
+    pages = e.groupBy("event_type", page).agg(F.array_join(F.sort_array(F.collect_set(item)), ",").alias("items"))
+    body = F.concat(F.lit('{"jobs": ['), "items", F.lit("]}"))
+    if damaged:
+        pages = pages.filter(F.col("page") % 13 != 5)
+        body = F.when(F.col("page") % 11 == 3, F.lit('{"jobs": [')).when(F.col("page") % 7 == 4, F.lit('{"jobs": []}')).otherwise(body)
+    return pages.select(
+        F.lit("greenhouse").alias("source"),
+        F.concat_ws("-", "event_type", (F.col("page") % EVENT_TARGETS).cast("string")).alias("company_identifier"),
+        F.lit(day).cast("timestamp").alias("fetched_at"),
+        body.alias("body"),
+    )
+
+
 # --------------------------------------------------------------- documents --
 
 def silver_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,13 +13,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import views
+from ..operators import presence, views
 from ..operators.matching import build_profile, match_scores
 from ..session import staged
 from ..sources import landing, tables
 from .silver import transform
 
 GOLD_VIEWS = ("active_companies", "tech_trends", "duplicate_postings", "new_postings", "removed_postings")
+HISTORY_VIEWS = ("posting_intervals",)  # over all batches, on request
 
 
 def land_to_bronze(spark: SparkSession, landing_root: str, bronze_path: str, rejects_path: str,
@@ -33,7 +34,8 @@ def land_to_bronze(spark: SparkSession, landing_root: str, bronze_path: str, rej
     is read again.  Of the listing, the driver holds the names of the new files.  A run that failed is repeated with its ``run_id``: it reads
     the same files and replaces its own postings and rejects, under the date of
     its first try.  The files are parsed and exploded once into a staging
-    folder; postings, rejects and the ledger are read from there.  Folders whose
+    folder; postings, rejects, what was fetched of every target, and the ledger
+    are read from there.  Folders whose
     name starts with an underscore are hidden from readers of Bronze.
     """
     root, run = bronze_path.rstrip("/"), run_id or uuid.uuid4().hex
@@ -54,12 +56,14 @@ def land_to_bronze(spark: SparkSession, landing_root: str, bronze_path: str, rej
     responses = landing.read_landed(spark, landing_root, [r.path for r in files.select("path").collect()])
     if targets is not None:
         responses = landing.gate_targets(responses, targets)
-    landing.explode_all(responses).write.parquet(f"{staged_run}/rows")
+    landing.explode_all(responses, keep_empty=True).write.parquet(f"{staged_run}/rows")
     out = spark.read.parquet(f"{staged_run}/rows")
     ok = F.col("reject_reason").isNull()
-    rejects = out.filter(~ok).select(*landing.REJECT_COLUMNS, F.lit(day).cast("date").alias("ingestion_date"), F.lit(run).alias("batch_id"))
+    rejects = out.filter(~ok & (F.col("reject_reason") != landing.NO_POSTINGS)).select(*landing.REJECT_COLUMNS, F.lit(day).cast("date").alias("ingestion_date"), F.lit(run).alias("batch_id"))
     tables.replace_partitions(rejects, rejects_path, "ingestion_date", "batch_id")
     rows = tables.append_bronze(landing.to_bronze(out.filter(ok).drop("reject_reason"), day), bronze_path, run)
+    fetches = landing.fetch_outcomes(out, day).withColumn("run", F.lit(run))
+    tables.replace_partitions(fetches, tables.fetches_path(root), "ingestion_date", "run")
     tables.replace_partitions(files.select("file", "modified").withColumn("run", F.lit(run)), ledger, "run")
     tables.delete_path(spark, staged_run)
     return rows
@@ -92,15 +96,24 @@ def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str, si
 
 
 def gold_view(spark: SparkSession, name: str, silver_path: str, bronze_path: str | None = None,
-              previous_date: dt.date | None = None, current_date: dt.date | None = None) -> DataFrame:
+              previous_date: dt.date | None = None, current_date: dt.date | None = None, fetch_evidence: bool = False) -> DataFrame:
     """One Gold view by name, over the current Silver snapshot (or Bronze for
-    the new/removed views, which compare two batches)."""
+    the new/removed views, which compare two batches, and ``posting_intervals``,
+    which covers all).  With ``fetch_evidence`` a posting is removed only if its
+    target was fetched completely."""
+    if name == "posting_intervals":
+        if bronze_path is None:
+            raise ValueError(f"{name} needs bronze_path")
+        return presence.presence_intervals(tables.read_bronze(spark, bronze_path))
     if name in ("new_postings", "removed_postings"):
         if bronze_path is None or previous_date is None or current_date is None:
             raise ValueError(f"{name} needs bronze_path, previous_date and current_date")
         bronze = tables.read_bronze(spark, bronze_path)
-        fn = views.new_postings if name == "new_postings" else views.removed_postings
-        return fn(bronze, previous_date, current_date)
+        if name == "new_postings":
+            return views.new_postings(bronze, previous_date, current_date)
+        if fetch_evidence:
+            return presence.removed_with_evidence(bronze, tables.read_fetches(spark, bronze_path), previous_date, current_date)
+        return views.removed_postings(bronze, previous_date, current_date)
     silver = tables.read_silver(spark, silver_path)
     if silver is None:
         raise ValueError(f"no Silver table at {silver_path}")
@@ -110,17 +123,19 @@ def gold_view(spark: SparkSession, name: str, silver_path: str, bronze_path: str
         return views.tech_trends(silver, ordered=False)
     if name == "duplicate_postings":
         return views.duplicate_postings(silver, ordered=False)
-    raise ValueError(f"unknown view {name!r}; expected one of {GOLD_VIEWS}")
+    raise ValueError(f"unknown view {name!r}; expected one of {GOLD_VIEWS + HISTORY_VIEWS}")
 
 
 def write_gold(spark: SparkSession, gold_root: str, silver_path: str, bronze_path: str | None = None,
-               previous_date: dt.date | None = None, current_date: dt.date | None = None) -> dict[str, int]:
-    """Materialise every Gold view as a new snapshot version; returns row counts."""
+               previous_date: dt.date | None = None, current_date: dt.date | None = None,
+               fetch_evidence: bool = False, names: tuple[str, ...] = GOLD_VIEWS) -> dict[str, int]:
+    """Materialise the Gold views ``names`` as new snapshot versions; returns row
+    counts.  The two views of two batches are left out without their dates."""
     out = {}
-    for name in GOLD_VIEWS:
+    for name in names:
         if name in ("new_postings", "removed_postings") and previous_date is None:
             continue
-        df = gold_view(spark, name, silver_path, bronze_path, previous_date, current_date)
+        df = gold_view(spark, name, silver_path, bronze_path, previous_date, current_date, fetch_evidence)
         out[name] = tables.write_snapshot(df, f"{gold_root.rstrip('/')}/{name}")
     return out
 

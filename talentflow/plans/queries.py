@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..schemas import BRONZE_COLUMNS
 from ..functions.terms import extract_terms, required_years
 from ..functions.text import strip_html
-from ..operators import views
+from ..operators import presence, views
 from ..operators.latest import latest_per_key, upsert_rows
 from ..operators.matching import Profile, match_profile_table, match_scores, profiles_from_text
 from ..operators.normalize import normalize
@@ -45,6 +45,7 @@ FLAGSHIP_PROFILES = [
 # Batch dates used by the Bronze-history queries (events span 2024-01-01..30).
 PREVIOUS_DAY = dt.date(2024, 1, 14)
 CURRENT_DAY = dt.date(2024, 1, 15)
+CHANGE_DAYS = (dt.date(2024, 1, 5), dt.date(2024, 1, 20))
 # All history, split at one date.
 TARGET_DAYS = (dt.date(1900, 1, 1), dt.date(2024, 1, 15))
 BATCH_DAYS = (dt.date(2024, 1, 16), dt.date(2999, 12, 31))
@@ -233,6 +234,34 @@ def q_removed_postings_fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.removed_postings(bronze.withColumn("company_identifier", group), PREVIOUS_DAY, CURRENT_DAY, only_fetched_targets=True)
 
 
+def q_removed_postings_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1, S2, S4, X2 with evidence: landed pages of two days, of which the later
+    lacks some, has empty ones and broken ones; only targets that were fetched
+    completely report removals."""
+    batches = [
+        (day, landing.explode_all(derived.responses_from_events(spark, sf_dir, day, damaged=day == CURRENT_DAY), keep_empty=True))
+        for day in (PREVIOUS_DAY, CURRENT_DAY)
+    ]
+    before, now = (landing.to_bronze(rows.filter("reject_reason is null"), day) for day, rows in batches)
+    fetches = landing.fetch_outcomes(batches[1][1], CURRENT_DAY)
+    return presence.removed_with_evidence(before.unionByName(now), fetches, PREVIOUS_DAY, CURRENT_DAY)
+
+
+def q_posting_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X0-X2 over all batches: when every key was there."""
+    return presence.presence_intervals(derived.bronze_from_events(spark, sf_dir))
+
+
+def q_posting_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1, X2 over all event days: new, returned, removed and open keys a day."""
+    return presence.activity_by_day(q_posting_intervals(spark, sf_dir))
+
+
+def q_posting_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1, X2 between two days far apart, from the intervals."""
+    return presence.changes_between(q_posting_intervals(spark, sf_dir), *CHANGE_DAYS)
+
+
 def _events_latest(spark: SparkSession, sf_dir: str, days=None) -> DataFrame:
     b = derived.bronze_from_events(spark, sf_dir)
     if days is not None:
@@ -341,6 +370,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "new_postings": q_new_postings,
     "removed_postings": q_removed_postings,
     "removed_postings_fetched": q_removed_postings_fetched,
+    "removed_postings_evidence": q_removed_postings_evidence,
+    "posting_intervals": q_posting_intervals,
+    "posting_activity": q_posting_activity,
+    "posting_changes": q_posting_changes,
     "latest_per_job": q_latest_per_job,
     "silver_upsert": q_silver_upsert,
     "active_companies": q_active_companies,
@@ -357,6 +390,7 @@ ORACLES: dict[str, str] = oracles.build_all(
     profiles=FLAGSHIP_PROFILES,
     previous_day=PREVIOUS_DAY,
     current_day=CURRENT_DAY,
+    change_days=CHANGE_DAYS,
     target_days=TARGET_DAYS,
     batch_days=BATCH_DAYS,
     first_batch=FIRST_BATCH,

@@ -130,10 +130,16 @@ def explode_responses(responses: DataFrame, shapes: Mapping[str, ResponseShape]
 REJECT_COLUMNS = ["source", "company_identifier", "fetched_at", "reject_reason"]
 
 
-def explode_all(responses: DataFrame, shapes: Mapping[str, ResponseShape] | None = None) -> DataFrame:
+NO_POSTINGS = "no_postings"
+POSTING_WITHOUT_ID = "posting_without_id"
+
+
+def explode_all(responses: DataFrame, shapes: Mapping[str, ResponseShape] | None = None, keep_empty: bool = False) -> DataFrame:
     """Postings and rejects in one frame: ``source, source_job_id,
     company_identifier, fetched_at, url, raw_payload, reject_reason`` (NULL for
-    a good posting; a rejected response gives one row with its reason)."""
+    a good posting; a rejected response gives one row with its reason).  With
+    ``keep_empty`` an accepted response without postings gives one row, whose
+    reason is ``NO_POSTINGS``: evidence of a fetch, no reject."""
     shp = dict(SHAPES if shapes is None else shapes)
     src, body = F.col("source"), F.col("body")
 
@@ -179,7 +185,11 @@ def explode_all(responses: DataFrame, shapes: Mapping[str, ResponseShape] | None
     posts = staged.select(
         "source", "company_identifier", "fetched_at", "_reason",
         F.posexplode_outer(F.when(F.col("_reason").isNull(), F.col("_elems"))).alias("_pos", "raw_payload"),
-    ).filter(F.col("_reason").isNotNull() | F.col("_pos").isNotNull())
+    )
+    if keep_empty:
+        posts = posts.withColumn("_reason", F.coalesce("_reason", F.when(F.col("_pos").isNull(), F.lit(NO_POSTINGS))))
+    else:
+        posts = posts.filter(F.col("_reason").isNotNull() | F.col("_pos").isNotNull())
     scalars = sorted({k for s in shp.values() for k in (s.id_key, *s.url_keys)})
     posts = posts.withColumn("_p", read_object(F.col("raw_payload"), {k: "variant" for k in scalars}))
 
@@ -197,7 +207,7 @@ def explode_all(responses: DataFrame, shapes: Mapping[str, ResponseShape] | None
         "raw_payload",
         "_reason",
     )
-    reject = F.coalesce(F.col("_reason"), F.when(F.col("source_job_id").isNull(), F.lit("posting_without_id")))
+    reject = F.coalesce(F.col("_reason"), F.when(F.col("source_job_id").isNull(), F.lit(POSTING_WITHOUT_ID)))
     return with_ids.select(
         *[F.when(reject.isNull(), F.col(c)).alias(c) if c in ("source_job_id", "url", "raw_payload") else F.col(c)
           for c in ("source", "source_job_id", "company_identifier", "fetched_at", "url", "raw_payload")],
@@ -205,6 +215,27 @@ def explode_all(responses: DataFrame, shapes: Mapping[str, ResponseShape] | None
     )
 
 
+def fetch_outcomes(rows: DataFrame, ingestion_date: dt.date) -> DataFrame:
+    """What was fetched of every target: ``source, company_identifier,
+    ingestion_date, failed_responses, postings, complete``.
+
+    ``rows`` come from :func:`explode_all` with ``keep_empty``.  A target without
+    any response has no row; one is ``complete`` when none of its responses was
+    rejected, however many postings they held (a single posting without an id
+    does not count against its target).  One partial aggregate per target.
+    """
+    reason = F.col("reject_reason")
+    failed = F.count_if(reason.isNotNull() & ~reason.isin(NO_POSTINGS, POSTING_WITHOUT_ID))
+    return rows.groupBy("source", "company_identifier").agg(failed.alias("failed_responses"), F.count_if(reason.isNull()).alias("postings")).select(
+        "source",
+        "company_identifier",
+        F.lit(ingestion_date).cast("date").alias("ingestion_date"),
+        "failed_responses",
+        "postings",
+        (F.col("failed_responses") == 0).alias("complete"),
+    )
+
+
 def to_bronze(postings: DataFrame, ingestion_date: dt.date | None = None) -> DataFrame:
     """Stamp the batch date (default: today in UTC) and order the columns."""
     d = ingestion_date or dt.datetime.now(dt.timezone.utc).date()

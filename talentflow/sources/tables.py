@@ -68,6 +68,21 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(BRONZE).parquet(path).select(*BRONZE_COLUMNS)
 
 
+FETCHES = "source string, company_identifier string, ingestion_date date, failed_responses bigint, postings bigint, complete boolean, run string"
+
+
+def fetches_path(bronze_path: str) -> str:
+    return f"{bronze_path.rstrip('/')}/_fetches"
+
+
+def read_fetches(spark: SparkSession, bronze_path: str) -> DataFrame:
+    """What the landing runs fetched of every target, a row per run and target."""
+    path = fetches_path(bronze_path)
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], FETCHES)
+    return spark.read.schema(FETCHES).parquet(path)
+
+
 def batch_day(spark: SparkSession, root: str, batch_id: str, day: dt.date) -> dt.date:
     """The date under which a batch was first tried.  It is recorded as an empty
     folder, so a retry after midnight writes to the same partition."""
