@@ -18,6 +18,7 @@ from ..catalogs import KEYWORD_CATALOG, TECHNOLOGY_CATALOG
 from ..functions.terms import extract_technologies
 from ..functions.memo import per_context
 from ..functions.text import looks_remote
+from ..operators.term_lookup import WORD_START, atoms
 
 # Words used to assemble posting descriptions: every catalog variant plus a
 # few near misses that must not match (substring, plural and suffix cases).
@@ -436,6 +437,23 @@ DOCUMENT_CATALOG: dict[str, list[str]] = {
 }
 
 
+def catalog_from_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog (name, variant) that grows with ``benchmark``: every word of it,
+    and every two words with one space between them, which a comma may follow."""
+    a = atoms(F.col("text"))
+    places = table(spark, sf_dir, "benchmark").select(a.alias("a")).select("a", F.posexplode_outer("a").alias("at", "w"))
+    two = F.get("a", F.col("at") + 2)
+    named = places.filter(F.col("w").rlike(WORD_START)).select("w", F.get("a", F.col("at") + 1).alias("gap"), two.alias("v"))
+    pairs = named.filter((F.col("gap") == " ") & F.col("v").rlike(WORD_START))
+    pair = F.concat_ws("_", "w", "v")
+    return (
+        named.select(F.col("w").alias("name"), F.col("w").alias("variant"))
+        .union(pairs.select(pair, F.concat_ws(" ", "w", "v")))
+        .union(pairs.select(pair, F.concat_ws(", ", "w", "v")))
+        .distinct()
+    )
+
+
 def cv_texts_from_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``profile_id, cv_text, years_experience``: each conversation turn's whole
     text followed by three catalog terms chosen by the turn's keys."""

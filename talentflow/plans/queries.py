@@ -19,6 +19,7 @@ from ..operators import presence, views
 from ..operators.latest import latest_per_key, upsert_rows
 from ..operators.matching import Profile, match_profile_table, match_scores, profiles_from_text
 from ..operators.normalize import normalize
+from ..operators.term_lookup import catalog_trends, with_terms
 from ..session import scratch_path
 from ..sources import landing, tables
 from . import derived, jobs, oracles
@@ -114,6 +115,20 @@ def q_term_trends_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.tech_trends(enrich_with_technologies(s, derived.DOCUMENT_CATALOG))
 
 
+def q_large_catalog_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F9 with a catalog table of thousands of names over whole documents."""
+    catalog = derived.catalog_from_benchmark(spark, sf_dir)
+    d = with_terms(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", catalog)
+    names = F.array_join("terms", "|")
+    return d.select("doc_id", F.size("terms").cast("long").alias("n_terms"), F.sha2(names, 256).alias("terms_sha256"))
+
+
+def q_large_catalog_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 with the same catalog: documents per mentioned name."""
+    catalog = derived.catalog_from_benchmark(spark, sf_dir)
+    return catalog_trends(table(spark, sf_dir, "documents"), "doc_id", "text", catalog)
+
+
 def q_required_years_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F11 over each whole document followed by a years sentence."""
     d = table(spark, sf_dir, "documents")
@@ -358,6 +373,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tech_trends": q_tech_trends,
     "extract_terms_documents": q_extract_terms_documents,
     "term_trends_documents": q_term_trends_documents,
+    "large_catalog_documents": q_large_catalog_documents,
+    "large_catalog_trends": q_large_catalog_trends,
     "required_years_documents": q_required_years_documents,
     "strip_html_pages": q_strip_html_pages,
     "normalize_board_a": q_normalize_board_a,
