@@ -71,11 +71,6 @@ def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select(F.col(key).alias(ROW), named(id_col).alias("doc_id"), F.coalesce(named(text_col), F.lit("")).alias("text"))
 
 
-def number_rows(df: DataFrame) -> DataFrame:
-    """Narrow rows with a row key, to be stored before they are read."""
-    return df.withColumn(ROW, F.monotonically_increasing_id())
-
-
 def drop_rows(rows: DataFrame, gone: DataFrame, columns: list[str], key: str = ROW) -> DataFrame:
     """``columns`` of the rows whose ``key`` is not among the row keys of
     ``gone``."""

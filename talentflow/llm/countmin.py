@@ -96,7 +96,7 @@ SKETCH = "slice int, part int, once binary, more binary"
 
 
 def merged_sketch(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int) -> DataFrame:
-    """The merged sketch of the keys of all batches of ``df``, one row per slice."""
+    """The merged sketch of the keys of all batches of ``df``: packed bits, one row per slice."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, held, size = TaskContext.get().partitionId(), [], 0
@@ -120,17 +120,24 @@ def merged_sketch(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np
     # a tree: neighbouring partitions first, few sketches of a slice in one call
     for width in (MERGE, MERGE**2):
         slices = slices.groupBy("slice", F.floor(F.col("part") / width)).applyInArrow(lambda key, t: _merge(t), SKETCH)
-    return slices.groupBy("slice").applyInArrow(_merge, SKETCH).select("slice", "more")
+    return slices.groupBy("slice").applyInArrow(_bitmap, "slice int, bits binary")
+
+
+def _bitmap(table: pa.Table) -> pa.Table:
+    """The "two or more" cells of a slice as packed bits: at most 128 KB."""
+    merged = _merge(table)
+    cells = np.zeros(1 << SLICE_BITS, bool)
+    cells[_unpack(merged.column("more")[0].as_py())] = True
+    return pa.table({"slice": merged.column("slice"), "bits": [zlib.compress(np.packbits(cells).tobytes(), 1)]})
 
 
 def repeated_bits(sketch: DataFrame, bits: int) -> np.ndarray:
-    """The bounded sketch as packed bits, one row per depth."""
+    """The bounded sketch as packed bits, one row per depth: at most
+    ``DEPTH * MAX_CELLS / 8`` bytes, whatever the corpus."""
     out = np.zeros((DEPTH, 1 << bits >> 3), np.uint8)
     for r in sketch.collect():
-        count = np.zeros(1 << SLICE_BITS, bool)
-        count[_unpack(r["more"])] = True
         at = (r["slice"] & 0xFFFF) << (SLICE_BITS - 3)
-        out[r["slice"] >> 16, at : at + (1 << SLICE_BITS - 3)] = np.packbits(count)
+        out[r["slice"] >> 16, at : at + (1 << SLICE_BITS - 3)] = np.frombuffer(zlib.decompress(r["bits"]), np.uint8)
     return out
 
 

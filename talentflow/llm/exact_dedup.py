@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, drop_rows, first_row, free_name, named, number_rows, shared, text_of, with_row_key
+from .common import ROW, drop_rows, first_row, free_name, named, shared, with_row_key
 
 PREFIX_CHARS = 256
 # The deleted characters: space and \t \n \v \f \r.
@@ -87,20 +87,21 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return drop_rows(rows, gone, docs.columns, key)
 
 
-def dedup_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix: int = PREFIX_CHARS) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id (null if no row of the group
     has an id), group_size, kept, text_sha256.
 
-    Every text is hashed whole here, the hash being a column of the report, so
-    the groups are formed from those narrow rows in one scan of the texts.
+    Groups come from the refinement; a row that its length or prefix settled is
+    a group of its own.  The hash of every text is a column of the report and
+    decides nothing.
     """
-    text = F.col("text")
-    hashed = text_of(docs, id_col, text_col).select(
-        "doc_id", F.char_length(text).alias("n_chars"), F.sha2(normalised(text), 256).alias("text_sha256")
-    )
-    rows = shared(number_rows(hashed))
+    key = free_name(docs, ROW)
+    rows = with_row_key(docs, key)
+    copies = duplicate_groups(rows, id_col, text_col, prefix, key).select(ROW, "keep_row", "keep_id", "group_size")
+    text = F.coalesce(named(text_col), F.lit(""))
+    hashed = rows.select(F.col(key).alias(ROW), named(id_col).alias("doc_id"), F.sha2(normalised(text), 256).alias("text_sha256"))
     single = F.col("group_size").isNull()
-    return rows.join(_groups(rows), "text_sha256", "left").select(
+    return hashed.join(copies, ROW, "left").select(
         "doc_id",
         F.when(single, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),

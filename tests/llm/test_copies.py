@@ -43,6 +43,17 @@ def test_exact_dedup_matches_brute_force(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i, v in want.items() if v[2]}
 
 
+def test_the_report_goes_through_the_refinement(spark):
+    """With a prefix of one character, only lengths and first characters settle
+    rows before the whole texts do; the result is the same."""
+    df = docs_of(spark, AWKWARD)
+    want = sorted(map(tuple, ed.dedup_report(df).collect()))
+    assert sorted(map(tuple, ed.dedup_report(df, prefix=1).collect())) == want
+    settled = docs_of(spark, ["a", "bb", "cc", "dd d"])
+    assert ed.duplicate_groups(settled).count() == 0
+    assert [tuple(r)[:4] for r in ed.dedup_report(settled).orderBy("doc_id").collect()] == [(i, i, 1, True) for i in range(4)]
+
+
 def test_exact_dedup_of_nothing(spark):
     df = docs_of(spark, ["a"]).limit(0)
     assert ed.dedup_report(df).count() == 0
