@@ -75,7 +75,11 @@ def keyword_bonus(cv_keywords: Column, posting_keywords: Column) -> tuple[Column
 
 
 def bonus_points(matched_keywords: Column) -> Column:
-    return F.least(F.size(matched_keywords) * KEYWORD_BONUS_PER_MATCH, F.lit(MAX_KEYWORD_BONUS))
+    return points(F.size(matched_keywords))
+
+
+def points(n_keywords: Column) -> Column:
+    return F.least(n_keywords * KEYWORD_BONUS_PER_MATCH, F.lit(MAX_KEYWORD_BONUS))
 
 
 def final_score(ratio: Column, years_score: Column, bonus: Column) -> Column:

@@ -143,8 +143,9 @@ def _match_stages(plist: tuple, single: bool) -> list[list]:
 
 
 def _score_stages(p: Column, keys: list) -> list[list]:
-    """Score in three projections so that every set is computed once
-    (Catalyst keeps non-cheap projections apart instead of inlining them)."""
+    """Score in projections so that every set is computed once (Catalyst keeps
+    non-cheap projections apart instead of inlining them); the last one adds
+    the explanation."""
     sets = [
         *keys,
         *MATCH_COLUMNS[:6],
@@ -159,11 +160,12 @@ def _score_stages(p: Column, keys: list) -> list[list]:
         *[c.alias(n) for c, n in zip(scoring.years_fit(F.col("required_years"), F.col("_cv_years")), ["_ys", "_gap"])],
         scoring.bonus_points(F.col("matched_keywords")).alias("_bonus"),
     ]
+    score = ["*", scoring.final_score(F.col("_ratio"), F.col("_ys"), F.col("_bonus")).alias("match_score")]
     out_keys = ["profile_id"] if keys else []
     final = [
         *out_keys,
         *MATCH_COLUMNS[:6],
-        scoring.final_score(F.col("_ratio"), F.col("_ys"), F.col("_bonus")).alias("match_score"),
+        "match_score",
         "matched_skills",
         "missing_skills",
         "matched_keywords",
@@ -173,7 +175,7 @@ def _score_stages(p: Column, keys: list) -> list[list]:
             F.col("required_years"), F.col("_gap"), F.col("matched_keywords"),
         ).alias("rationale"),
     ]
-    return [sets, parts, final]
+    return [sets, parts, score, final]
 
 
 def match_scores(
@@ -219,9 +221,12 @@ def match_scores(
     return scored
 
 
-# Posting kinds per task of the grid of profile blocks and posting chunks.
+# Technology sets of postings per task of the grid of profile blocks and posting chunks.
 CHUNK_KINDS = 4096
 
+# Key of postings without required years (those of a text are never negative).
+NO_YEARS = -1.0
+
 
 def _terms(c: str) -> Column:
     """A set column in one spelling: no nulls, no repeats, sorted."""
@@ -269,6 +274,63 @@ def posting_kinds(postings: DataFrame, top_k: int) -> DataFrame:
     )
 
 
+def _ratios(kinds: DataFrame, posts: DataFrame, block: int, chunk: int) -> DataFrame:
+    """(_t, _r, _ratio) of every pair of technology sets, of profiles and of
+    postings, as a grid of blocks and chunks."""
+    techs = kinds.groupBy("_t").agg(F.any_value("_p.technologies").alias("_techs"))
+    reqs = posts.groupBy("_r").agg(F.any_value("_req").alias("_req"))
+    blocks, chunks = (max(1, -(-df.count() // size)) for df, size in ((techs, block), (reqs, chunk)))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    place = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+    left = (
+        techs.groupBy(place("_t", blocks).alias("_block"))
+        .agg(F.collect_list(F.struct("_t", "_techs")).alias("_sets"))
+        .withColumn("_chunk", each(chunks))
+    )
+    right = reqs.select("_r", "_req", place("_r", chunks).alias("_chunk"), each(blocks).alias("_block"))
+    pairs = right.join(left, ["_block", "_chunk"]).select("_r", "_req", F.explode("_sets").alias("_x"))
+    sets = scoring.skill_sets(F.col("_req"), F.col("_x._techs"))
+    return pairs.select(
+        F.col("_x._t").alias("_t"), "_r", *[c.alias(n) for c, n in zip(sets, ["_matched", "_missing"])]
+    ).select("_t", "_r", scoring.skill_ratio(F.col("_matched"), F.col("_missing")).alias("_ratio"))
+
+
+def _places(kinds: DataFrame, posts: DataFrame, ratios: DataFrame, top_k: int) -> DataFrame:
+    """(_sig, _t, _keywords, _ratio, _y, _ys): for every profile kind the skill
+    ratios and required years at which one of its best ``top_k`` postings may be.
+
+    Without keywords ``top_k`` postings score ``_floor`` or more, so a posting
+    that cannot reach it with all its keywords in common is not among the best.
+    """
+    groups = posts.groupBy("_r", "_y").agg(F.sum(F.size("_postings")).alias("_n"), F.max(F.size("_post_kws")).alias("_kws"))
+    cells = ratios.join(groups, "_r").groupBy("_t", "_ratio", "_y").agg(F.sum("_n").alias("_n"), F.max("_kws").alias("_kws"))
+    fit = scoring.years_fit(F.nullif(F.col("_y"), F.lit(NO_YEARS)), F.col("_p.years_experience"))[0]
+    met = kinds.join(cells, "_t").select(
+        "_sig", "_t", F.col("_p.keywords").alias("_keywords"), "_ratio", "_y", "_n", "_kws", fit.alias("_ys")
+    )
+    most = scoring.points(F.least(F.size("_keywords"), F.col("_kws")))
+    bounds = met.select(
+        "*",
+        scoring.final_score(F.col("_ratio"), F.col("_ys"), F.lit(0)).alias("_low"),
+        scoring.final_score(F.col("_ratio"), F.col("_ys"), most).alias("_high"),
+    )
+    kind = Window.partitionBy("_sig")
+    reached = bounds.withColumn("_sum", F.sum("_n").over(kind.orderBy(F.col("_low").desc())))
+    floor = F.coalesce(F.max(F.when(F.col("_sum") >= top_k, F.col("_low"))).over(kind), F.lit(0))
+    return reached.withColumn("_floor", floor).filter("_high >= _floor").select("_sig", "_t", "_keywords", "_ratio", "_y", "_ys")
+
+
+def near_pairs(kinds: DataFrame, posts: DataFrame, top_k: int, block: int = MAX_LITERAL_PROFILES, chunk: int = CHUNK_KINDS) -> DataFrame:
+    """(_sig, _keywords, _post, _post_kws, _first, _ratio, _ys): the pairs of a
+    profile kind and a posting kind that may be among its best ``top_k``."""
+    kinds = kinds.withColumn("_t", _digest("_p.technologies"))
+    posts = posts.withColumn("_r", _digest("_req")).withColumn("_y", F.coalesce("_req_years", F.lit(NO_YEARS)))
+    ratios = _ratios(kinds, posts, block, chunk)
+    places = _places(kinds, posts, ratios, top_k)
+    found = posts.select("_post", "_r", "_y", "_post_kws", "_first")
+    return places.join(ratios, ["_t", "_ratio"]).join(found, ["_r", "_y"]).drop("_t", "_r", "_y")
+
+
 def match_profile_table(
     postings: DataFrame, profiles: DataFrame, top_k: int, block: int = MAX_LITERAL_PROFILES, chunk: int = CHUNK_KINDS
 ) -> DataFrame:
@@ -277,11 +339,14 @@ def match_profile_table(
 
     Both sides are reduced to what a score depends on: profiles to distinct
     (technologies, keywords, years), postings to distinct features with their
-    first ``top_k`` rows.  Profile kinds in blocks meet posting kinds in chunks,
-    one bounded pair per key, and are scored by the same column expressions as
-    :func:`match_scores`; each task keeps ``top_k`` kinds per profile before
-    anything is shuffled.  Only the numbers of kinds reach the driver, and the
-    plan does not grow with either table.
+    first ``top_k`` rows.  Different technology sets of profiles, in blocks, meet
+    those of postings, in chunks, one bounded pair per key, for their skill ratio.
+    Ratio and required years bound a score on both sides: a profile kind meets
+    only the posting kinds whose best possible score is not under that of
+    ``top_k`` postings without any keyword in common, and these are scored by the
+    same column expressions as :func:`match_scores`; each task keeps ``top_k``
+    kinds per profile before anything is shuffled.  Only the numbers of sets reach
+    the driver, and the plan does not grow with either table.
 
     Every row of ``profiles`` is a profile: a null id keeps its matches under a
     null ``profile_id``, rows that repeat an id each get their own.  Null sets
@@ -290,32 +355,9 @@ def match_profile_table(
     """
     keyed, kinds = profile_kinds(profiles)
     kinds, posts = staged(kinds), staged(posting_kinds(postings, top_k))
-    blocks, chunks = (max(1, -(-df.count() // size)) for df, size in ((kinds, block), (posts, chunk)))
-    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    place = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
-    left = (
-        kinds.groupBy(place("_sig", blocks).alias("_block"))
-        .agg(F.collect_list(F.struct("_sig", "_p")).alias("_profiles"))
-        .withColumn("_chunk", each(chunks))
-    )
-    right = posts.select("_post", "_req", "_req_years", "_post_kws", "_first", place("_post", chunks).alias("_chunk"), each(blocks).alias("_block"))
-    pairs = right.join(left, ["_block", "_chunk"]).withColumn("_x", F.explode("_profiles"))
-    scored = pairs.select(
-        F.col("_x._sig").alias("_sig"),
-        "_post",
-        "_first",
-        F.col("_req_years").alias("required_years"),
-        F.col("_x._p.years_experience").alias("_cv_years"),
-        *[c.alias(n) for c, n in zip(scoring.skill_sets(F.col("_req"), F.col("_x._p.technologies")), ["matched_skills", "missing_skills"])],
-        scoring.keyword_bonus(F.col("_x._p.keywords"), F.col("_post_kws"))[0].alias("matched_keywords"),
-    ).select(
-        "_sig",
-        "_post",
-        "_first",
-        scoring.skill_ratio(F.col("matched_skills"), F.col("missing_skills")).alias("_ratio"),
-        scoring.years_fit(F.col("required_years"), F.col("_cv_years"))[0].alias("_ys"),
-        scoring.bonus_points(F.col("matched_keywords")).alias("_bonus"),
-    ).select("_sig", "_post", "_first", scoring.final_score(F.col("_ratio"), F.col("_ys"), F.col("_bonus")).alias("_score"))
+    pairs = near_pairs(kinds, posts, top_k, block, chunk)
+    bonus = scoring.keyword_bonus(F.col("_keywords"), F.col("_post_kws"))[1]
+    scored = pairs.select("_sig", "_post", "_first", scoring.final_score(F.col("_ratio"), F.col("_ys"), bonus).alias("_score"))
     # A posting among the best k belongs to one of the best k kinds, by score
     # and first posting: every kind before it has a posting before it.
     best = Window.partitionBy("_sig").orderBy(F.col("_score").desc(), "_first")
@@ -328,6 +370,8 @@ def match_profile_table(
         .join(kinds, "_sig")
         .select("_sig", "rank", "_p", "_req", "_req_years", "_post_kws", *[F.col(f"_j.{c}").alias(c) for c in MATCH_COLUMNS[:6]])
     )
-    sets, parts, final = _score_stages(F.col("_p"), [F.col("_sig").alias("profile_id"), "rank"])
-    found = winners.select(*sets).select(*parts).select(*final, "rank").withColumnRenamed("profile_id", "_sig")
+    *stages, final = _score_stages(F.col("_p"), [F.col("_sig").alias("profile_id"), "rank"])
+    for stage in stages:
+        winners = winners.select(*stage)
+    found = winners.select(*final, "rank").withColumnRenamed("profile_id", "_sig")
     return keyed.join(found, "_sig").select("profile_id", *MATCH_COLUMNS, "rank")

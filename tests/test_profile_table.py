@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from talentflow.operators import matching
 from talentflow.operators.matching import MATCH_COLUMNS, Profile, match_profile_table, match_scores
 
 POSTING = "job_id string, company string, title string, location string, remote boolean, link string, technologies array<string>, description string"
@@ -72,3 +73,30 @@ def test_a_hundred_thousand_profiles(spark):
     for r in profiles.filter(profiles.profile_id.isin(some)).collect():
         want = match_scores(posts, Profile(frozenset(r.technologies), frozenset(r.keywords), r.years_experience), top_k=5).collect()
         assert [rows[r.profile_id, n + 1] for n in range(5)] == [(w.job_id, w.match_score) for w in want]
+
+
+def test_only_near_kinds_meet(spark):
+    """Posting kinds that cannot be among the best are not scored against a profile."""
+    rnd = random.Random(5)
+    posts = spark.createDataFrame(
+        [(f"j{i}", None, None, None, None, None, rnd.sample(TECHS, rnd.randint(0, 4)), f"{rnd.randint(0, 30)} years" + " agile" * (i % 2)) for i in range(600)],
+        POSTING,
+    )
+    rows = [(f"p{i}", rnd.sample(TECHS, rnd.randint(0, 5)), rnd.choice([[], ["Agile"], ["Agile", "CI/CD"]]), float(rnd.randint(-1, 20))) for i in range(80)]
+    profiles = spark.createDataFrame(rows, PROFILE)
+    _, kinds = matching.profile_kinds(profiles)
+    kinds, kinds_of_posts = kinds.localCheckpoint(), matching.posting_kinds(posts, 3).localCheckpoint()
+    pairs = matching.near_pairs(kinds, kinds_of_posts, 3)
+    assert pairs.select("_sig").distinct().count() == kinds.count()
+    assert 3 * kinds.count() <= pairs.count() < 0.2 * kinds.count() * kinds_of_posts.count()
+    got = {(r.profile_id, r["rank"]): (r.job_id, r.match_score) for r in match_profile_table(posts, profiles, 3).collect()}
+    want = match_scores(posts, [Profile(frozenset(t), frozenset(k), y, p) for p, t, k, y in rows], top_k=3).collect()
+    for pid, *_ in rows:
+        best = sorted(((r.job_id, r.match_score) for r in want if r.profile_id == pid), key=lambda x: (-x[1], x[0]))
+        assert [got[pid, n + 1] for n in range(3)] == best
+
+
+def test_more_wanted_than_there_are(spark):
+    posts = postings_of(spark, random.Random(4), 20)
+    profiles = spark.createDataFrame([("a", ["SQL"], ["Agile"], 4.0), ("b", [], None, None)], PROFILE)
+    assert Counter(r.profile_id for r in match_profile_table(posts, profiles, 50).collect()) == Counter(a=20, b=20)
