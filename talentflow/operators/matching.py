@@ -206,16 +206,17 @@ def match_scores(
         raise ValueError("profile ids must be unique")
 
     scored = postings
-    for stage in _match_stages(tuple(plist), single):
+    *stages, explained = _match_stages(tuple(plist), single)
+    for stage in stages:
         scored = scored.select(*stage)
     keys = [] if single else ["profile_id"]
-    if top_k is not None:
-        if keys:
-            w = Window.partitionBy(*keys).orderBy(F.col("match_score").desc(), F.col("job_id"))
-            scored = scored.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= top_k).drop("_rn")
-        else:
-            # per-partition top-k, then one merge of k rows per partition
-            return scored.orderBy(F.col("match_score").desc(), F.col("job_id")).limit(top_k)
+    if top_k is not None and keys:  # only the best are explained
+        w = Window.partitionBy(*keys).orderBy(F.col("match_score").desc(), F.col("job_id"))
+        scored = scored.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= top_k)
+    scored = scored.select(*explained)
+    if top_k is not None and not keys:
+        # per-partition top-k, then one merge of k rows per partition
+        return scored.orderBy(F.col("match_score").desc(), F.col("job_id")).limit(top_k)
     if ordered:
         scored = scored.orderBy(*keys, F.col("match_score").desc(), F.col("job_id"))
     return scored

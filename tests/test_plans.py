@@ -101,3 +101,15 @@ def test_target_gate_broadcasts_only_under_the_bound(spark, monkeypatch):
     monkeypatch.setattr(landing, "MAX_BROADCAST_TARGETS", 1)
     assert not hinted(landing.gate_targets(resp, targets))
     assert landing.gate_targets(resp, targets).count() == 1
+
+
+def test_only_the_best_are_explained(spark):
+    """The per-profile limit comes before the explanation text."""
+    df = spark.createDataFrame([("j", "c", "t", None, False, None, ["Spark"], "5+ years")],
+                               "job_id string, company string, title string, location string, remote boolean, "
+                               "link string, technologies array<string>, description string")
+    best = match_scores(df, [Profile({"Spark"}, set(), 5.0, "a"), Profile(set(), set(), 1.0, "b")], top_k=1)
+    plan = best._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    first = lambda word: next(i for i, line in enumerate(plan) if word in line)
+    assert first("rationale") < first("Window") and not any("Copertura" in line for line in plan[first("Window"):])
+    assert best.columns[0] == "profile_id" and best.columns[-1] == "rationale" and best.count() == 2
