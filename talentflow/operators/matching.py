@@ -248,6 +248,7 @@ def profile_kinds(profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
         _terms("keywords").alias("keywords"),
         F.coalesce(F.col("years_experience").cast("double"), F.lit(0.0)).alias("years_experience"),
     ).withColumn("_sig", _digest("technologies", "keywords", "years_experience"))
+    keyed = staged(keyed)  # read twice: the terms of a text are looked up once
     kinds = keyed.groupBy("_sig").agg(F.any_value(F.struct("technologies", "keywords", "years_experience")).alias("_p"))
     return keyed.select("profile_id", "_sig"), kinds
 
